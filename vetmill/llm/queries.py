@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetmill.llm import bpe, packing
+from vetmill.llm import bpe, minhash, packing, pii, secrets
 from vetmill.llm.common import table
 
 #: The tokenizer file of the installed package; a parameter of the operators, never copied.
@@ -28,6 +28,18 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(_read(spark, sf_dir, "documents"), tokenizer())
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(_read(spark, sf_dir, "documents")))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(_read(spark, sf_dir, "documents")))
+
+
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Documents packed into sequences: pieces with their place (see op9_packing)."""
     pieces = table(bpe.document_pieces(docs, tokenizer(), SEQUENCE, BUCKETS), "pieces")
@@ -40,5 +52,5 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "sequence_id", "offset")
 
 
-QUERIES = {"op3_bpe": op3_bpe, "op9_packing": op9_packing}
+QUERIES = {"op3_bpe": op3_bpe, "op4_secrets": op4_secrets, "op6_pii": op6_pii, "op8_minhash": op8_minhash, "op9_packing": op9_packing}
 ORACLES: dict[str, str] = {}
