@@ -31,6 +31,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vetmill.llm import common
+
 #: Bounds of the per-process memo tables; they are emptied when full, which changes no result.
 WORDS, PAIRS = 1_000_000, 1_500_000
 #: Words are held as one character for each byte; this one stands for the end of a word.
@@ -221,23 +223,21 @@ def codec(path: str) -> Codec:
     return _codecs[path]
 
 
-def map_texts(docs: DataFrame, schema: str, each: Callable[[object, str], list[tuple]]) -> DataFrame:
+def map_texts(docs: DataFrame, ddl: str, each: Callable[[object, str], list[tuple]]) -> DataFrame:
     """Rows that `each` gives for (doc_id, text), in batches on the executors."""
-    import pandas as pd
-
-    names = [x.strip().split()[0] for x in schema.split(",")]
+    schema = common.arrow_schema(ddl)
 
     def run(batches):
         for b in batches:
             out: list[tuple] = []
-            for i, t in zip(b["doc_id"].astype(object), b["text"], strict=True):
-                out += each(None if i is pd.NA or i != i else int(i), t if isinstance(t, str) else "")
+            for i, t in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
+                out += each(i, t or "")
                 if len(out) >= 5000:
-                    yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+                    yield common.batch(out, schema)
                     out = []
-            yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+            yield common.batch(out, schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ddl)
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:

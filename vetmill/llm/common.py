@@ -38,6 +38,22 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(parts)
 
 
+def arrow_schema(ddl: str):
+    """The Arrow schema of a DDL string, for functions of mapInArrow."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
+def batch(rows: list[tuple], schema):
+    """An Arrow batch of rows; ids stay whole numbers and nulls stay nulls."""
+    import pyarrow as pa
+
+    columns = [*zip(*rows, strict=True)] if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Smallest id reachable for each id that has an edge: large-star / small-star rounds.
 

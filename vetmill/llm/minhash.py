@@ -75,7 +75,8 @@ def signature(hashes):
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, set_id (128-bit digest of the set), sketch (low bytes of the
     coordinates) and bands (one key for each band); null digests where there are no words."""
-    import pandas as pd
+    ddl = "doc_id long, n_shingles long, set_id binary, sketch binary, bands array<long>"
+    schema = common.arrow_schema(ddl)
 
     def run(batches):
         import numpy as np
@@ -83,10 +84,9 @@ def signatures(docs: DataFrame) -> DataFrame:
 
         band = (np.arange(BANDS, dtype=np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
         for b in batches:
-            rows = []
-            for i, text in zip(b["doc_id"].astype(object), b["text"], strict=True):
-                i = None if pd.isna(i) else int(i)
-                h = shingles(text if isinstance(text, str) else "")
+            rows: list[tuple] = []
+            for i, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
+                h = shingles(text)
                 if not len(h):
                     rows.append((i, 0, None, None, None))
                     continue
@@ -95,15 +95,10 @@ def signatures(docs: DataFrame) -> DataFrame:
                 for c in sig.reshape(BANDS, ROWS).T:
                     key = (key ^ c) * np.uint64(0x9E3779B97F4A7C15)
                     key ^= key >> np.uint64(31)
-                rows.append((i, len(h), xxh3_128_digest(h.tobytes()), sig.astype(np.uint8).tobytes(), key.view(np.int64)))
-                if len(rows) >= 2000:
-                    yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
-                    rows = []
-            yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
-
-    names = ["doc_id", "n_shingles", "set_id", "sketch", "bands"]
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        run, "doc_id long, n_shingles long, set_id binary, sketch binary, bands array<long>")
+                rows.append((i, len(h), xxh3_128_digest(h.tobytes()), sig.astype(np.uint8).tobytes(), key.view(np.int64).tolist()))
+            yield common.batch(rows, schema)
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ddl)
 
 
 def _alike(pairs: DataFrame, sketches: DataFrame) -> DataFrame:

@@ -146,14 +146,18 @@ def pack(pieces: DataFrame, capacity: int, order: list[str], buckets: int) -> Da
     table = {k: np.array(v, dtype=np.int64) for k, v in runs.items()}
 
     def place(batches):
+        import pyarrow as pa
+
         for b in batches:
-            length, rank = b["length"].to_numpy(np.int64), b["_rank"].to_numpy(np.int64)
+            if not b.num_rows:
+                continue
+            length, rank = b["length"].to_numpy(zero_copy_only=False), b["_rank"].to_numpy(zero_copy_only=False)
             i = np.searchsorted(key, length << 44 | rank, side="right") - 1
-            at = rank - table["rank"][i] if len(b) else rank
-            b["sequence_id"] = table["first"][i] + at // table["times"][i] if len(b) else rank
-            b["offset"] = table["base"][i] + at % table["times"][i] * length if len(b) else rank
-            yield b.drop(columns="_rank")
+            at, times = rank - table["rank"][i], table["times"][i]
+            own = [n for n in b.schema.names if n != "_rank"]
+            more = [pa.array(table["first"][i] + at // times), pa.array(table["base"][i] + at % times * length)]
+            yield pa.RecordBatch.from_arrays([*(b[n] for n in own), *more], names=[*own, "sequence_id", "offset"])
 
     kept = [f for f in ranked.schema.fields if f.name != "_rank"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return ranked.mapInPandas(place, schema + ", sequence_id long, offset long")
+    return ranked.mapInArrow(place, schema + ", sequence_id long, offset long")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetmill.llm import bpe, minhash, packing, pii, secrets
-from vetmill.llm.common import table
+from vetmill.llm import bpe, html, minhash, packing, pii, secrets, toxicity
+from vetmill.llm.common import fold, table
 
 #: The tokenizer file of the installed package; a parameter of the operators, never copied.
 WORD_BPE = "word_bpe_49k.json"
@@ -24,6 +24,14 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = toxicity.train(docs, labels, held_out)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held_out", held_out)
+    return toxicity.score(docs, model, ["doc_id", "held_out"])
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(_read(spark, sf_dir, "documents"), tokenizer())
 
@@ -32,6 +40,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(_read(spark, sf_dir, "documents")))
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(_read(spark, sf_dir, "pages"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(_read(spark, sf_dir, "documents")))
 
@@ -52,5 +64,5 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "sequence_id", "offset")
 
 
-QUERIES = {"op3_bpe": op3_bpe, "op4_secrets": op4_secrets, "op6_pii": op6_pii, "op8_minhash": op8_minhash, "op9_packing": op9_packing}
+QUERIES = {"op2_toxicity": op2_toxicity, "op3_bpe": op3_bpe, "op4_secrets": op4_secrets, "op5_html": op5_html, "op6_pii": op6_pii, "op8_minhash": op8_minhash, "op9_packing": op9_packing}
 ORACLES: dict[str, str] = {}
