@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetmill.llm import bpe, html, minhash, packing, pii, secrets, toxicity
+from vetmill.llm import bpe, html, lm, minhash, packing, pii, secrets, toxicity
 from vetmill.llm.common import fold, table
 
-#: The tokenizer file of the installed package; a parameter of the operators, never copied.
-WORD_BPE = "word_bpe_49k.json"
+#: Tokenizer files of the installed package; a parameter of the operators, never copied.
+WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 #: Tokens in a packed sequence; groups that the pieces of one length are dealt over.
 SEQUENCE, BUCKETS = 2048, 64
 
@@ -24,6 +24,11 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 7) == 2
+    return lm.score_documents(_read(spark, sf_dir, "documents"), held_out, tokenizer(BYTE_BPE))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
     held_out = fold(F.col("doc_id"), 5) == 0
@@ -64,5 +69,5 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "sequence_id", "offset")
 
 
-QUERIES = {"op2_toxicity": op2_toxicity, "op3_bpe": op3_bpe, "op4_secrets": op4_secrets, "op5_html": op5_html, "op6_pii": op6_pii, "op8_minhash": op8_minhash, "op9_packing": op9_packing}
+QUERIES = {"op1_lattice": op1_lattice, "op2_toxicity": op2_toxicity, "op3_bpe": op3_bpe, "op4_secrets": op4_secrets, "op5_html": op5_html, "op6_pii": op6_pii, "op8_minhash": op8_minhash, "op9_packing": op9_packing}
 ORACLES: dict[str, str] = {}
