@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetmill.llm import bpe, html, lm, minhash, packing, pii, secrets, toxicity
+from vetmill.llm import bpe, curves, html, lm, minhash, multi_index, packing, pii, secrets, toxicity
 from vetmill.llm.common import fold, table
 
 #: Tokenizer files of the installed package; a parameter of the operators, never copied.
@@ -53,6 +53,10 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(_read(spark, sf_dir, "documents")))
 
 
+def op7_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -69,5 +73,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "sequence_id", "offset")
 
 
-QUERIES = {"op1_lattice": op1_lattice, "op2_toxicity": op2_toxicity, "op3_bpe": op3_bpe, "op4_secrets": op4_secrets, "op5_html": op5_html, "op6_pii": op6_pii, "op8_minhash": op8_minhash, "op9_packing": op9_packing}
+def op10_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curves.nearest(_read(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {"op1_lattice": op1_lattice, "op2_toxicity": op2_toxicity, "op3_bpe": op3_bpe, "op4_secrets": op4_secrets, "op5_html": op5_html, "op6_pii": op6_pii, "op7_multi_index": op7_multi_index, "op8_minhash": op8_minhash, "op9_packing": op9_packing, "op10_curves": op10_curves}
 ORACLES: dict[str, str] = {}
