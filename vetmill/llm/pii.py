@@ -87,15 +87,18 @@ def _test(name: str):
     return lambda x: confirmed(name, x["hit"])
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """doc_id and, for each kind, an array of spans with kind, start, stop, hit and score."""
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+def find(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The columns named in keep (doc_id alone by default) and pii: a struct with an array for each
+    kind, of spans with kind, start, stop, hit and score. Other columns are left aside, so their
+    names cannot clash."""
+    keep = keep or ["doc_id"]
+    docs = docs.select(F.struct(*keep).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     text, held = F.col("text"), []
     for kind, (name, pattern) in enumerate(PATTERNS.items()):
         due = F.contains(text, F.lit(HINTS[name])) if name in HINTS else text.rlike("[0-9]{2}")
         proposed = F.filter(spans.matches(text, pattern, kind), _test(name))
         held.append(F.when(due, proposed).otherwise(spans.none()).alias(name))
-    docs = docs.select("doc_id", "text", *held)
+    docs = docs.select("row", "text", *held)
 
     def scored(name: str):
         words = rf"(?i)(?<![\p{{L}}\p{{N}}])(?:{WORDS[name]})(?![\p{{L}}\p{{N}}])"
@@ -114,13 +117,34 @@ def find(docs: DataFrame) -> DataFrame:
     for name in PATTERNS:
         got = F.transform(F.col(name), scored(name))
         out.append((got if name in BASE else F.filter(got, lambda x: x["score"] >= THRESHOLD)).alias(name))
-    return docs.select("doc_id", "text", *out)
+    return docs.select("row", "text", F.struct(*out).alias("pii")).select("row.*", "pii")
 
 
 def digest(found: DataFrame) -> DataFrame:
     """doc_id, counts of the base kinds, the hash of their spans by kind, and all spans by kind."""
     names = [*PATTERNS]
+    lists = lambda kinds: F.concat(*[F.col("pii")[n] for n in kinds])
     return found.select(
-        "doc_id", *[spans.count(F.col(n)).alias(f"n_{n}") for n in BASE],
-        F.sha2(spans.joined(F.concat(*BASE), names).cast("binary"), 256).alias("base_sha256"),
-        spans.joined(F.concat(*names), names).alias("spans"))
+        F.col("doc_id").cast("long").alias("doc_id"), *[spans.count(F.col("pii")[n]).alias(f"n_{n}") for n in BASE],
+        F.sha2(spans.joined(lists(BASE), names).cast("binary"), 256).alias("base_sha256"),
+        spans.joined(lists(names), names).alias("spans"))
+
+
+def redact(docs: DataFrame) -> DataFrame:
+    """The same columns; each span of the text is replaced by its kind in brackets, of overlapping
+    ones the first (of those that start together the longest), and n_chars follows the text."""
+    found = find(docs, docs.columns)
+    spots = F.array_sort(F.transform(F.concat(*[F.col("pii")[n] for n in PATTERNS]), lambda x: F.struct(
+        x["start"].alias("start"), (-x["stop"]).alias("stop"), x["kind"].alias("kind"))))
+    labels = F.array(*[F.lit(f"[{n.upper()}]") for n in PATTERNS])
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+
+    def add(acc: Column, x: Column) -> Column:
+        gap = F.substring(F.col("text"), acc["at"].cast("int") + 1, (x["start"] - acc["at"]).cast("int"))
+        return F.when(x["start"] < acc["at"], acc).otherwise(F.struct(
+            (-x["stop"]).alias("at"), F.concat(acc["out"], gap, F.get(labels, x["kind"])).alias("out")))
+
+    new = F.aggregate(spots, start, add, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"].cast("int") + 1, F.lit(2**31 - 1))))
+    text = F.when(F.size(spots) > 0, new).otherwise(F.col("text"))
+    out = found.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

@@ -140,10 +140,11 @@ def scan(docs: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
 def digest(found: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
     """doc_id, counts of the base kinds, the hash of their spans, and all spans."""
     names = [*rules]
-    lists = found.select("doc_id", *BASE, F.array_sort(F.concat(*BASE)).alias("base"), F.array_sort(F.concat(*names)).alias("all"))
-    # spans sort by kind first: turn them so that the place leads
-    turn = lambda c: F.transform(F.array_sort(F.transform(c, lambda x: F.struct(x["start"], x["kind"], x["stop"]))), lambda x: x)
-    return lists.select(
+
+    def by_place(columns: list[str]) -> Column:
+        return F.array_sort(F.transform(F.concat(*columns), lambda x: F.struct(x["start"], x["kind"], x["stop"])))
+
+    return found.select(
         "doc_id", *[spans.count(F.col(n)).alias(f"n_{n}") for n in BASE],
-        F.sha2(spans.joined(turn(F.col("base")), names).cast("binary"), 256).alias("base_sha256"),
-        spans.joined(turn(F.col("all")), names).alias("spans"))
+        F.sha2(spans.joined(by_place(BASE), names).cast("binary"), 256).alias("base_sha256"),
+        spans.joined(by_place(names), names).alias("spans"))
