@@ -26,7 +26,7 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = fold(F.col("doc_id"), 7) == 2
-    return lm.score_documents(_read(spark, sf_dir, "documents"), held_out, tokenizer(BYTE_BPE))
+    return lm.score_documents(_read(spark, sf_dir, "documents"), held_out, tokenizer(BYTE_BPE), "lang")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
