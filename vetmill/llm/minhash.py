@@ -8,9 +8,10 @@ Equal sets are merged first, so copies meet as one representative. Representativ
 band share a bucket. A bucket's members are compared with its hub, the member that shares most
 buckets, not with each other; what that leaves in several components is then compared exactly:
 every member outside the bucket's largest component with every member, block by block, where a
-pair is emitted only if its sketches agree often enough to be a link (a true link fails that with
-probability under 1e-8). Every link that counts is confirmed on the full shingle sets of both texts.
-So no bucket size has a cap, no group is collected, and no task gets more than a block.
+pair is emitted once (in the first band that it shares), and only if longer sketches agree often
+enough to be a link: a true link fails that with a probability of about 1e-6. Every link that counts
+is confirmed on the full shingle sets of both texts. So no bucket size has a cap, no group is
+collected, and no task gets more than a block.
 """
 
 from __future__ import annotations
@@ -24,8 +25,9 @@ WORDS = 5
 #: Jaccard similarity of a link, as a fraction in whole numbers.
 LINK = (75, 100)
 BANDS, ROWS = 32, 5
-#: Of the BANDS * ROWS coordinates' low bytes, so many agree at least before a pair is verified.
-AGREE = 88
+#: Of the BANDS * ROWS coordinates' low bytes, and of the WIDE ones in the exact comparison, so many
+#: agree at least before a pair is verified (4.6 and 5 standard deviations below a link's mean).
+AGREE, WIDE, AGREE_WIDE = 95, 1024, 700
 #: Members of a block in the comparison of large buckets.
 BLOCK = 256
 
@@ -60,13 +62,13 @@ def _mix(x, a: int, b: int):
     return x
 
 
-def signature(hashes):
-    """All coordinates of a non-empty set, from the two permutations."""
+def signature(hashes, size: int = BANDS * ROWS):
+    """The first coordinates of a non-empty set, from the two permutations."""
     import numpy as np
 
     s = _mix((hashes >> np.uint64(32)).astype(np.uint32), 0x21F0AAAD, 0xD35A2D97)  # sigma
-    shift = np.arange(1, BANDS * ROWS + 1, dtype=np.uint32)
-    out = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
+    shift = np.arange(1, size + 1, dtype=np.uint32)
+    out = np.full(size, 0xFFFFFFFF, np.uint32)
     for i in range(0, len(s), 256):
         np.minimum(out, _mix(s[i : i + 256, None] - shift, 0x7FEB352D, 0x846CA68B).min(axis=0), out=out)  # pi
     return out
@@ -152,7 +154,22 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInPandas(run, "src long, dst long")
 
 
-def _rest(members: DataFrame, sketches: DataFrame, label: DataFrame) -> DataFrame:
+def _wide(docs: DataFrame, need: DataFrame) -> DataFrame:
+    """rep and wide (a sketch of WIDE coordinates) of the documents named in need."""
+    ddl = "rep long, wide binary"
+    schema = common.arrow_schema(ddl)
+
+    def run(batches):
+        import numpy as np
+
+        for b in batches:
+            sets = [(i, shingles(t)) for i, t in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True)]
+            yield common.batch([(i, signature(h, WIDE).astype(np.uint8).tobytes()) for i, h in sets if len(h)], schema)
+
+    return docs.join(need.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(run, ddl)
+
+
+def _rest(members: DataFrame, reps: DataFrame, label: DataFrame, docs: DataFrame) -> DataFrame:
     """Pairs (a, b) of different components in one bucket whose sketches are alike."""
     import pandas as pd
 
@@ -163,21 +180,28 @@ def _rest(members: DataFrame, sketches: DataFrame, label: DataFrame) -> DataFram
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     open_ = common.table(open_.select("key", F.col("most.part").alias("largest"), blocks(F.col("c")).alias("blocks"),
                                       blocks(F.col("c") - F.col("most.n")).alias("chunks")), "open")
-    members = common.table(members.join(open_, "key").join(sketches, "rep"), "rest")
+    members = common.table(members.join(open_, "key"), "members")
+    # a doc_id with several texts has a sketch for each; any of them may show a link
+    sketches = _wide(docs, members.select("rep").distinct()).distinct().join(reps.select("rep", "bands"), "rep")
+    members = common.table(members.join(common.table(sketches, "wide"), "rep"), "rest")
     at = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    home = members.select("key", at("blocks").alias("block"), each("chunks").alias("chunk"), "rep", "part", "sketch", F.lit(False).alias("minor"))
-    minor = members.where("part <> largest").select("key", at("chunks").alias("chunk"), each("blocks").alias("block"), "rep", "part", "sketch", F.lit(True).alias("minor"))
+    own = ["rep", "part", "wide", "bands"]
+    home = members.select("key", at("blocks").alias("block"), each("chunks").alias("chunk"), *own, F.lit(False).alias("minor"))
+    minor = members.where("part <> largest").select("key", at("chunks").alias("chunk"), each("blocks").alias("block"), *own, F.lit(True).alias("minor"))
 
     def compare(x):
         import numpy as np
 
-        sketch = np.frombuffer(b"".join(x["sketch"]), np.uint8).reshape(-1, BANDS * ROWS)
+        wide = np.frombuffer(b"".join(x["wide"]), np.uint8).reshape(-1, WIDE)
+        narrow, bands = wide[:, : BANDS * ROWS].copy(), np.stack(x["bands"].to_numpy())
         rep, part, is_minor = x["rep"].to_numpy(), x["part"].to_numpy(), x["minor"].to_numpy()
-        here, a, b = np.flatnonzero(~is_minor), [], []
+        here, band, a, b = np.flatnonzero(~is_minor), (bands == x["key"].iloc[0]).argmax(1), [], []
         for i in np.flatnonzero(is_minor):
-            hit = here[(part[here] != part[i])]
-            hit = hit[(sketch[hit] == sketch[i]).sum(axis=1) >= AGREE]
+            hit = here[part[here] != part[i]]
+            hit = hit[(narrow[hit] == narrow[i]).sum(axis=1) >= AGREE]
+            hit = hit[(wide[hit] == wide[i]).sum(axis=1) >= AGREE_WIDE]
+            hit = hit[(bands[hit] == bands[i]).argmax(1) == band[i]]
             a += [rep[i]] * len(hit)
             b += rep[hit].tolist()
         a, b = np.array(a, np.int64), np.array(b, np.int64)
@@ -211,7 +235,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     copies = sets.join(again, "set_id").select(F.col("doc_id").alias("src"), F.col("rep").alias("dst")).where("src <> dst")
     links = common.table(_verified(common.table(_alike(pairs, sketches), "pairs"), docs), "links")
     first = common.table(common.components(links), "parts")
-    more = _verified(common.table(_rest(members, sketches, first), "candidates"), docs)
+    more = _verified(common.table(_rest(members, reps, first, docs), "candidates"), docs)
     edges = links.unionByName(more).unionByName(copies)
     label = common.table(common.components(edges), "components")
     out = sigs.select("doc_id", "n_shingles").join(label.withColumnRenamed("id", "doc_id"), "doc_id", "left")
