@@ -173,9 +173,9 @@ class Codec:
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a run of normalized words without white space between them."""
-        memo, words = self.memo, [chunk] if chunk.isalpha() else self.words.findall(chunk)
+        memo, words = self.memo, [chunk] if chunk.isalpha() or chunk[0] == "\n" else self.words.findall(chunk)
         if words == [chunk]:
-            ids = self.encode_word(chunk)
+            ids = self.encode_word(chunk.removeprefix("\n"))
             got = struct.pack(f"<{len(ids)}I", *ids)
         else:
             got = b"".join([memo.get(w) or self._chunk(w) for w in words])
@@ -186,7 +186,8 @@ class Codec:
         return got
 
     def _split(self, text: str) -> list[str]:
-        """Normalized text cut at white space (which no word holds)."""
+        """Normalized text cut at white space (which no word holds), or, marked by a line feed each,
+        the words as the library cuts them."""
         if PLAIN.fullmatch(text):
             return (text if text.isascii() else unicodedata.normalize("NFC", text)).lower().split()
         if self._library is None:
@@ -196,7 +197,7 @@ class Codec:
         back = {c: b for b, c in enumerate(_byte_chars())}
         normal = self._library.normalizer.normalize_str(text)
         words = self._library.pre_tokenizer.pre_tokenize_str(normal)
-        return [bytes(back[c] for c in w).decode("utf-8") for w, _ in words]
+        return ["\n" + bytes(back[c] for c in w).decode("utf-8") for w, _ in words]
 
     def encode(self, text: str | None) -> bytes:
         """All ids of a text as little-endian unsigned 32-bit integers."""
