@@ -34,8 +34,8 @@ def norm_header(name: str) -> str:
 
 
 def fold_key(c: Column | str) -> Column:
-    """norm_text for comparison without case: upper then lower case, with the final sigma as sigma."""
-    return F.replace(F.lower(F.upper(norm_text(c))), F.lit("ς"), F.lit("σ"))
+    """norm_text for comparison without case: lower case, sharp s as ss, the final sigma as sigma."""
+    return F.translate(F.replace(F.lower(norm_text(c)), F.lit("ß"), F.lit("ss")), "ς", "σ")
 
 
 def token_key(c: Column | str) -> Column:
