@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetmill.llm import bpe, curves, html, lm, minhash, multi_index, packing, pii, secrets, toxicity
+from vetmill.llm import bpe, curves, html, lm, minhash, multi_index, oracles, packing, pii, secrets, toxicity
 from vetmill.llm.common import fold, table
 
 #: Tokenizer files of the installed package; a parameter of the operators, never copied.
@@ -78,4 +78,10 @@ def op10_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_lattice": op1_lattice, "op2_toxicity": op2_toxicity, "op3_bpe": op3_bpe, "op4_secrets": op4_secrets, "op5_html": op5_html, "op6_pii": op6_pii, "op7_multi_index": op7_multi_index, "op8_minhash": op8_minhash, "op9_packing": op9_packing, "op10_curves": op10_curves}
-ORACLES: dict[str, str] = {}
+#: Models, tokenizers, page parsing and approximate search are beyond SQL; their tests hold them
+#: against brute force.
+ORACLES: dict[str, str] = {
+    "op4_secrets": oracles.secrets(secrets.RULES, secrets.BASE),
+    "op7_multi_index": oracles.NEAR_VECTORS,
+    "op8_minhash": oracles.NEAR_TEXTS,
+}
