@@ -33,8 +33,14 @@ def watermark(feed: str, state: dict[str, str | None], updated_since: str | None
 
 
 def with_hashes(rows: DataFrame, feed: str) -> DataFrame:
-    """source_hash over all columns there are (an appointment's type too), then conflict_status."""
-    rows = rows.withColumn("source_hash", row_hash(rows, rows.columns))
+    """source_hash over all columns there are, then conflict_status.
+
+    An appointment's type is part of the hash where the appointment has a type id, known or not."""
+    hashed = row_hash(rows, rows.columns)
+    if "appointment_type" in rows.columns:
+        plain = row_hash(rows, [c for c in rows.columns if c != "appointment_type"])
+        hashed = F.when(F.col("appointment_type_id").isNull(), plain).otherwise(hashed)
+    rows = rows.withColumn("source_hash", hashed)
     status = F.when(F.col("is_canceled"), "needs_review").otherwise("clear") if feed == "appointments" else F.lit("clear")
     return rows.withColumn("conflict_status", status)
 

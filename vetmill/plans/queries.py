@@ -85,7 +85,7 @@ _TYPES = f"(SELECT DISTINCT id AS tid, name AS tname FROM {I.sql(I.TYPES)} t)"
 _TYPE = """CASE WHEN tid IS NULL THEN NULL ELSE '{"id":' || tid || ',"name":"' || tname || '"}' END"""
 
 
-@query("appointments_with_type", f"""SELECT appointment_id, tid AS type_id, tname AS type_name, sha256({_json({**APP_FIELDS, "appointment_type": (_TYPE, "j")})}) AS source_hash,
+@query("appointments_with_type", f"""SELECT appointment_id, tid AS type_id, tname AS type_name, sha256(CASE WHEN appointment_type_id IS NULL THEN {_json(APP_FIELDS)} ELSE {_json({**APP_FIELDS, "appointment_type": (_TYPE, "j")})} END) AS source_hash,
   CASE WHEN is_canceled THEN 'needs_review' ELSE 'clear' END AS conflict_status FROM {APP} a LEFT JOIN {_TYPES} t ON CAST(a.appointment_type_id AS BIGINT) = t.tid""")
 def appointments_with_type(spark, d):
     rows = normalize.enrich_types(normalize.normalize_appointments(I.appointments(spark, d)), I.types(spark, d))
