@@ -38,6 +38,26 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(parts)
 
 
+#: Slots of the bitmap that thins rows before a join: 2^26 bits, 8 MB whatever the data.
+SLOTS = 1 << 26
+
+
+def having(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows of df whose key is among the ids (a column of that name): a left semi join, before which
+    a bitmap of the ids' hashes takes out most other rows, so that their texts need not be shuffled.
+
+    The bitmap has SLOTS bits in rows of 4 KB: that bounds the broadcast. The more ids share it, the
+    more rows pass it; the join that follows is exact."""
+    ids = ids.select(key).distinct()
+    slot = F.pmod(F.xxhash64(key), F.lit(SLOTS)) + 1
+    maps = ids.groupBy(F.bitmap_bucket_number(slot).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("_bits"))
+    at = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.floor(byte / F.pow(F.lit(2.0), at % 8)) % 2 == 1
+    thin = df.join(F.broadcast(maps), (F.bitmap_bucket_number(slot) == F.col("_bucket")) & bit, "left_semi")
+    return thin.join(ids, key, "left_semi")
+
+
 def arrow_schema(ddl: str):
     """The Arrow schema of a DDL string, for functions of mapInArrow."""
     from pyspark.sql.pandas.types import to_arrow_schema

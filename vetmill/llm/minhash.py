@@ -126,7 +126,7 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     import pandas as pd
 
     need = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = common.table(docs.join(need, "doc_id", "left_semi").dropDuplicates(), "texts")
+    texts = common.table(common.having(docs, need).dropDuplicates(), "texts")
     both = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left")), "a")
             .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right")), "b"))
 
@@ -166,7 +166,7 @@ def _wide(docs: DataFrame, need: DataFrame) -> DataFrame:
             sets = [(i, shingles(t)) for i, t in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True)]
             yield common.batch([(i, signature(h, WIDE).astype(np.uint8).tobytes()) for i, h in sets if len(h)], schema)
 
-    return docs.join(need.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(run, ddl)
+    return common.having(docs, need.withColumnRenamed("rep", "doc_id")).select("doc_id", "text").mapInArrow(run, ddl)
 
 
 def _rest(members: DataFrame, reps: DataFrame, label: DataFrame, docs: DataFrame) -> DataFrame:
