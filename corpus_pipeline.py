@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vetmill import share_path
 from vetmill.llm import minhash, pii, queries, toxicity
 from vetmill.llm.common import fold, table
 
@@ -16,6 +17,7 @@ from vetmill.llm.common import fold, table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the grammar, learned from the labelled ones outside the held-out fold,
     predicts to be toxic go; texts that are null or empty stay."""
+    share_path(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels, fold(F.col("doc_id"), 5) == 0)
     kept = toxicity.score(docs, model, docs.columns).where("predicted = 0")
@@ -25,6 +27,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest doc_id stays, once; so does
     every row without a doc_id."""
+    share_path(spark)
     kept = minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
     first = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
     own = docs.join(kept, "doc_id", "left_semi").withColumn("_first", F.row_number().over(first)).where("_first = 1")
@@ -38,6 +41,7 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents with their places in sequences of tokens."""
+    share_path(spark)
     return queries.packed(docs)
 
 
