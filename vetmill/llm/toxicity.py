@@ -7,9 +7,9 @@ target distance, threat construction - are composed into one deterministic table
 clause emits matched patterns, whose weights the context raises or lowers; a document's score is a
 logistic function of its clauses' totals.
 
-Learning: feature counts come from every labelled training row, summed on the executors; the
-LEXICON most significant features are kept. The logistic function is fitted on FIT_ROWS labelled
-training rows, a bounded sample in the order of a hash. Only text is ever scored.
+Learning: a bounded sample of the labelled training rows, the first LABELLED in the order of a hash;
+feature counts are summed over it on the executors and the LEXICON most significant features kept.
+The logistic function is fitted on the first FIT_ROWS of the sample. Only text is ever scored.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from vetmill.llm import common
 
-LEXICON, FIT_ROWS = 5000, 20_000
+LABELLED, FIT_ROWS, LEXICON = 50_000, 20_000, 5000
 #: Features must be this significant (likelihood ratio), in so many toxic documents at least.
 SIGNIFICANT, SUPPORT = 24.0, 3
 SHORTEST, LONGEST = 3, 8
@@ -184,7 +184,7 @@ def learn_lexicon(train: DataFrame) -> dict[str, float]:
 
     ratio = 2 * (part(dt, nt * share) + part(dc, nc * share) + part(nt - dt, nt * (1 - share)) + part(nc - dc, nc * (1 - share)))
     weight = F.log((F.col("ot") + 0.5) / (all_.ot + 1.0)) - F.log((F.col("oc") + 0.5) / (all_.oc + 1.0))
-    best = (counts.where((F.col("feature") != "") & (dt >= SUPPORT) & (dt / nt > 4 * share))
+    best = (counts.where((F.col("feature") != "") & (dt >= SUPPORT) & (dt / nt > 4 * dc / nc))
             .select("feature", ratio.alias("ratio"), weight.alias("weight"))
             .where((F.col("ratio") >= SIGNIFICANT) & (F.col("weight") > 0))
             .orderBy(F.desc("ratio"), "feature").limit(LEXICON))
@@ -225,9 +225,11 @@ def train(docs: DataFrame, labels: DataFrame, held_out) -> tuple[dict[str, float
         F.max(F.col("toxic").cast("int")).alias("toxic"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where(~held_out)
     labels = labels.where(~held_out)
-    lexicon = learn_lexicon(texts.join(labels, "doc_id"))
-    sample = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
-    return lexicon, fit(texts.join(F.broadcast(sample), "doc_id"), lexicon)
+    order = [F.xxhash64("doc_id"), "doc_id"]
+    share = max(1, labels.count() // LABELLED)  # thinned first, so that the top rows come from a few times as many
+    sample = labels.where(F.pmod(order[0], F.lit(share)) == 0).orderBy(*order).limit(LABELLED)  # small enough to go to the texts
+    lexicon = learn_lexicon(texts.join(F.broadcast(sample), "doc_id"))
+    return lexicon, fit(texts.join(F.broadcast(sample.orderBy(*order).limit(FIT_ROWS)), "doc_id"), lexicon)
 
 
 def score(docs: DataFrame, model: tuple[dict[str, float], dict | None], keep: list[str]) -> DataFrame:
