@@ -95,8 +95,13 @@ def _visits_needed(nodes: DataFrame, probe, books) -> int:
             d = halves(x, books)
             cell = d[0].argmin(1) * len(books[1]) + d[1].argmin(1)
             near = np.argwhere(x @ probe.T >= LINK)
-            for r, p in near[cell[near[:, 0]] != probe_cell[near[:, 1]]]:
-                needed = max(needed, min(rank(d, r, probe_cell[p]), rank(probe_d, p, cell[r])))
+            near = near[cell[near[:, 0]] != probe_cell[near[:, 1]]]
+            # many links of a probe lead to one cell: its rank there is found once, and the other
+            # side is asked only where the least number of visits would not do
+            keys, back = np.unique(near[:, 1] * len(books[0]) * len(books[1]) + cell[near[:, 0]], return_inverse=True)
+            own = np.array([rank(probe_d, *divmod(int(x), len(books[0]) * len(books[1]))) for x in keys], int)[back]
+            for (r, p), k in zip(near, own, strict=True):
+                needed = max(needed, k if 2 * k <= LEAST_VISITS else min(rank(d, r, probe_cell[p]), k))
         yield common.batch([(needed,)], schema)
 
     return nodes.select("embedding").mapInArrow(run, "needed long").agg(F.max("needed")).first()[0] or 0
