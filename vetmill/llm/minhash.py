@@ -87,8 +87,8 @@ def signatures(docs: DataFrame) -> DataFrame:
         band = (np.arange(BANDS, dtype=np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
         for b in batches:
             rows: list[tuple] = []
-            for i, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
-                h = shingles(text)
+            for i, text in zip(b["doc_id"].to_pylist(), b["text"], strict=True):
+                h = shingles(text.as_py())  # one text at a time: a batch may hold very long ones
                 if not len(h):
                     rows.append((i, 0, None, None, None))
                     continue
@@ -123,8 +123,8 @@ def _alike(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Pairs (src, dst) whose full shingle sets meet the similarity of a link."""
-    import pandas as pd
-
+    ddl = "src long, dst long"
+    schema = common.arrow_schema(ddl)
     need = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     texts = common.table(common.having(docs, need).dropDuplicates(), "texts")
     both = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left")), "a")
@@ -143,15 +143,16 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             return memo[text]
 
         for x in batches:
-            keep = []
-            for left, right in zip(x["left"], x["right"], strict=True):
-                a, b = of(left), of(right)
+            out = []
+            for i, j, left, right in zip(x["a"].to_pylist(), x["b"].to_pylist(), x["left"], x["right"], strict=True):
+                a, b = of(left.as_py()), of(right.as_py())
                 least, most = sorted((len(a), len(b)))
                 common_ = 0 if LINK[1] * least < LINK[0] * most else len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(least > 0 and LINK[1] * common_ >= LINK[0] * (least + most - common_))
-            yield pd.DataFrame({"src": x["a"], "dst": x["b"]})[np.array(keep, bool)]
+                if least > 0 and LINK[1] * common_ >= LINK[0] * (least + most - common_):
+                    out.append((i, j))
+            yield common.batch(out, schema)
 
-    return both.select("a", "b", "left", "right").mapInPandas(run, "src long, dst long")
+    return both.select("a", "b", "left", "right").mapInArrow(run, ddl)
 
 
 def _wide(docs: DataFrame, need: DataFrame) -> DataFrame:
@@ -163,7 +164,7 @@ def _wide(docs: DataFrame, need: DataFrame) -> DataFrame:
         import numpy as np
 
         for b in batches:
-            sets = [(i, shingles(t)) for i, t in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True)]
+            sets = ((i, shingles(t.as_py())) for i, t in zip(b["doc_id"].to_pylist(), b["text"], strict=True))
             yield common.batch([(i, signature(h, WIDE).astype(np.uint8).tobytes()) for i, h in sets if len(h)], schema)
 
     return common.having(docs, need.withColumnRenamed("rep", "doc_id")).select("doc_id", "text").mapInArrow(run, ddl)
