@@ -93,6 +93,7 @@ def test_nearest_like_brute_force(spark, monkeypatch):
     check_nearest(curves.nearest(frame(spark, rows)).collect(), rows, 1.0)  # one block: all of them
     monkeypatch.setattr(curves, "BLOCK", 24)
     monkeypatch.setattr(curves, "CHUNK", 4)
+    monkeypatch.setattr(curves, "SEGMENT", 3)
     check_nearest(curves.nearest(frame(spark, rows)).collect(), rows, 0.9)
 
 

@@ -2,8 +2,8 @@
 
 Vectors are projected to a few dimensions, shifted, and ordered along a Hilbert curve, several
 times with other projections and shifts. Spark ranges each ordering into blocks of neighbouring
-keys; a query is compared with the blocks around its own on every curve, the candidates are merged
-and ranked by the inner product in double precision. The width of the window is measured: for a
+keys; a query is compared with the blocks around its own on every curve (a segment of blocks at a time), the candidates are merged and ranked
+by the inner product in double precision. The width of the window is measured: for a
 sample of queries, the true neighbours are found by comparison with every row, and the window must
 reach the share RECALL of them.
 
@@ -21,7 +21,8 @@ from vetmill.llm import common, vectors
 
 TOP, EVERY = 20, 20
 CURVES, DIMS, BITS = 3, 6, 10
-BLOCK, CHUNK = 2048, 512
+#: Rows of a block; blocks of a segment; queries compared with a segment in one task.
+BLOCK, SEGMENT, CHUNK = 2048, 16, 512
 #: Bounded samples: rows for block borders, queries for the window.
 BORDER_ROWS, PROBES = 40_000, 128
 RECALL = 0.97
@@ -108,7 +109,7 @@ def nearest(table: DataFrame, every: int = EVERY, top: int = TOP) -> DataFrame:
     # borders of the blocks on each curve, over (key, hash) so that equal keys can be parted
     part = vectors.sample(pool, total, BORDER_ROWS, "vec_id").select("vec_id", "embedding").orderBy("vec_id").toArrow()
     keys = curves.keys(vectors.matrix(part["embedding"].combine_chunks()), False)
-    n_blocks = max(1, -(-total // BLOCK))
+    n_blocks = max(1, min(-(-total // BLOCK), BORDER_ROWS // 4))  # the borders are broadcast: this bounds them
     borders = [np.sort(_fine(keys[:, c], part["vec_id"].to_numpy()))[(np.arange(1, n_blocks) * len(keys)) // n_blocks] for c in range(CURVES)]
     held = pool.sparkSession.sparkContext.broadcast((curves, borders))
 
@@ -136,17 +137,20 @@ def nearest(table: DataFrame, every: int = EVERY, top: int = TOP) -> DataFrame:
     width = _window(pool, vectors.sample(ask, n_ask, PROBES, "vec_id").orderBy("vec_id").limit(PROBES).toArrow(), top, n_blocks)
 
     zipped = F.posexplode("blocks")
-    cand = pool.select("vec_id", "embedding", zipped.alias("curve", "block"))
-    around = F.sequence(F.greatest(F.col("own") - width, F.lit(0)), F.least(F.col("own") + width, F.lit(n_blocks - 1)))
-    asked = ask.select("vec_id", "embedding", zipped.alias("curve", "own")).select("vec_id", "embedding", "curve", F.explode(around).alias("block"))
-    # blocks follow a sample: both sides are dealt into chunks that no block can outgrow
-    cand_n = cand.groupBy("curve", "block").agg(F.ceil(F.count("*") / (2 * BLOCK)).cast("int").alias("cn"))
-    asked_n = asked.groupBy("curve", "block").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("qn"))
-    sizes = common.table(cand_n.join(asked_n, ["curve", "block"]), "sizes")
+    segment = lambda c: F.floor(c / SEGMENT).cast("int")
+    cand = pool.select("vec_id", "embedding", zipped.alias("curve", "block")).withColumn("segment", segment(F.col("block")))
+    asked = ask.select("vec_id", "embedding", zipped.alias("curve", "block"))
+    around = F.sequence(segment(F.greatest(F.col("block") - width, F.lit(0))), segment(F.least(F.col("block") + width, F.lit(n_blocks - 1))))
+    asked = asked.select("vec_id", "embedding", "curve", "block", F.explode(around).alias("segment"))
+    # blocks follow a sample: both sides are dealt into chunks that no segment can outgrow
+    cand_n = cand.groupBy("curve", "segment").agg(F.ceil(F.count("*") / (2 * BLOCK * SEGMENT)).cast("int").alias("cn"))
+    asked_n = asked.groupBy("curve", "segment").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("qn"))
+    sizes = common.table(cand_n.join(asked_n, ["curve", "segment"]), "sizes")
     deal = lambda n: F.pmod(F.xxhash64("vec_id"), n).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    cand = cand.join(sizes, ["curve", "block"]).select("curve", "block", deal("cn").alias("c"), each("qn").alias("q"), "vec_id", "embedding", F.lit(False).alias("asks"))
-    asked = asked.join(sizes, ["curve", "block"]).select("curve", "block", each("cn").alias("c"), deal("qn").alias("q"), "vec_id", "embedding", F.lit(True).alias("asks"))
+    own = ["vec_id", "embedding", "block"]
+    cand = cand.join(sizes, ["curve", "segment"]).select("curve", "segment", deal("cn").alias("c"), each("qn").alias("q"), *own, F.lit(False).alias("asks"))
+    asked = asked.join(sizes, ["curve", "segment"]).select("curve", "segment", each("cn").alias("c"), deal("qn").alias("q"), *own, F.lit(True).alias("asks"))
 
     def compare(g):
         import pandas as pd
@@ -154,16 +158,24 @@ def nearest(table: DataFrame, every: int = EVERY, top: int = TOP) -> DataFrame:
         x, y = g[g["asks"]], g[~g["asks"]].sort_values("vec_id")
         if not len(x) or not len(y):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-        qi, vi = x["vec_id"].to_numpy(), y["vec_id"].to_numpy()
-        # each product summed in one order whatever else is in the block, so equal rows tie
-        score = np.einsum("ij,kj->ik", np.stack(x["embedding"].to_numpy()), np.stack(y["embedding"].to_numpy()))
-        score[qi[:, None] == vi[None]] = -np.inf
-        best = np.argsort(-score, axis=1, kind="stable")[:, :top] if len(vi) <= 4 * top else _top(score, top)
+        qi, qb, e = x["vec_id"].to_numpy(), x["block"].to_numpy(), np.stack(x["embedding"].to_numpy())
+        ids, scores = [], []
+        for at in range(0, len(y), BLOCK):
+            part = y.iloc[at : at + BLOCK]
+            vi = part["vec_id"].to_numpy()
+            # each product summed in one order whatever else is in the block, so equal rows tie
+            score = np.einsum("ij,kj->ik", e, np.stack(part["embedding"].to_numpy()))
+            score[(qi[:, None] == vi[None]) | (np.abs(qb[:, None] - part["block"].to_numpy()[None]) > width)] = -np.inf
+            best = np.argsort(-score, axis=1, kind="stable")[:, :top] if len(vi) <= 4 * top else _top(score, top)
+            ids.append(vi[best])
+            scores.append(np.take_along_axis(score, best, axis=1))
+        ids, scores = np.concatenate(ids, 1), np.concatenate(scores, 1)
+        best = np.argsort(-scores, axis=1, kind="stable")[:, :top]  # parts are in the order of ids
         i = np.repeat(np.arange(len(qi)), best.shape[1])
-        out = pd.DataFrame({"query_id": qi[i], "vec_id": vi[best.ravel()], "score": score[i, best.ravel()]})
+        out = pd.DataFrame({"query_id": qi[i], "vec_id": np.take_along_axis(ids, best, axis=1).ravel(), "score": np.take_along_axis(scores, best, axis=1).ravel()})
         return out[np.isfinite(out["score"])]
 
-    found = cand.unionByName(asked).groupBy("curve", "block", "c", "q").applyInPandas(compare, "query_id long, vec_id long, score double")
+    found = cand.unionByName(asked).groupBy("curve", "segment", "c", "q").applyInPandas(compare, "query_id long, vec_id long, score double")
     merged = found.distinct()
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return merged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
