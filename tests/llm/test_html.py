@@ -39,3 +39,21 @@ def test_style_tree_removes_what_repeats(spark):
     assert by[100].text == "" and by[100].n_chars == 0 and by[None].text == "ok"
     assert by[101].text == "Welcome to the site\nz"
     assert html.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_tree_judges_blocks_in_and_outside_articles(spark):
+    pages = []
+    for i in range(40):
+        article = f"<article><h1>title {i}</h1><p>text {i}</p><p>Share this story</p><p>more {i}</p></article>"
+        own = f"<div class='lead'><p>lead {i}</p></div>"  # varies from page to page, though outside
+        pages.append((i, "http://h.example/x", f"<body><nav><p>Home</p></nav><div class='box'>All rights</div>{own}{article}<div class='ads ad'>buy {i}</div></body>"))
+    pages.append((50, "http://small.example/", "<div>out</div><article><p>in</p><p>Share this story</p></article>"))
+    pages += [(60 + i, "http://same.example/", "<article><p>all the same</p></article>") for i in range(20)]
+    by = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert by[3] == "lead 3\ntitle 3\ntext 3\nmore 3"
+    assert by[50] == "in\nShare this story" and by[60] == "all the same"
+
+
+def test_dropped_branches_enter_the_tree():
+    blocks, _ = html.walk("<nav><p>Home</p></nav><p>out <button>no</button>side</p><article>in<span class=ad>no</span></article>")
+    assert [(b[1], b[2]) for b in blocks] == [("Home", html.NEVER), ("out side", html.OUTSIDE), ("in", html.ARTICLE)]

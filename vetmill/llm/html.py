@@ -5,14 +5,17 @@ For each node the tree counts the presentation styles (child sequences) and the
 texts) that pages show there. Presentation importance is the entropy of the styles to the base of
 the number of pages; content importance is one minus the mean, over contents, of the logarithm of
 the pages that repeat it, to that base. A node's importance mixes its own presentation with the
-contents of all leaves below it. Branches that repeat from page to page come out low and are
-removed from each page.
-
-Fixed rules decide what markup already says: scripts, menus, footers, forms and branches with a class
-or id that is the name of such a part never count as text; those whose class or id only contains such
-a name (site-header, with-sidebar) count from an article or main element on; blocks inside these
-elements otherwise always count. The tree decides on every other block, where its host has MIN_PAGES pages with that node; a
-page that would lose all its blocks so keeps them.
+contents of all leaves below it; a block's importance is that of its node or, where that is less, of
+its own text there. Blocks that repeat from page to page come out low and are removed.
+
+Every block enters the tree. What markup says is a prior that the block's importance is added to
+(PRIOR): blocks inside an article or main element must repeat more to be removed, blocks outside it,
+in a page that has one, must vary from page to page to be kept. One rule stands alone: scripts, menus, footers,
+forms and branches with a class or id that is the name of such a part never count as text, for ads and
+comments vary as text does; those whose class or id only contains such a name (site-header,
+with-sidebar) count from an article or main element on. The tree has a verdict where the host has
+MIN_PAGES pages with that node; elsewhere the prior decides. A page that would lose all its blocks keeps
+those of its prior.
 """
 
 from __future__ import annotations
@@ -27,6 +30,9 @@ from pyspark.sql import functions as F
 from vetmill.llm import common
 
 MIN_PAGES, LEAST, OWN_SHARE, DEEPEST = 8, 0.3, 0.25, 40
+#: What markup says of a block, and what that adds to its importance.
+NEVER, OUTSIDE, OPEN, ARTICLE = range(4)
+PRIOR = {OUTSIDE: -0.5, OPEN: 0.0, ARTICLE: 0.15}
 #: Rows of statistics a task holds before it hands them on.
 FLUSH = 100_000
 
@@ -61,14 +67,21 @@ def host_of(url: str | None) -> str:
 
 
 def parse(page: str | None) -> tuple[list[tuple[str, str, bool]], dict[str, str]]:
-    """Blocks (path, text, open) in page order, and the child sequence of each element's path.
+    """What the rules alone keep: blocks (path, text, open) in page order, and the child sequence of
+    each element's path. `open` blocks are those of pages without an article."""
+    blocks, styles = walk(page)
+    least = max((x[2] for x in blocks), default=NEVER)
+    return [(p, t, least == OPEN) for p, t, level in blocks if level and level == least], styles
+
 
-    Blocks that the rules drop are left out; `open` ones are for the site style tree to judge."""
+def walk(page: str | None) -> tuple[list[tuple[str, str, int]], dict[str, str]]:
+    """All blocks (path, text, what markup says) in page order, and the child sequence of each
+    element's path."""
     page = page or ""
-    blocks: list[tuple[str, str, bool]] = []
+    blocks: list[tuple[str, str, int]] = []
     styles: dict[str, list[str]] = {}
-    # tag, path, dropped (2; 1: up to the next article), in the article
-    stack: list[tuple[str, str, int, bool]] = [("", "", 0, False)]
+    # tag, path, dropped (2; 1: up to the next article), in the article, dropped within a line of text
+    stack: list[tuple[str, str, int, bool, bool]] = [("", "", 0, False, False)]
     text: list[str] = []
     pos = 0
 
@@ -76,8 +89,8 @@ def parse(page: str | None) -> tuple[list[tuple[str, str, bool]], dict[str, str]
         if text:
             said = " ".join("".join(text).split())
             text.clear()
-            if said and not stack[-1][2]:
-                blocks.append((stack[-1][1], said, not stack[-1][3]))
+            if said:
+                blocks.append((stack[-1][1], said, NEVER if stack[-1][2] else ARTICLE if stack[-1][3] else OPEN))
 
     def pop(i: int) -> None:
         while len(stack) > i:
@@ -86,7 +99,7 @@ def parse(page: str | None) -> tuple[list[tuple[str, str, bool]], dict[str, str]
             stack.pop()
 
     while m := _TAG.search(page, pos):
-        if m.start() > pos and not stack[-1][2]:
+        if m.start() > pos and not stack[-1][4]:
             text.append(entities.unescape(page[pos : m.start()]))
         pos, tag = m.end(), (m[2] or "").lower()
         if not tag:
@@ -123,7 +136,8 @@ def parse(page: str | None) -> tuple[list[tuple[str, str, bool]], dict[str, str]
         attrs = {a[0].lower(): a[1] or a[2] or a[3] for a in _ATTR.findall(m[3])} if "=" in m[3] else {}
         marks = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split()
         names = [w for t in marks for w in _WORD.findall(t)]
-        _, path, dropped, inside = stack[-1]
+        _, path, above, inside, mute = stack[-1]
+        dropped = above
         own = tag + ("." + ".".join(names[:4]) if names else "")
         styles.setdefault(path, []).append(own)
         role = attrs.get("role", "").lower()
@@ -135,13 +149,16 @@ def parse(page: str | None) -> tuple[list[tuple[str, str, bool]], dict[str, str]
             dropped = 0
         elif tag not in ("html", "body") and not NOISE_WORDS.isdisjoint(names):
             dropped = max(dropped, 1)
+        if above and not dropped:
+            end_block()
+        mute = tag not in BLOCK and (mute or bool(dropped) and not above)
         # branches below DEEPEST share their node
-        stack.append((tag, f"{path}/{own}" if len(stack) <= DEEPEST else path, dropped, inside))
-    if not stack[-1][2]:
+        stack.append((tag, f"{path}/{own}" if len(stack) <= DEEPEST else path, dropped, inside, mute))
+    if not stack[-1][4]:
         text.append(entities.unescape(page[pos:]))
     end_block()
-    if any(not x[2] for x in blocks):  # the page marks its article: nothing outside belongs to it
-        blocks = [x for x in blocks if not x[2]]
+    if any(x[2] == ARTICLE for x in blocks):
+        blocks = [(p, t, OUTSIDE if level == OPEN else level) for p, t, level in blocks]
     return blocks, {k: " ".join(dict.fromkeys(v)) for k, v in styles.items()}
 
 
@@ -149,7 +166,7 @@ def _parsed(pages: DataFrame) -> DataFrame:
     """One row for each page (blocks), and rows of statistics (host, path, kind, value, n)."""
     from xxhash import xxh3_64_intdigest
 
-    ddl = ("row string, page_id long, url string, host string, blocks array<struct<path:string,text:string,open:boolean>>, "
+    ddl = ("row string, page_id long, url string, host string, blocks array<struct<path:string,text:string,level:int,value:long>>, "
            "path string, kind string, value long, n long")
     schema = common.arrow_schema(ddl)
 
@@ -167,16 +184,19 @@ def _parsed(pages: DataFrame) -> DataFrame:
         for b in batches:
             rows: list[tuple] = []
             for i, url, page in zip(*(b[c].to_pylist() for c in ("page_id", "url", "html")), strict=True):
-                blocks, styles = parse(page)
+                blocks, styles = walk(page)
+                values = [xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) >> 1 for _, t, _ in blocks]
                 host = host_of(url)
                 seen += 1
-                rows.append((f"{own}-{seen}", i, url, host, [{"path": p, "text": t, "open": o} for p, t, o in blocks], None, None, None, None))
+                rows.append((f"{own}-{seen}", i, url, host, [{"path": p, "text": t, "level": k, "value": v} for (p, t, k), v in zip(blocks, values, strict=True) if k], None, None, None, None))
                 for path, style in styles.items():
                     counts[host, path, "style", xxh3_64_intdigest(style.encode()) >> 1] += 1
-                for path, value in {(p, xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) >> 1) for p, t, _ in blocks}:
+                for path, value in {(b[0], v) for b, v in zip(blocks, values, strict=True)}:
                     counts[host, path, "text", value] += 1
                 for path in {p for p, _, _ in blocks}:
                     counts[host, path, "leaf", 0] += 1
+                for path in {p for p, _, k in blocks if k == OUTSIDE}:
+                    counts[host, path, "outside", 0] += 1
                 if len(rows) >= 500:
                     yield common.batch(rows, schema)
                     rows = []
@@ -207,6 +227,23 @@ def style_tree(stats: DataFrame) -> DataFrame:
     return both.select("host", "path", F.greatest("leaf_pages", F.coalesce("m", F.lit(0))).alias("pages"), mixed.alias("importance"))
 
 
+def verdicts(stats: DataFrame) -> DataFrame:
+    """key, importance: the nodes and the texts at a node that come out too low for a page to keep
+    them, and the nodes that have blocks outside an article, which need a verdict to be kept.
+
+    A key is the hash of host and path, with the text's own hash where it speaks of one text."""
+    nodes = style_tree(stats).where(F.col("pages") >= MIN_PAGES)
+    outside = stats.where("kind = 'outside'").select("host", "path").distinct().withColumn("outside", F.lit(True))
+    nodes = nodes.join(outside, ["host", "path"], "left").where((F.col("importance") < LEAST) | F.col("outside"))
+    pages = stats.where("kind = 'leaf'").groupBy("host", "path").agg(F.sum("n").alias("pages")).where(F.col("pages") >= MIN_PAGES)
+    texts = stats.where("kind = 'text'").groupBy("host", "path", "value").agg(F.sum("n").alias("n")).where("n > 1")
+    texts = texts.join(pages, ["host", "path"]).withColumn("importance", 1 - F.log("n") / F.log("pages"))
+    texts = texts.join(outside, ["host", "path"], "left")
+    bound = F.when(F.col("outside"), LEAST - PRIOR[OUTSIDE]).otherwise(LEAST)
+    return nodes.select(F.xxhash64("host", "path").alias("key"), "importance").unionByName(
+        texts.where(F.col("importance") < bound).select(F.xxhash64("host", "path", "value").alias("key"), "importance"))
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars, one row for each row of pages.
 
@@ -214,17 +251,23 @@ def main_text(pages: DataFrame) -> DataFrame:
     joins the tree of the empty host."""
     parsed = common.table(_parsed(pages), "parsed")
     rows = parsed.where("row is not null").select("row", "page_id", "url", "host", "blocks")
-    tree = style_tree(parsed.where("row is null").select("host", "path", "kind", "value", "n"))
-    low = common.table(tree.where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < LEAST)).select("host", F.col("path").alias("low")), "low")
-    parts = F.split("path", "/")
-    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
-    open_ = F.exists("blocks", lambda b: b["open"])
-    asked = rows.where(open_)  # the others need no verdict and no shuffle
-    judged = asked.select("row", "host", F.explode(F.array_distinct(F.transform(F.filter("blocks", lambda b: b["open"]), lambda b: b["path"]))).alias("path"))
-    judged = judged.select("row", "host", "path", F.explode(above).alias("low"))
-    dropped = judged.join(low, ["host", "low"]).groupBy("row").agg(F.collect_set("path").alias("gone"))  # paths of one page
-    out = asked.join(dropped, "row", "left").unionByName(rows.where(~open_).withColumn("gone", F.lit(None).cast("array<string>")))
-    kept = F.filter("blocks", lambda b: ~(b["open"] & F.coalesce(F.array_contains("gone", b["path"]), F.lit(False))))
-    kept = F.when(F.col("gone").isNull() | (F.size(kept) == 0), F.col("blocks")).otherwise(kept)
+    said = common.table(verdicts(parsed.where("row is null").select("host", "path", "kind", "value", "n")), "verdicts")
+    node = lambda b: F.xxhash64("host", b["path"])
+    own = lambda b: F.xxhash64("host", b["path"], b["value"])
+    keys = F.array_distinct(F.flatten(F.transform("blocks", lambda b: F.array(node(b), own(b)))))
+    asked = rows.select("row", F.explode(keys).alias("key")).join(said, "key")
+    # only verdicts meet the pages: the table is small where little repeats, and then no text is shuffled
+    met = common.table(asked.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("key", "importance"))).alias("said")), "met")
+    out = rows.join(met, "row", "left")
+
+    def keep(b):
+        at, text = F.try_element_at("said", node(b)), F.try_element_at("said", own(b))
+        least = F.least(F.coalesce(at, F.lit(1.0)), F.coalesce(text, F.lit(1.0)))
+        prior = F.when(b["level"] == ARTICLE, F.lit(PRIOR[ARTICLE])).when(b["level"] == OPEN, F.lit(PRIOR[OPEN])).otherwise(F.lit(PRIOR[OUTSIDE]))
+        return F.when((b["level"] == OUTSIDE) & at.isNull(), False).otherwise(least + prior >= LEAST)
+
+    plain = F.filter("blocks", lambda b: b["level"] != OUTSIDE)
+    kept = F.filter("blocks", keep)
+    kept = F.when(F.col("said").isNull() | (F.size(kept) == 0), plain).otherwise(kept)
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
     return out.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.char_length("text").cast("bigint"))
