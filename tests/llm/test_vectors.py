@@ -103,3 +103,17 @@ def test_nearest_edge_cases(spark):
     assert ranks == list(range(41, 61)) and {r.query_id for r in got} == {0, 60}
     assert curves.nearest(frame(spark, [])).count() == 0 and curves.nearest(frame(spark, [(0, [1, 0])])).count() == 0
     assert curves.nearest(frame(spark, [(1, [1, 0]), (2, [1, 1])])).count() == 0
+
+
+def test_rare_links_of_a_large_table_are_reached(spark, monkeypatch):
+    """The probes see no link here, and the number of visits must still reach links close to 0.9."""
+    monkeypatch.setattr(multi_index, "PROBES", 1)
+    monkeypatch.setattr(multi_index, "LEAST_VISITS", 1)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    turn = rng.normal(size=(200, 64))
+    turn -= (turn * x[:200]).sum(1, keepdims=True) * x[:200]
+    y = 0.905 * x[:200] + (1 - 0.905**2) ** 0.5 * turn / np.linalg.norm(turn, axis=1, keepdims=True)
+    rows = multi_index.near_duplicates(frame(spark, enumerate([*x.tolist(), *y.tolist()])))
+    assert rows.where("n_links = 1 and vec_id < 200").count() >= 194

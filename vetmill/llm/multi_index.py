@@ -3,8 +3,10 @@
 Unit vectors are cut in halves, each with its own codebook; the pairs of codewords form a grid of
 cells. A multi-sequence traversal visits the cells in the order of a vector's distance, and the
 vectors in the visited cells are compared in double precision. How many cells are visited is
-measured: for a sample of vectors, all their links are found by comparison with every row, and the
-visits must reach each of them, with a margin.
+measured twice, and the larger number taken. For a sample of vectors, all their links are found by
+comparison with every row, and the visits must reach each of them, with a margin. And vectors made
+at a cosine of exactly LINK around sampled ones, the hardest links there can be, must be reached
+from either side in all but MISSED of the cases, whether or not the table holds any links.
 
 Equal vectors are one node with a count. Large cells are compared block by block; a block hands on
 a number of links and the smallest linked id for each vector, never its pairs.
@@ -22,6 +24,8 @@ from vetmill.llm import common, vectors
 LINK = 0.9
 #: Bounded samples: vectors for the codebooks, vectors whose links are found in full.
 FIT_ROWS, PROBES = 20_000, 256
+#: Made partners of the sampled vectors, in all, and the share of them that may be missed.
+PARTNERS, MISSED = 4096, 0.01
 #: Vectors that a cell holds on average; largest codebook; least number of visited cells.
 CELL, CODES, LEAST_VISITS = 32, 1024, 8
 BLOCK = 1024
@@ -107,6 +111,29 @@ def _visits_needed(nodes: DataFrame, probe, books) -> int:
     return nodes.select("embedding").mapInArrow(run, "needed long").agg(F.max("needed")).first()[0] or 0
 
 
+def _visits_for_made(x, books, seed: int = 7) -> int:
+    """The cells that reach all but MISSED of made partners, at a cosine of exactly LINK."""
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    a = x[np.linspace(0, len(x) - 1, PARTNERS).astype(int)]
+    turn = rng.normal(size=a.shape)
+    turn -= (turn * a).sum(1, keepdims=True) * a
+    size = np.sqrt((turn**2).sum(1, keepdims=True))
+    b = LINK * a + (1 - LINK**2) ** 0.5 * turn / np.where(size > 0, size, 1)
+    da, db = halves(a, books), halves(b, books)
+
+    def rank(d, other):
+        i, j = other[0].argmin(1), other[1].argmin(1)
+        at = np.take_along_axis(d[0], i[:, None], 1) + np.take_along_axis(d[1], j[:, None], 1)
+        right = np.sort(d[1], 1)
+        # for each left codeword, the right ones that come before the cell
+        return np.array([np.searchsorted(right[r], at[r, 0] - d[0][r]).sum() + 1 for r in range(len(at))])
+
+    need = np.sort(np.minimum(rank(da, db), rank(db, da)))
+    return int(need[int(np.ceil((1 - MISSED) * len(need))) - 1])
+
+
 def near_duplicates(table: DataFrame) -> DataFrame:
     """vec_id, n_links, component_id and kept, one row for each row of the table.
 
@@ -149,7 +176,7 @@ def _compare(nodes: DataFrame, total: int, size: int) -> DataFrame:
     x = _unit(vectors.matrix(fit["embedding"].combine_chunks()))
     k = int(min(CODES, len(x), max(2, round((total / CELL) ** 0.5))))
     books = [codebook(x[:, : size // 2], k), codebook(x[:, size // 2 :], k)]
-    visits = min(k * k, max(LEAST_VISITS, 2 * _visits_needed(nodes, x[:: max(1, len(x) // PROBES)][:PROBES], books)))
+    visits = min(k * k, max(LEAST_VISITS, _visits_for_made(x, books), 2 * _visits_needed(nodes, x[:: max(1, len(x) // PROBES)][:PROBES], books)))
     ddl = "h1 long, h2 long, rep long, n long, unit array<double>, cell long, visits array<long>"
 
     def assign(batches):
@@ -174,8 +201,8 @@ def _compare(nodes: DataFrame, total: int, size: int) -> DataFrame:
     at = lambda n: F.pmod(F.xxhash64("h1", "h2"), n).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     members = placed.join(held, "cell").select("cell", at("mb").alias("mblock"), each("qb").alias("qblock"), *mine, F.col("cell").alias("home"), F.lit(True).alias("member"))
-    queries = placed.select(F.explode("visits").alias("to"), F.col("cell").alias("home"), *mine).withColumnRenamed("to", "cell").join(held, "cell")
-    queries = queries.select("cell", each("mb").alias("mblock"), at("qb").alias("qblock"), *mine, "home", F.lit(False).alias("member"))
+    queries = placed.select(F.explode("visits").alias("to"), F.col("cell").alias("home"), *mine[:-1]).withColumnRenamed("to", "cell").join(held, "cell")
+    queries = queries.select("cell", each("mb").alias("mblock"), at("qb").alias("qblock"), *mine[:-1], F.lit(None).cast("array<long>").alias("visits"), "home", F.lit(False).alias("member"))
 
     def compare(g):
         m, q = g[g["member"]], g[~g["member"]]
