@@ -56,6 +56,13 @@ def test_pii_like_brute_force(spark):
     assert sorted((repr(r.doc_id), r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in got) == want
 
 
+def test_cards_with_a_mark_after_every_digit(spark):
+    cards = [mark.join("4111111111111111") for mark in (" ", "-")]
+    got = pii.digest(pii.find(frame(spark, enumerate(cards)))).orderBy("doc_id").collect()
+    assert [(r.n_card, r.base_sha256) for r in got] == [(1, sha(found(PII, t))) for t in cards]
+    assert {r.text for r in pii.redact(frame(spark, enumerate(cards))).collect()} == {"[CARD]"}
+
+
 def test_pii_checksums_context_and_redaction(spark):
     rows = [(1, "pay DE89370400440532013000 not DE88370400440532013000"), (2, "my ssn: 123-45-6789"), (3, "part 123-45-6789"), (4, "mail a@b.co, ip 1.2.3.4!"), (5, None)]
     spans = {r.doc_id: r.spans for r in pii.digest(pii.find(frame(spark, rows))).collect()}

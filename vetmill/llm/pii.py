@@ -30,6 +30,7 @@ PATTERNS: dict[str, str] = {
 BASE = ["email", "ip", "card", "phone"]
 #: Cheap tests that a text with a match passes.
 HINTS = {"email": "@", "ip": ".", "phone": "+", "ssn": "-"}
+DIGITS = {"card": "[0-9][ -]?[0-9]", "iban": "[0-9]{2}"}
 #: Score of a confirmed span, what a word nearby adds, and the words (fixed values).
 SCORES = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9, "ssn": 0.4}
 NEARBY = 0.3
@@ -95,7 +96,7 @@ def find(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     docs = docs.select(F.struct(*keep).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     text, held = F.col("text"), []
     for kind, (name, pattern) in enumerate(PATTERNS.items()):
-        due = F.contains(text, F.lit(HINTS[name])) if name in HINTS else text.rlike("[0-9]{2}")
+        due = F.contains(text, F.lit(HINTS[name])) if name in HINTS else text.rlike(DIGITS[name])
         proposed = F.filter(spans.matches(text, pattern, kind), _test(name))
         held.append(F.when(due, proposed).otherwise(spans.none()).alias(name))
     docs = docs.select("row", "text", *held)
