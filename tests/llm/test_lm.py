@@ -67,3 +67,20 @@ def test_empty(spark):
     assert lm.score_documents(none, F.lit(False), path).count() == 0
     one = lm.score_documents(spark.createDataFrame([(1, "only held out")], "doc_id long, text string"), F.lit(True), path).first()
     assert one.train_tokens == 0 and one.n_known == 0 and one.base_score == 0 and math.isfinite(one.score)
+
+
+def test_long_pieces_and_long_words_count(spark):
+    names = [bytes([b]) for b in b" abcdefghijkl"] + [b" abcdefghijkl", b"bcdefghijklab"]
+    probs = {p: 1 / len(names) for p in names}
+    lattice = lm.Lattice(names, [math.log(p) for p in probs.values()])
+    for word in (b"abcdefghijkl", b"abcdefghijklabcdefghijkl", b"abcdefghijkl" * 5):
+        assert math.isclose(lattice.forward([word])[0, 0], math.log(brute(word, probs)))
+        got = np.zeros(len(names))
+        lattice.expect_long(word, 0, got)
+        assert np.allclose(got, lattice.expect([word], 0))
+    path = queries.tokenizer(queries.BYTE_BPE)
+    assert b" government" in lm.pieces(path)[0]
+    word = b"zq" * 30  # over SHORT
+    fitted = [lm.fit(spark.createDataFrame([(bytearray(w), 1) for w in words], "word binary, c0 long"), path, 1)[1][0] for words in ([b"the"], [b"the", word])]
+    at = lm.pieces(path)[0].index(b"z")
+    assert fitted[1][at] > fitted[0][at]

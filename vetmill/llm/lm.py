@@ -36,8 +36,8 @@ ROUNDS = 2
 GROUPS, SHARE, OWN, ALL = 8, 0.01, 0.9, 0.02
 #: Words that scoring may look up in memory, and the longest of them in bytes.
 HOT, HOT_BYTES = 200_000, 256
-#: Longest piece used; longest word scored in a batch of words of its length.
-PIECE, SHORT = 10, 48
+#: Longest word that is scored in a batch of words of its length; longer ones go one at a time.
+SHORT = 48
 FLUSH = 300_000
 SPACES = set(b"\x20\x09\x0a\x0b\x0c\x0d")
 
@@ -54,7 +54,7 @@ def pieces(path: str) -> tuple[list[bytes], list[float]]:
             continue
         raw = bytes(code[c] for c in token)
         body = raw[1:] if raw[:1] == b" " else raw
-        if len(raw) <= PIECE and not any(b in SPACES or 65 <= b <= 90 for b in body):
+        if not any(b in SPACES or 65 <= b <= 90 for b in body):
             out[raw] = 1 / (rank + 100)
     for b in range(256):
         if b not in SPACES - {32} and not 65 <= b <= 90:
@@ -71,6 +71,7 @@ class Lattice:
         import numpy as np
 
         self.scores = np.atleast_2d(np.asarray(scores, float))
+        self.longest = max(map(len, names))
         used = sorted({b for p in names for b in p})
         self.classes = np.zeros(256, np.int32)
         self.classes[used] = np.arange(1, len(used) + 1)
@@ -98,7 +99,7 @@ class Lattice:
         n = x.shape[1]
         for i in range(n):
             at = self.next[1, x[:, i]]
-            for j in range(i + 1, min(i + PIECE, n) + 1):
+            for j in range(i + 1, min(i + self.longest, n) + 1):
                 if j > i + 1:
                     at = self.next[at, x[:, j - 1]]
                 if not at.any():
@@ -146,9 +147,9 @@ class Lattice:
         return out
 
     def long(self, word: bytes, model: int) -> float:
-        """The forward recursion for one long word, in memory that follows PIECE, not its length."""
+        """The forward recursion for one long word, in memory that follows the longest piece, not its length."""
         x, score, children = self.classes[list(b" " + word)].tolist(), self.score[model], self.children
-        ahead: list[list[float]] = [[] for _ in range(PIECE + 1)]
+        ahead: list[list[float]] = [[] for _ in range(self.longest + 1)]
         ahead[0].append(0.0)
         for i in range(len(x)):
             got = ahead.pop(0)
@@ -158,7 +159,7 @@ class Lattice:
             top = max(got)
             alpha = top + math.log(sum(math.exp(v - top) for v in got))
             at = 1
-            for j in range(i, min(i + PIECE, len(x))):
+            for j in range(i, min(i + self.longest, len(x))):
                 at = children[at].get(x[j], 0)
                 if not at:
                     break
@@ -169,6 +170,33 @@ class Lattice:
         return top + math.log(sum(math.exp(v - top) for v in got))
 
 
+    def expect_long(self, word: bytes, model: int, out) -> None:
+        """Add the expected number of uses of each piece in one long word to out, a number a piece."""
+        import numpy as np
+
+        x, score, children = self.classes[list(b" " + word)].tolist(), self.score[model], self.children
+        n = len(x)
+        alpha, beta = np.full(n + 1, -np.inf), np.full(n + 1, -np.inf)
+        alpha[0] = beta[n] = 0
+
+        def arcs(i):
+            at = 1
+            for j in range(i, min(i + self.longest, n)):
+                at = children[at].get(x[j], 0)
+                if not at:
+                    break
+                if score[at] > -math.inf:
+                    yield j + 1, at
+
+        for i in range(n):
+            for j, at in arcs(i):
+                alpha[j] = np.logaddexp(alpha[j], alpha[i] + score[at])
+        for i in reversed(range(n)):
+            for j, at in arcs(i):
+                beta[i] = np.logaddexp(beta[i], score[at] + beta[j])
+                out[self.piece[at]] += math.exp(alpha[i] + score[at] + beta[j] - alpha[n])
+
+
 def tokens(text: str | None) -> list[bytes]:
     """Words of a text with A-Z in lower case; the end of the text is written as an empty word."""
     return [*(text or "").encode("utf-8", "surrogatepass").translate(common.LOWER).split(), b""]
@@ -217,16 +245,14 @@ def _by_length(words: list[bytes], size: int = 4096):
 
 def fit(vocab: DataFrame, path: str, groups: int, rounds: int = ROUNDS) -> tuple[list[bytes], list[list[float]]]:
     """Pieces and log scores after expectation-maximization over all distinct training words: first
-    the model of all, whose expectations are the sum of the groups', then one for each group.
-
-    Words longer than SHORT bytes, which are rather data than words, have no part in it."""
+    the model of all, whose expectations are the sum of the groups', then one for each group."""
     import numpy as np
 
     names, start = pieces(path)
     scores = [start] * (groups + 1)
     ddl = "model int, piece int, n double"
     schema = common.arrow_schema(ddl)
-    seen = vocab.where(F.octet_length("word").between(1, SHORT))
+    seen = vocab.where(F.octet_length("word") > 0)
     for _ in range(rounds):
         held = vocab.sparkSession.sparkContext.broadcast((names, scores))
 
@@ -237,6 +263,10 @@ def fit(vocab: DataFrame, path: str, groups: int, rounds: int = ROUNDS) -> tuple
                 words = b["word"].to_pylist()
                 for z in range(groups):
                     own = [words[i] for i in np.flatnonzero(b[f"c{z}"].to_numpy() > 0)]
+                    for w in own:
+                        if len(w) > SHORT:
+                            lattice.expect_long(w, z + 1, total[z + 1])
+                    own = [w for w in own if len(w) <= SHORT]
                     for at in _by_length(own):
                         total[z + 1] += lattice.expect([own[i] for i in at], z + 1)
             yield common.batch([(int(z), int(i), float(total[z, i])) for z, i in np.argwhere(total > 0)], schema)
