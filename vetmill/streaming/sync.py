@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from vetmill.operators.sync import IDS, export_records, with_hashes
-
-DELAY = "30 days"
+from vetmill.operators.sync import export_records, with_hashes
 
 
 def write_new(batch: DataFrame, sink: str) -> None:
@@ -26,22 +24,14 @@ def write_new(batch: DataFrame, sink: str) -> None:
 
 
 def sync_stream(stream: DataFrame, normalize: Callable[[DataFrame], DataFrame], feed: str, sink: str, checkpoint: str,
-                watermark_in: str | None = None, delay: str = DELAY) -> StreamingQuery:
-    """Export what a stream of landed rows brings and stop: normalize, hash, drop repeats, export.
+                watermark_in: str | None = None) -> StreamingQuery:
+    """Export what a stream of landed rows brings and stop: normalize, hash, export.
 
-    Repeats of an id with the same content are dropped within `delay` of their updated_at, which
-    bounds the state. Rows without a readable updated_at have no place in event time and go round
-    that state; the sink's keys still keep them from being written twice."""
+    No state is kept and no row is too late: repeats of an id with the same content, however far
+    apart, are dropped by the sink's keys."""
     rows = with_hashes(normalize(stream), feed)
-    rows = rows.withColumn("_ts", F.try_to_timestamp("updated_at"))
-    key = IDS[feed]
-
-    def export(part: DataFrame) -> DataFrame:
-        return export_records(part.drop("_ts"), feed, watermark_in).withColumn("source_hash", F.col("payload.source_hash"))
-
-    timed = rows.where("_ts is not null").withWatermark("_ts", delay).dropDuplicatesWithinWatermark([key, "source_hash"])
-    both = export(timed).unionByName(export(rows.where("_ts is null")))
-    return (both.writeStream.foreachBatch(lambda batch, _: write_new(batch, sink))
+    out = export_records(rows, feed, watermark_in).withColumn("source_hash", F.col("payload.source_hash"))
+    return (out.writeStream.foreachBatch(lambda batch, _: write_new(batch, sink))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
