@@ -1,3 +1,5 @@
+import hashlib
+
 import duckdb
 import pytest
 
@@ -29,3 +31,10 @@ def test_like_sql(spark, sql, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0 and set(SQL) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_names_folded_over_all_documents(spark, tmp_path):
+    texts = ["Straße", "GROẞ  und\tklein", "ΟΔΟΣ Σοφός", "École", "plain Text", "", None]
+    spark.createDataFrame([(i, t, "de") for i, t in enumerate(texts)], "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.key for r in QUERIES["names_folded_all"](spark, str(tmp_path)).collect()}
+    assert got == {i: hashlib.sha256(" ".join((t or "").split()).casefold().encode()).hexdigest() for i, t in enumerate(texts)}
