@@ -530,3 +530,10 @@ def names_folded(spark, d):
 def names_folded_all(spark, d):
     """All documents; SQL has no case folding, so tests hold fold_key against Python's instead."""
     return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.sha2(fold_key("text").cast("binary"), 256).alias("key"))
+
+
+@query("default_ids_all", f"SELECT 'alert' AS kind, id, min(feed_pos) AS feed_pos FROM (SELECT feed_pos, unnest(ids) AS id FROM {_ALERTS} i) x GROUP BY id UNION ALL SELECT 'reminder', b, min(feed_pos) FROM {I.sql(I.BLOBS)} l WHERE kind IN (1, 2) GROUP BY b")
+def default_ids_all(spark, d):
+    raw = I.blobs(spark, d)
+    both = payloads.alert_ids(raw).withColumn("kind", F.lit("alert")).unionByName(payloads.reminder_ids(raw).withColumn("kind", F.lit("reminder")))
+    return both.select("kind", "id", F.col("pos.feed_pos").alias("feed_pos"))
