@@ -16,7 +16,7 @@ DOCS = "doc_id long, text string, doc string, ids int"
 def both():
     from tokenizers import Tokenizer
 
-    return bpe.codec(tokenizer()), Tokenizer.from_file(tokenizer())
+    return bpe.codec(tokenizer()).open(), Tokenizer.from_file(tokenizer())
 
 
 def same(both, text):
@@ -46,8 +46,38 @@ def test_real_and_odd_texts(both):
         same(both, t)
 
 
-def test_every_token_leads_somewhere(both):
-    assert all(both[0].automaton.alive[i] for i in both[0].ids.values())
+def test_automaton_is_compiled():
+    codec = bpe.codec(tokenizer())
+    a = codec.automaton
+    assert a.states == 11612 and a.transitions == 483_840_410 and a.table.nbytes < 25_000_000
+    assert all(a.row[i] >= 0 and a.column[i] >= 0 for i in codec.label if i not in codec.special.values())
+
+
+def test_small_automaton_accepts_what_merging_makes():
+    """All sequences of tokens over words of two letters, against plain merging."""
+    from itertools import product
+
+    texts = ["a", "b", "ab", "aa", "aab", "abb", "bab", "aaaa"]
+    merges = [(0, 1, 2), (0, 0, 3), (0, 2, 4), (2, 1, 5), (1, 2, 6), (3, 3, 7)]
+    automaton = bpe.Automaton([0, 1], merges, 8)
+
+    def plain(word):
+        ids = [texts.index(c) for c in word]
+        for u, v, w in merges:
+            out = []
+            for t in ids:
+                if out and out[-1] == u and t == v:
+                    out[-1] = w
+                else:
+                    out.append(t)
+            ids = out
+        return ids
+
+    right = {tuple(plain("".join(w))) for n in range(1, 9) for w in product("ab", repeat=n)}
+    for n in range(1, 4):
+        for seq in product(range(8), repeat=n):
+            if len("".join(texts[t] for t in seq)) <= 8:
+                assert (seq in right) == all(automaton.step(a, b) for a, b in zip(seq, seq[1:])), seq
 
 
 def test_rows(spark, both):

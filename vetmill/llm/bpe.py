@@ -1,21 +1,20 @@
 """Byte-pair encoding and decoding by a tokenization automaton.
 
-The merges of an existing tokenizer are compiled, in their order, into a deterministic automaton
-over tokens whose paths are exactly the right token sequences. It starts as one state with a loop
-for each base symbol. The gadget of a merge (u, v) -> w then
-
-* copies the state that u leads to, without its v transition, and redirects u to the copy;
-* gives w to every state that has u, leading where v led.
-
-All transitions of one label lead to one state, so a state is named by its label. A copy differs
-from its original by one removed transition; states therefore keep what was removed from them and
-when, and inherit the rest from the state they were copied from. A transition is read off that
-structure at its first use and then stands in a table; the automaton written out in full would
-hold a transition for most pairs of tokens.
-
-Encoding a pre-split word walks this table: the longest arc label at the position whose transition
-exists is taken, a dead end is marked and left once, so the time is linear in the word. Decoding
-emits the labels of the arcs.
+The merges of an existing tokenizer are compiled on the driver, in their order, into a deterministic
+automaton over tokens whose paths are exactly the right token sequences. It starts as one state with
+a loop for each base symbol. The gadget of a merge (u, v) -> w then
+
+* gives the label w to every state that has u, leading to the state that v leads to;
+* copies the state that u leads to, if other labels lead there as well, and takes v out of the copy.
+
+All transitions of one label lead to one state, so the automaton is a table of states by labels;
+labels that the same states have share a column until a gadget parts them. With the packed table
+goes a matching automaton over bytes (a trie of the labels with failure links). Both are arrays,
+sent to the workers once.
+
+A pre-split word is read byte by byte: the matching automaton names the labels that end there,
+longest first, and the one whose transition exists from the label before it is the last token of
+what has been read. Nothing is taken back. Decoding emits the labels of the arcs.
 """
 
 from __future__ import annotations
@@ -33,10 +32,15 @@ from pyspark.sql import functions as F
 
 from vetmill.llm import common
 
-#: Bounds of the per-process memo tables; they are emptied when full, which changes no result.
-WORDS, PAIRS = 1_000_000, 1_500_000
+#: Bounds of a task's memo of words: entries, and characters of an entry. It is emptied when full,
+#: which changes no result.
+WORDS, WORD = 100_000, 64
+#: Characters of texts that a task encodes before it hands rows on.
+FLUSH = 4_000_000
 #: Words are held as one character for each byte; this one stands for the end of a word.
 END = "\u0100"
+#: Bits of a symbol in the keys of the matching automaton's arcs.
+SYMBOL = 9
 #: Characters for which `regex`, Python and the tokenizers library agree on classes and lower case.
 PLAIN = regex.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-įı-ſ‐-‧€]*")
 
@@ -49,54 +53,96 @@ def _byte_chars() -> list[str]:
 
 
 class Automaton:
-    """Compiled from the merges (pairs of token ids with the id they make, in merge order)."""
+    """Compiled from the merges (pairs of token ids with the id they make, in merge order).
+
+    row[t]: the state that label t leads to; column[t]: the labels that the same states have; bit
+    column of table[row]: whether the transition is there."""
 
     def __init__(self, base: list[int], merges: list[tuple[int, int, int]], size: int):
-        self.left, self.right = [-1] * size, [-1] * size
-        self.time = [-1] * size  # -1: a base symbol
-        self.alive = [False] * size
-        self.removed: list[dict[int, int]] = [{} for _ in range(size)]
-        self.table: dict[int, bool] = {}
-        self.size = size
+        import numpy as np
+
+        row, column = [-1] * size, [-1] * size
         for t in base:
-            self.alive[t] = True
-        for at, (u, v, w) in enumerate(merges):
-            self._gadget(at, u, v, w)
-
-    def _gadget(self, at: int, u: int, v: int, w: int) -> None:
-        self.alive[w] = self.alive[u] and self.alive[v] and self._has(u, v, at)
-        self.left[w], self.right[w], self.time[w] = u, v, at
-        self.removed[u].setdefault(v, at)
-
-    def _has(self, state: int, label: int, at: int) -> bool:
-        """Whether the state that `state`'s label leads to has `label`, just before gadget `at`."""
-        while True:
-            if self.removed[state].get(label, at) < at:
-                return False
-            if self.time[label] > self.time[state]:
-                if not self.alive[label]:
-                    return False
-                # + 1: in the gadget of (u, u) the copy behind u has lost u, and so gets no w
-                label, at = self.left[label], self.time[label] + 1
-            elif self.time[state] >= 0:
-                if label == state:  # w behind w: its state is the one that v led to, uncopied
-                    label = self.left[label]
-                state, at = self.right[state], self.time[state]
-            else:
-                return True
+            row[t] = column[t] = 0
+        # how many labels lead to a state, and share a column
+        to, of, rows, columns = [len(base)], [len(base)], 1, 1
+        table = np.ones((1024, 1024), bool)
+        for u, v, w in merges:
+            if row[u] < 0 or row[v] < 0 or not table[row[u], column[v]]:
+                continue  # u is never followed by v here, so no word has w
+            row[w] = row[v]
+            to[row[v]] += 1
+            if to[row[u]] > 1:
+                if rows == len(table):
+                    table = np.concatenate([table, np.empty_like(table)])
+                table[rows, :columns] = table[row[u], :columns]
+                to[row[u]] -= 1
+                row[u] = rows
+                rows += 1
+                to.append(1)
+            if of[column[v]] > 1:
+                if columns == table.shape[1]:
+                    table = np.concatenate([table, np.empty_like(table)], axis=1)
+                table[:rows, columns] = table[:rows, column[v]]
+                of[column[v]] -= 1
+                column[v] = columns
+                columns += 1
+                of.append(1)
+            table[row[u], column[v]] = False
+            column[w] = column[u]
+            of[column[u]] += 1
+        self.row, self.column = np.array(row, np.int32), np.array(column, np.int32)
+        self.transitions = int(table[:rows, :columns].sum(0) @ np.array(of))
+        self.table = np.packbits(table[:rows, :columns], axis=1, bitorder="little")
+
+    @property
+    def states(self) -> int:
+        return len(self.table)
 
     def step(self, state: int, label: int) -> bool:
-        key = state * self.size + label
-        got = self.table.get(key)
-        if got is None:
-            if len(self.table) >= PAIRS:
-                self.table.clear()
-            got = self.table[key] = self._has(state, label, 1 << 60)
-        return got
+        """Whether the state that the label `state` leads to has a transition of this label."""
+        c = int(self.column[label])
+        return bool(self.table[self.row[state], c >> 3] >> (c & 7) & 1)
+
+
+class Matcher:
+    """Trie of labels with failure links: arcs (node << SYMBOL | symbol -> node), and for each node the
+    longest label that ends there; for each label its length and the next shorter one that ends it."""
+
+    def __init__(self, labels: dict[str, int], size: int):
+        import numpy as np
+
+        arcs: dict[int, int] = {}
+        own, depth = [-1], [0]
+        for text, t in labels.items():
+            node = 0
+            for ch in text:
+                key = node << SYMBOL | ord(ch)
+                node = arcs.get(key, -1)
+                if node < 0:
+                    node = arcs[key] = len(own)
+                    own.append(-1)
+                    depth.append(depth[key >> SYMBOL] + 1)
+            own[node] = t
+        fail, out = [0] * len(own), [-1] * len(own)
+        width, shorter = np.zeros(size, np.int32), np.full(size, -1, np.int32)
+        for key, node in sorted(arcs.items(), key=lambda x: depth[x[1]]):
+            at, symbol = key >> SYMBOL, key & (1 << SYMBOL) - 1
+            while at:
+                at = fail[at]
+                if at << SYMBOL | symbol in arcs:
+                    fail[node] = arcs[at << SYMBOL | symbol]
+                    break
+            out[node] = out[fail[node]]
+            if own[node] >= 0:
+                shorter[own[node]], width[own[node]] = out[node], depth[node]
+                out[node] = own[node]
+        self.keys, self.nodes = np.array(list(arcs), np.int64), np.array(list(arcs.values()), np.int32)
+        self.fail, self.out, self.width, self.shorter = np.array(fail, np.int32), np.array(out, np.int32), width, shorter
 
 
 class Codec:
-    """Encoder and decoder for one tokenizer file of the word-end byte-level kind."""
+    """What is compiled from one tokenizer file of the word-end byte-level kind; open() gives a coder."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -113,63 +159,65 @@ class Codec:
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.label = {i: t for t, i in vocab.items() if t not in self.special}
         self.label |= {i: t for t, i in self.special.items()}
-        self.ids = {raw(t): i for t, i in vocab.items() if t not in self.special}
+        ids = {raw(t): i for t, i in vocab.items() if t not in self.special}
         size = max(self.label) + 1
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        base = [i for t, i in self.ids.items() if len(t.removesuffix(END)) == 1]
+        base = [i for t, i in ids.items() if len(t.removesuffix(END)) == 1]
         self.automaton = Automaton(base, [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs], size)
-        top: list = [-1, {}]  # trie of arc labels: id or -1, children
-        self.trie = top[1]
-        self.width, self.shorter, self.longest = [0] * size, [-1] * size, max(map(len, self.ids))
-        for t, i in sorted(self.ids.items(), key=lambda x: len(x[0])):
-            node = top
-            self.width[i] = len(t)
-            for ch in t:
-                if node[0] >= 0:
-                    self.shorter[i] = node[0]
-                node = node[1].setdefault(ch, [-1, {}])
-            node[0] = i
+        self.matcher = Matcher(ids, size)
+        # the library's own rules for cutting texts, without its vocabulary
+        spec["model"] = {**model, "vocab": {}, "merges": [], "unk_token": None}
+        self.rules = json.dumps(spec | {"added_tokens": [], "post_processor": None})
+
+    def open(self) -> Coder:
+        return Coder(self)
+
+
+class Coder:
+    """Encoder and decoder of one task, with a bounded memo of words."""
+
+    def __init__(self, codec: Codec):
+        a, m = codec.automaton, codec.matcher
+        self.table, self.stride = a.table.tobytes(), a.table.shape[1]
+        self.row, self.column = (a.row * a.table.shape[1]).tolist(), a.column.tolist()
+        self.arcs = dict(zip(m.keys.tolist(), m.nodes.tolist(), strict=True))
+        self.fail, self.out, self.width, self.shorter = m.fail.tolist(), m.out.tolist(), m.width.tolist(), m.shorter.tolist()
+        self.special, self.label, self.rules = codec.special, codec.label, codec.rules
         self.splitter = regex.compile("|".join(map(regex.escape, self.special)))
         self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-        self.spaces = regex.compile(r"\s+")
-        self.path, self._library = path, None
+        self._library = None
         self.memo: dict[str, bytes] = {}
 
     def encode_word(self, word: str) -> list[int]:
         """Token ids of one pre-split word by transitions of the automaton."""
-        s = (word if word.isascii() else word.encode("utf-8").decode("latin-1")) + END
-        root, width, shorter, table, size = self.trie, self.width, self.shorter, self.automaton.table, self.automaton.size
-        n, pos, last, out, dead = len(s), 0, -1, [], set()
-        while pos < n:
-            children, t = root, -1
-            for ch in s[pos : pos + self.longest]:
-                node = children.get(ch)
-                if node is None:
-                    break
-                i, children = node
-                if i >= 0:
-                    t = i
-            while True:
-                if t < 0:  # a dead end: mark it, and shorten the arc that led here
-                    if not out:
-                        raise ValueError("the vocabulary lacks a base symbol")
-                    dead.add(pos)
-                    t = out.pop()
-                    pos -= width[t]
-                    last = out[-1] if out else -1
-                    t = shorter[t]
-                    continue
-                if pos + width[t] not in dead:
-                    if last < 0:
+        table, row, column, arcs, fail, out, width, shorter = self.table, self.row, self.column, self.arcs, self.fail, self.out, self.width, self.shorter
+        node, last = 0, [-1]  # the last token of each beginning of the word
+        for i, symbol in enumerate([*word.encode("utf-8"), ord(END)], 1):
+            key = arcs.get(node << SYMBOL | symbol)
+            while key is None and node:
+                node = fail[node]
+                key = arcs.get(node << SYMBOL | symbol)
+            node = key or 0
+            t = out[node]
+            while t >= 0:
+                before = last[i - width[t]]
+                if before < 0:
+                    if i == width[t]:
                         break
-                    ok = table.get(last * size + t)
-                    if ok or ok is None and self.automaton.step(last, t):
+                else:
+                    c = column[t]
+                    if table[row[before] + (c >> 3)] >> (c & 7) & 1:
                         break
                 t = shorter[t]
-            out.append(t)
-            last = t
-            pos += width[t]
-        return out
+            last.append(t)
+        at, ids = len(last) - 1, []
+        while at:
+            t = last[at]
+            if t < 0:
+                raise ValueError("the vocabulary lacks a base symbol")
+            ids.append(t)
+            at -= width[t]
+        return ids[::-1]
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a run of normalized words without white space between them."""
@@ -179,7 +227,7 @@ class Codec:
             got = struct.pack(f"<{len(ids)}I", *ids)
         else:
             got = b"".join([memo.get(w) or self._chunk(w) for w in words])
-        if len(chunk) <= 64:
+        if len(chunk) <= WORD:
             if len(memo) >= WORDS:
                 memo.clear()
             memo[chunk] = got
@@ -193,7 +241,7 @@ class Codec:
         if self._library is None:
             from tokenizers import Tokenizer
 
-            self._library = Tokenizer.from_file(self.path)
+            self._library = Tokenizer.from_str(self.rules)
         back = {c: b for b, c in enumerate(_byte_chars())}
         normal = self._library.normalizer.normalize_str(text)
         words = self._library.pre_tokenizer.pre_tokenize_str(normal)
@@ -218,25 +266,30 @@ _codecs: dict[str, Codec] = {}
 
 
 def codec(path: str) -> Codec:
-    """The compiled codec of a tokenizer file, one for each process."""
+    """The compiled codec of a tokenizer file; the driver keeps one of each."""
     if path not in _codecs:
         _codecs[path] = Codec(path)
     return _codecs[path]
 
 
-def map_texts(docs: DataFrame, ddl: str, each: Callable[[object, str], list[tuple]]) -> DataFrame:
-    """Rows that `each` gives for (doc_id, text), in batches on the executors."""
-    schema = common.arrow_schema(ddl)
+def map_texts(docs: DataFrame, path: str, ddl: str, each: Callable[[Coder, object, str], list[tuple]]) -> DataFrame:
+    """Rows that `each` gives for (coder, doc_id, text), in batches on the executors. The automaton is
+    sent there once; a coder and its memo end with their task."""
+    schema, held = common.arrow_schema(ddl), docs.sparkSession.sparkContext.broadcast(codec(path))
 
     def run(batches):
+        coder = held.value.open()
+        out: list[tuple] = []
+        size = 0
         for b in batches:
-            out: list[tuple] = []
-            for i, t in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
-                out += each(i, t or "")
-                if len(out) >= 5000:
+            for i, text in zip(b["doc_id"].to_pylist(), b["text"], strict=True):
+                text = text.as_py() or ""  # one at a time: a batch may hold very long ones
+                out += each(coder, i, text)
+                size += len(text)
+                if len(out) >= 5000 or size > FLUSH:
                     yield common.batch(out, schema)
-                    out = []
-            yield common.batch(out, schema)
+                    out, size = [], 0
+        yield common.batch(out, schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ddl)
 
@@ -244,26 +297,25 @@ def map_texts(docs: DataFrame, ddl: str, each: Callable[[object, str], list[tupl
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ids (binary, little-endian unsigned 32-bit) and decoded text of every document.
 
-    A null or empty text has no ids and an empty decoded text; rows with equal or null doc_id stay
-    apart; other columns are left aside."""
-    def each(i, text):
-        c = codec(path)
-        ids = c.encode(text)
-        return [(i, ids, c.decode(ids))]
+    A null or empty text has no ids and an empty decoded text; texts of any length are encoded whole;
+    rows with equal or null doc_id stay apart; other columns are left aside; an empty table gives no
+    rows."""
+    def each(coder, i, text):
+        ids = coder.encode(text)
+        return [(i, ids, coder.decode(ids))]
 
-    return map_texts(docs, "doc_id long, ids binary, decoded string", each)
+    return map_texts(docs, path, "doc_id long, ids binary, decoded string", each)
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document (see encode_documents),
     digested where the ids are made so that neither ids nor decoded text leave the worker."""
-    def each(i, text):
-        c = codec(path)
-        ids = c.encode(text)
-        said = c.decode(ids).encode("utf-8")
+    def each(coder, i, text):
+        ids = coder.encode(text)
+        said = coder.decode(ids).encode("utf-8")
         return [(i, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(said).hexdigest())]
 
-    return map_texts(docs, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", each)
+    return map_texts(docs, path, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", each)
 
 
 def document_pieces(docs: DataFrame, path: str, limit: int, buckets: int) -> DataFrame:
@@ -272,8 +324,8 @@ def document_pieces(docs: DataFrame, path: str, limit: int, buckets: int) -> Dat
     Returns doc_id, piece, start, length, ids_crc32 and bucket (0 to buckets-1, dealt in turn)."""
     turn = [0]
 
-    def each(i, text):
-        ids = codec(path).encode(text) + b"\0\0\0\0"
+    def each(coder, i, text):
+        ids = coder.encode(text) + b"\0\0\0\0"
         out = []
         for k, at in enumerate(range(0, len(ids), 4 * limit)):
             part = ids[at : at + 4 * limit]
@@ -281,4 +333,4 @@ def document_pieces(docs: DataFrame, path: str, limit: int, buckets: int) -> Dat
             out.append((i, k, at // 4, len(part) // 4, zlib.crc32(part), turn[0] % buckets))
         return out
 
-    return map_texts(docs, "doc_id long, piece int, start long, length long, ids_crc32 long, bucket int", each)
+    return map_texts(docs, path, "doc_id long, piece int, start long, length long, ids_crc32 long, bucket int", each)
