@@ -19,30 +19,63 @@ def bins_needed(items, capacity):
     return best
 
 
-def test_plans_are_whole_and_tight():
-    rng, worse = random.Random(3), 0
-    for _ in range(60):
-        capacity = 20
-        items = sorted((rng.randint(1, 20) for _ in range(rng.randint(1, 8))), reverse=True)
-        plan = packing.complete(dict(Counter(items)), capacity)
+def test_plans_are_whole_and_the_fewest():
+    rng, better = random.Random(3), 0
+    for _ in range(400):
+        capacity = rng.choice([12, 20, 50])
+        items = sorted((rng.randint(1, capacity) if rng.random() < 0.4 else rng.randint(capacity // 5, capacity // 2) for _ in range(rng.randint(1, 8))), reverse=True)
+        plan, settled = packing.complete(dict(Counter(items)), capacity, None)
         used = Counter()
         for filling, bins in plan:
             assert sum(k * n for k, n in filling) <= capacity
             for k, n in filling:
                 used[k] += n * bins
-        assert used == Counter(items)
-        worse += sum(b for _, b in plan) - bins_needed(items, capacity)
-    assert worse <= 2
+        assert used == Counter(items) and settled
+        n = sum(b for _, b in plan)
+        assert packing.lower_bound(Counter(items), capacity) <= n == bins_needed(items, capacity)
+        better += n < sum(b for _, b in packing.best_fit(Counter(items), capacity))
+    assert better > 0
 
 
-def test_completion_beats_best_fit_where_it_can():
-    counts = {6: 4, 5: 4, 4: 4, 3: 8}  # capacity 12: best fit decreasing leaves gaps
+def test_completion_beats_best_fit():
     bins = lambda p: sum(b for _, b in p)
-    assert bins(packing.complete(counts, 12)) <= bins(packing.best_fit(counts, 12))
+    counts = Counter([11, 11, 11, 10, 9, 9, 8, 8, 7, 6, 5, 4])
+    assert bins(packing.best_fit(counts, 20)) == 6
+    plan, settled = packing.complete(counts, 20)
+    assert bins(plan) == 5 and settled
+    many = {k: 1000 * n for k, n in counts.items()}  # the work follows the lengths, not the rows
+    assert packing.lower_bound(many, 20) <= bins(packing.complete(many, 20)[0]) <= bins(packing.best_fit(many, 20))
+
+
+def test_many_parts_in_a_bin():
+    plan, settled = packing.complete({2047: 5, 3: 1, 2: 1023}, 2048)
+    assert sum(b for _, b in plan) == 7 and settled
+
+
+def test_fillings_are_the_undominated_ones():
+    """Against all subsets, with dominance by its definition."""
+    from itertools import product
+
+    rng = random.Random(8)
+    for _ in range(60):
+        space = rng.randint(4, 14)
+        rest = {k: rng.randint(1, 3) for k in rng.sample(range(1, space + 1), min(4, space))}
+        sizes, want = sorted(rest, reverse=True), []
+        for times in product(*(range(rest[k] + 1) for k in sizes)):
+            filling = [k for k, n in zip(sizes, times, strict=True) for _ in range(n)]
+            waste = space - sum(filling)
+            spare = [k for k, n in zip(sizes, times, strict=True) if n < rest[k]]
+            parts = {c for n in range(len(filling) + 1) for c in combinations(filling, n)}
+            if waste >= 0 and not any(sum(c) <= x <= sum(c) + waste and c != (x,) for c in parts for x in spare):
+                want.append((waste, tuple((k, n) for k, n in zip(sizes, times, strict=True) if n)))
+        got = [*packing.fillings(rest, space, space)]
+        assert sorted(got) == sorted(want) and got == sorted(got, key=lambda x: (x[0], [(-k, -n) for k, n in x[1]]))
+        for i, x in enumerate(got):
+            assert [*packing.fillings(rest, space, space, x)] == got[i + 1 :]
 
 
 def check(rows, docs, limit):
-    codec, spots = bpe.codec(queries.tokenizer()), defaultdict(list)
+    codec, spots = bpe.codec(queries.tokenizer()).open(), defaultdict(list)
     for r in rows:
         spots[r.sequence_id].append((r.offset, r.length))
     for s in spots.values():

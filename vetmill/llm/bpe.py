@@ -34,7 +34,7 @@ from vetmill.llm import common
 
 #: Bounds of a task's memo of words: entries, and characters of an entry. It is emptied when full,
 #: which changes no result.
-WORDS, WORD = 100_000, 64
+WORDS, WORD = 250_000, 32
 #: Characters of texts that a task encodes before it hands rows on.
 FLUSH = 4_000_000
 #: Words are held as one character for each byte; this one stands for the end of a word.
@@ -66,7 +66,7 @@ class Automaton:
             row[t] = column[t] = 0
         # how many labels lead to a state, and share a column
         to, of, rows, columns = [len(base)], [len(base)], 1, 1
-        table = np.ones((1024, 1024), bool)
+        table = np.ones((4096, 4096), bool)
         for u, v, w in merges:
             if row[u] < 0 or row[v] < 0 or not table[row[u], column[v]]:
                 continue  # u is never followed by v here, so no word has w
@@ -74,7 +74,7 @@ class Automaton:
             to[row[v]] += 1
             if to[row[u]] > 1:
                 if rows == len(table):
-                    table = np.concatenate([table, np.empty_like(table)])
+                    table = np.concatenate([table, np.empty((4096, table.shape[1]), bool)])
                 table[rows, :columns] = table[row[u], :columns]
                 to[row[u]] -= 1
                 row[u] = rows
@@ -82,7 +82,7 @@ class Automaton:
                 to.append(1)
             if of[column[v]] > 1:
                 if columns == table.shape[1]:
-                    table = np.concatenate([table, np.empty_like(table)], axis=1)
+                    table = np.concatenate([table, np.empty((len(table), 4096), bool)], axis=1)
                 table[:rows, columns] = table[:rows, column[v]]
                 of[column[v]] -= 1
                 column[v] = columns
@@ -163,6 +163,8 @@ class Codec:
         size = max(self.label) + 1
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         base = [i for t, i in ids.items() if len(t.removesuffix(END)) == 1]
+        if len(base) < 512:
+            raise ValueError("the vocabulary lacks a base symbol")
         self.automaton = Automaton(base, [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs], size)
         self.matcher = Matcher(ids, size)
         # the library's own rules for cutting texts, without its vocabulary
@@ -178,9 +180,12 @@ class Coder:
 
     def __init__(self, codec: Codec):
         a, m = codec.automaton, codec.matcher
-        self.table, self.stride = a.table.tobytes(), a.table.shape[1]
-        self.row, self.column = (a.row * a.table.shape[1]).tolist(), a.column.tolist()
+        stride = a.table.shape[1]
+        self.table = a.table.tobytes() + b"\xff" * stride  # the last row is the start, from where all labels lead on
+        self.start, self.row = a.states * stride, (a.row * stride).tolist()
+        self.byte, self.bit = (a.column >> 3).tolist(), (1 << (a.column & 7)).tolist()
         self.arcs = dict(zip(m.keys.tolist(), m.nodes.tolist(), strict=True))
+        self.room = 2 * len(self.arcs)  # arcs over failure links are written to the table while there is room
         self.fail, self.out, self.width, self.shorter = m.fail.tolist(), m.out.tolist(), m.width.tolist(), m.shorter.tolist()
         self.special, self.label, self.rules = codec.special, codec.label, codec.rules
         self.splitter = regex.compile("|".join(map(regex.escape, self.special)))
@@ -190,35 +195,37 @@ class Coder:
 
     def encode_word(self, word: str) -> list[int]:
         """Token ids of one pre-split word by transitions of the automaton."""
-        table, row, column, arcs, fail, out, width, shorter = self.table, self.row, self.column, self.arcs, self.fail, self.out, self.width, self.shorter
-        node, last = 0, [-1]  # the last token of each beginning of the word
-        for i, symbol in enumerate([*word.encode("utf-8"), ord(END)], 1):
-            key = arcs.get(node << SYMBOL | symbol)
-            while key is None and node:
-                node = fail[node]
-                key = arcs.get(node << SYMBOL | symbol)
-            node = key or 0
+        table, row, byte, bit, arcs, out, width, shorter = self.table, self.row, self.byte, self.bit, self.arcs, self.out, self.width, self.shorter
+        node, i, last, led = 0, 0, [-1], [self.start]  # for each beginning of the word: its last token, where that leads
+        for symbol in [*word.encode("utf-8"), ord(END)]:
+            key = node << SYMBOL | symbol
+            node = arcs.get(key, -1)
+            if node < 0:
+                node = self._fail(key)
             t = out[node]
-            while t >= 0:
-                before = last[i - width[t]]
-                if before < 0:
-                    if i == width[t]:
-                        break
-                else:
-                    c = column[t]
-                    if table[row[before] + (c >> 3)] >> (c & 7) & 1:
-                        break
+            i += 1
+            while not table[led[i - width[t]] + byte[t]] & bit[t]:
                 t = shorter[t]
             last.append(t)
-        at, ids = len(last) - 1, []
-        while at:
-            t = last[at]
-            if t < 0:
-                raise ValueError("the vocabulary lacks a base symbol")
+            led.append(row[t])
+        ids = []
+        while i:
+            t = last[i]
             ids.append(t)
-            at -= width[t]
+            i -= width[t]
         return ids[::-1]
 
+    def _fail(self, key: int) -> int:
+        """The node that failure links lead to."""
+        arcs, at, symbol = self.arcs, key >> SYMBOL, key & (1 << SYMBOL) - 1
+        node = None
+        while node is None and at:
+            at = self.fail[at]
+            node = arcs.get(at << SYMBOL | symbol)
+        if len(arcs) < self.room:
+            arcs[key] = node or 0
+        return node or 0
+
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a run of normalized words without white space between them."""
         memo, words = self.memo, [chunk] if chunk.isalpha() or chunk[0] == "\n" else self.words.findall(chunk)
