@@ -13,12 +13,14 @@ LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where it is unset
-    (tests, one machine) a temporary folder that then becomes the checkpoint folder."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or where it is unset on one
+    machine (tests) a temporary folder that then becomes the checkpoint folder. A cluster must name it."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="vetmill-shared-")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
@@ -58,6 +60,21 @@ def having(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     return thin.join(ids, key, "left_semi")
 
 
+#: Keys that may go to the other side by broadcast, and the least number of rows that makes one of them.
+HOT_KEYS, HOT_ROWS = 1000, 1000
+
+
+def hot_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join of left with right, which has one row for each key and in n the number of left's rows
+    with it.
+
+    The HOT_KEYS most frequent keys, of those with HOT_ROWS rows, go to left's rows by broadcast, so that
+    only keys with less than 1 / HOT_KEYS of all rows are shuffled: no key fills a task."""
+    hot = right.where(F.col("n") >= HOT_ROWS).orderBy(F.desc("n"), key).limit(HOT_KEYS)
+    cold = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(right, key)
+    return left.join(F.broadcast(hot), key).unionByName(cold)
+
+
 def arrow_schema(ddl: str):
     """The Arrow schema of a DDL string, for functions of mapInArrow."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -80,25 +97,26 @@ def components(edges: DataFrame) -> DataFrame:
     edges: columns src, dst (long, in any direction, repeats allowed). Returns id, component_id.
     Each round only joins ids with neighbours' minima, so its cost follows the number of edges;
     the rounds end when no edge changes (counted and summed on the executors, two numbers reach
-    the driver). A star's centre is met through an aggregated minimum, never as a collected group.
+    the driver). A star's centre is met through an aggregated minimum, never as a collected group,
+    and its edges stay where they are (hot_join).
     """
-    spark = edges.sparkSession
-    shared_dir(spark)
-    pairs = edges.where("src <> dst").select(
-        F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct().checkpoint()
+    def lowest(pairs: DataFrame, low) -> DataFrame:
+        """u, v with m, the least id of u's neighbourhood."""
+        return hot_join(pairs, pairs.groupBy("u").agg(low.alias("m"), F.count("*").alias("n")), "u")
+
+    pairs = table(edges.where("src <> dst").select(
+        F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(), "edges")
     before = None
     while True:
         # large star: every larger neighbour of u hangs itself to the smallest in u's neighbourhood
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = lowest(both, F.least(F.min("v"), F.first("u"))).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = table(large.where("u <> v").distinct(), "large_star")
         # small star: u and its smaller neighbours hang to the smallest of them
-        large = large.where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(
+        small = lowest(large, F.min("v")).select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
-        pairs = small.where("u <> v").distinct().checkpoint()
+        pairs = table(small.where("u <> v").distinct(), "small_star")
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == before:
             break

@@ -10,8 +10,8 @@ buckets, not with each other; what that leaves in several components is then com
 every member outside the bucket's largest component with every member, block by block, where a
 pair is emitted once (in the first band that it shares), and only if longer sketches agree often
 enough to be a link: a true link fails that with a probability of about 1e-6. Every link that counts
-is confirmed on the full shingle sets of both texts. So no bucket size has a cap, no group is
-collected, and no task gets more than a block.
+is confirmed on the full shingle sets of both texts; a hub meets its pairs in chunks, and reaches each
+chunk once. So no bucket size has a cap, no group is collected, and no task gets more than a block.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ BANDS, ROWS = 32, 5
 #: Of the BANDS * ROWS coordinates' low bytes, and of the WIDE ones in the exact comparison, so many
 #: agree at least before a pair is verified (4.6 and 5 standard deviations below a link's mean).
 AGREE, WIDE, AGREE_WIDE = 95, 1024, 700
-#: Members of a block in the comparison of large buckets.
-BLOCK = 256
+#: Members of a block in the comparison of large buckets; pairs of a hub that are compared in one go.
+BLOCK, CHUNK = 256, 512
 
 
 def shingles(text: str | None):
@@ -103,56 +103,77 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ddl)
 
 
-def _alike(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose sketches agree in AGREE coordinates at least."""
-    import pandas as pd
+def _by_hub(pairs: DataFrame, data: DataFrame, alike) -> DataFrame:
+    """Pairs (id, hub) for which alike(own data, hub's data) holds. pairs and data (id, data: binary) are
+    stored tables; an id may have several rows of data: one match is enough.
 
-    both = (pairs.join(sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("left")), "a")
-            .join(sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("right")), "b"))
+    A hub's pairs are dealt into chunks of about CHUNK; in each chunk the hub's data come once, ahead of
+    those of its pairs."""
+    ddl = "id long, hub long"
+    schema = common.arrow_schema(ddl)
+    sizes = pairs.groupBy("hub").agg(F.count("*").alias("n"))
+    dealt = common.hot_join(pairs, sizes, "hub").select("id", "hub", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / CHUNK)).alias("chunk"))
+    own = dealt.join(data, "id").select("hub", "chunk", F.lit(1).alias("side"), "id", "data")
+    hubs = dealt.select("hub", "chunk").distinct().join(data.withColumnRenamed("id", "hub"), "hub").select(
+        "hub", "chunk", F.lit(0).alias("side"), F.col("hub").alias("id"), "data")
+    rows = own.unionByName(hubs).repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", "side", "id")
 
     def run(batches):
+        at, held = None, []
+        for b in batches:
+            out = []
+            columns = (b[c].to_pylist() for c in ("hub", "chunk", "side", "id"))
+            for hub, chunk, side, i, x in zip(*columns, b["data"], strict=True):
+                if at != (hub, chunk):
+                    at, held = (hub, chunk), []
+                if not side:
+                    held.append(x.as_py())
+                elif any(alike(x.as_py(), y) for y in held):
+                    out.append((i, hub))
+            yield common.batch(out, schema)
+
+    return rows.mapInArrow(run, ddl).distinct()
+
+
+def _alike(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs (id, hub) whose sketches agree in AGREE coordinates at least."""
+    def alike(x: bytes, y: bytes) -> bool:
         import numpy as np
 
-        n = BANDS * ROWS
-        for x in batches:
-            left, right = (np.frombuffer(b"".join(x[c]), np.uint8).reshape(-1, n) for c in ("left", "right"))
-            yield pd.DataFrame({"a": x["a"], "b": x["b"]})[(left == right).sum(axis=1) >= AGREE]
+        return np.count_nonzero(np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)) >= AGREE
 
-    return both.select("a", "b", "left", "right").mapInPandas(run, "a long, b long").distinct()
+    return _by_hub(pairs, sketches.select(F.col("rep").alias("id"), F.col("sketch").alias("data")), alike)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs (src, dst) whose full shingle sets meet the similarity of a link."""
-    ddl = "src long, dst long"
+def _sets(docs: DataFrame, need: DataFrame) -> DataFrame:
+    """id and data (the sorted shingle hashes) of the documents whose doc_id is in need."""
+    ddl = "id long, data binary"
     schema = common.arrow_schema(ddl)
-    need = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = common.table(common.having(docs, need).dropDuplicates(), "texts")
-    both = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left")), "a")
-            .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right")), "b"))
 
     def run(batches):
-        import numpy as np
+        for b in batches:
+            for k in range(0, b.num_rows, 256):  # a batch may hold very long texts
+                part = b.slice(k, 256)
+                yield common.batch([(i, shingles(t.as_py()).tobytes()) for i, t in zip(part["doc_id"].to_pylist(), part["text"], strict=True)], schema)
 
-        memo: dict[str, object] = {}  # hubs come again
+    return common.having(docs, need).select("doc_id", "text").mapInArrow(run, ddl).where("length(data) > 0").distinct()
 
-        def of(text):
-            if text not in memo:
-                if len(memo) >= 64:
-                    memo.clear()
-                memo[text] = shingles(text)
-            return memo[text]
 
-        for x in batches:
-            out = []
-            for i, j, left, right in zip(x["a"].to_pylist(), x["b"].to_pylist(), x["left"], x["right"], strict=True):
-                a, b = of(left.as_py()), of(right.as_py())
-                least, most = sorted((len(a), len(b)))
-                common_ = 0 if LINK[1] * least < LINK[0] * most else len(np.intersect1d(a, b, assume_unique=True))
-                if least > 0 and LINK[1] * common_ >= LINK[0] * (least + most - common_):
-                    out.append((i, j))
-            yield common.batch(out, schema)
+def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs (src, dst) whose full shingle sets meet the similarity of a link; pairs: id, hub."""
+    def alike(x: bytes, y: bytes) -> bool:
+        import numpy as np
 
-    return both.select("a", "b", "left", "right").mapInArrow(run, ddl)
+        least, most = sorted((len(x) // 8, len(y) // 8))
+        if LINK[1] * least < LINK[0] * most:
+            return False
+        both = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
+        return LINK[1] * both >= LINK[0] * (least + most - both)
+
+    pairs = common.table(pairs, "to_verify")
+    need = pairs.select(F.col("id").alias("doc_id")).union(pairs.select("hub")).distinct()
+    found = _by_hub(pairs, common.table(_sets(docs, need), "sets"), alike)
+    return found.select(F.col("id").alias("src"), F.col("hub").alias("dst"))
 
 
 def _wide(docs: DataFrame, need: DataFrame) -> DataFrame:
@@ -171,7 +192,7 @@ def _wide(docs: DataFrame, need: DataFrame) -> DataFrame:
 
 
 def _rest(members: DataFrame, reps: DataFrame, label: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components in one bucket whose sketches are alike."""
+    """Pairs (id, hub) of different components in one bucket whose sketches are alike."""
     import pandas as pd
 
     members = members.join(label.select(F.col("id").alias("rep"), "component_id"), "rep", "left").select(
@@ -179,9 +200,9 @@ def _rest(members: DataFrame, reps: DataFrame, label: DataFrame, docs: DataFrame
     parts = members.groupBy("key", "part").agg(F.count("*").alias("n"))
     open_ = parts.groupBy("key").agg(F.count("*").alias("k"), F.sum("n").alias("c"), F.max(F.struct("n", "part")).alias("most")).where("k > 1")
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
-    open_ = common.table(open_.select("key", F.col("most.part").alias("largest"), blocks(F.col("c")).alias("blocks"),
+    open_ = common.table(open_.select("key", F.col("c").alias("n"), F.col("most.part").alias("largest"), blocks(F.col("c")).alias("blocks"),
                                       blocks(F.col("c") - F.col("most.n")).alias("chunks")), "open")
-    members = common.table(members.join(open_, "key"), "members")
+    members = common.table(common.hot_join(members, open_, "key"), "members")
     # a doc_id with several texts has a sketch for each; any of them may show a link
     sketches = _wide(docs, members.select("rep").distinct()).distinct().join(reps.select("rep", "bands"), "rep")
     members = common.table(members.join(common.table(sketches, "wide"), "rep"), "rest")
@@ -206,41 +227,46 @@ def _rest(members: DataFrame, reps: DataFrame, label: DataFrame, docs: DataFrame
             a += [rep[i]] * len(hit)
             b += rep[hit].tolist()
         a, b = np.array(a, np.int64), np.array(b, np.int64)
-        return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+        return pd.DataFrame({"id": np.maximum(a, b), "hub": np.minimum(a, b)})
 
-    return home.unionByName(minor).groupBy("key", "block", "chunk").applyInPandas(compare, "a long, b long").distinct()
+    return home.unionByName(minor).groupBy("key", "block", "chunk").applyInPandas(compare, "id long, hub long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept, one row for each row of docs.
 
     Texts without words link with nothing. A row without doc_id links with nothing, has a null
-    component_id and is kept. Rows that repeat a doc_id are one node and share their component."""
+    component_id and is kept. Rows that repeat a doc_id are one node and share their component. Texts
+    of any length are taken whole; an empty table gives no rows; other columns are left aside."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     sigs = common.table(signatures(docs), "signatures")
     sets = sigs.where("n_shingles > 0 and doc_id is not null")
     reps = common.table(sets.groupBy("set_id").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "reps")
-    sketches = reps.select("rep", "sketch")
 
     bands = reps.select("rep", F.explode("bands").alias("key"))
-    many = bands.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    members = common.table(bands.join(many, "key").select("key", "rep", "c"), "buckets")
-    weight = members.groupBy("rep").agg(F.sum("c").alias("w"))
+    many = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = common.table(common.hot_join(bands, many, "key").select("key", "rep", "n"), "buckets")
+    weight = members.groupBy("rep").agg(F.sum("n").alias("w"))
     hubs = common.table(members.join(weight, "rep").groupBy("key").agg(
-        F.max(F.struct(F.col("w"), (-F.col("rep")).alias("rep")))["rep"].alias("hub")).select("key", (-F.col("hub")).alias("hub")), "hubs")
-    pairs = members.join(hubs, "key").where("rep <> hub").select(
-        F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b")).distinct()
+        F.max(F.struct(F.col("w"), (-F.col("rep")).alias("rep")))["rep"].alias("hub"), F.count("*").alias("n")).select("key", (-F.col("hub")).alias("hub"), "n"), "hubs")
+    pairs = common.hot_join(members.drop("n"), hubs, "key").where("rep <> hub").groupBy(
+        F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b")).agg(F.max("hub").alias("hub"))
+    pairs = pairs.select(F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("id"), "hub")
 
-    again = reps.where("n > 1").select("set_id", "rep")
-    copies = sets.join(again, "set_id").select(F.col("doc_id").alias("src"), F.col("rep").alias("dst")).where("src <> dst")
-    links = common.table(_verified(common.table(_alike(pairs, sketches), "pairs"), docs), "links")
+    links = common.table(_verified(_alike(common.table(pairs, "pairs"), reps), docs), "links")
     first = common.table(common.components(links), "parts")
-    more = _verified(common.table(_rest(members, reps, first, docs), "candidates"), docs)
-    edges = links.unionByName(more).unionByName(copies)
-    label = common.table(common.components(edges), "components")
-    out = sigs.select("doc_id", "n_shingles").join(label.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
-
+    more = common.table(_verified(_rest(members.drop("n"), reps, first, docs), docs), "more")
+    # a doc_id with several texts ties their sets together, and has one component
+    several = sigs.where("doc_id is not null").groupBy("doc_id").agg(
+        F.min("set_id").alias("a"), F.max("set_id").alias("b"), F.count("*").alias("n"), F.count("set_id").alias("k")).where("a <> b or k < n").select("doc_id")
+    ties = sets.join(several, "doc_id").join(reps.select("set_id", "rep"), "set_id").where("doc_id <> rep").select(F.col("doc_id").alias("src"), F.col("rep").alias("dst"))
+    label = common.table(common.components(links.unionByName(more).unionByName(ties)), "components")
+
+    named = reps.select("set_id", "n", F.col("rep").alias("id")).join(label, "id", "left")
+    named = named.select("set_id", "n", F.coalesce("component_id", "id").alias("component_id"))
+    out = common.hot_join(sets.select("set_id", "doc_id", "n_shingles"), named, "set_id").select("doc_id", "n_shingles", "component_id")
+    rest = sigs.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles")
+    label = label.join(several.withColumnRenamed("doc_id", "id"), "id", "left_semi").withColumnRenamed("id", "doc_id")
+    rest = rest.join(label, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.unionByName(rest).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
