@@ -3,7 +3,8 @@
 DataFrame functions only. Each pattern gives the leftmost non-overlapping matches of the plain
 pattern in its comment; look-behinds and possessive repeats only keep the time linear in the text.
 Base kinds (email, ip, card, phone) are kept whatever their score; the others from THRESHOLD on.
-A null or empty text has no spans; rows with equal or null doc_id stay apart.
+A null or empty text has no spans; rows with equal or null doc_id stay apart; a text of any length is
+taken whole, and an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -88,12 +89,15 @@ def _test(name: str):
     return lambda x: confirmed(name, x["hit"])
 
 
-def find(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """The columns named in keep (doc_id alone by default) and pii: a struct with an array for each
-    kind, of spans with kind, start, stop, hit and score. Other columns are left aside, so their
-    names cannot clash."""
-    keep = keep or ["doc_id"]
-    docs = docs.select(F.struct(*keep).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+def find(docs: DataFrame) -> DataFrame:
+    """doc_id and pii: a struct with an array for each kind, of spans with kind, start, stop, hit and
+    score. Other columns are left aside, so their names cannot clash."""
+    return _found(docs.select(F.struct("doc_id").alias("row"), "text")).select("row.*", "pii")
+
+
+def _found(docs: DataFrame) -> DataFrame:
+    """row, text (null as empty) and pii, from row and text."""
+    docs = docs.select("row", F.coalesce("text", F.lit("")).alias("text"))
     text, held = F.col("text"), []
     for kind, (name, pattern) in enumerate(PATTERNS.items()):
         due = F.contains(text, F.lit(HINTS[name])) if name in HINTS else text.rlike(DIGITS[name])
@@ -101,24 +105,28 @@ def find(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
         held.append(F.when(due, proposed).otherwise(spans.none()).alias(name))
     docs = docs.select("row", "text", *held)
 
-    def scored(name: str):
+    def scored(name: str, parts: Column):
         words = rf"(?i)(?<![\p{{L}}\p{{N}}])(?:{WORDS[name]})(?![\p{{L}}\p{{N}}])"
 
         def score(x: Column) -> Column:
             left = F.greatest(x["start"] - WINDOW, F.lit(0))
-            around = F.concat_ws(" ", F.substring(text, left.cast("int") + 1, (x["start"] - left).cast("int")),
-                                 F.substring(text, x["stop"].cast("int") + 1, F.lit(WINDOW)))
+            around = F.concat_ws(" ", spans.cut(parts, left, x["start"]), spans.cut(parts, x["stop"], x["stop"] + WINDOW))
             near = F.when(around.rlike(words), F.lit(NEARBY)).otherwise(F.lit(0.0))
             return F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["stop"].alias("stop"),
                             x["hit"].alias("hit"), F.least(F.lit(SCORES[name]) + near, F.lit(1.0)).alias("score"))
 
         return score
 
-    out = []
-    for name in PATTERNS:
-        got = F.transform(F.col(name), scored(name))
-        out.append((got if name in BASE else F.filter(got, lambda x: x["score"] >= THRESHOLD)).alias(name))
-    return docs.select("row", "text", F.struct(*out).alias("pii")).select("row.*", "pii")
+    def all_(parts: Column) -> Column:
+        out = []
+        for name in PATTERNS:
+            got = F.transform(F.col(name), scored(name, parts))
+            out.append((got if name in BASE else F.filter(got, lambda x: x["score"] >= THRESHOLD)).alias(name))
+        return F.struct(*out)
+
+    some = sum((F.size(n) for n in PATTERNS), F.lit(0)) > 0
+    parts = F.when(some, spans.blocks(text)).otherwise(F.array().cast("array<string>"))
+    return docs.select("row", "text", spans.let(parts, all_).alias("pii"))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -132,20 +140,36 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """The same columns; each span of the text is replaced by its kind in brackets, of overlapping
-    ones the first (of those that start together the longest), and n_chars follows the text."""
-    found = find(docs, docs.columns)
+    """The same columns, whatever their names; each span of the text is replaced by its kind in brackets,
+    spans that overlap together by the kind of the first (of those that start together the longest), and
+    n_chars follows the text. Texts without spans, null among them, stay as they are."""
+    found = _found(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text"))
     spots = F.array_sort(F.transform(F.concat(*[F.col("pii")[n] for n in PATTERNS]), lambda x: F.struct(
         x["start"].alias("start"), (-x["stop"]).alias("stop"), x["kind"].alias("kind"))))
     labels = F.array(*[F.lit(f"[{n.upper()}]") for n in PATTERNS])
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+    text = F.col("text")
+
+    def joined(spots: Column) -> Column:
+        """From spots to where each group of overlapping ones starts and stops, and then to the text."""
+        ends = F.transform(spots, lambda x: -x["stop"])
+
+        def groups(reach: Column) -> Column:  # how far the spots before each one reach
+            all_ = F.transform(spots, lambda x, i: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), F.get(reach, i).alias("reach")))
+            return F.filter(all_, lambda x: x["start"] >= x["reach"])
+
+        def pieces(heads: Column) -> Column:
+            def one(parts: Column) -> Column:
+                said = F.transform(heads, lambda x, i: F.concat(spans.cut(parts, x["reach"], x["start"]), F.get(labels, x["kind"])))
+                return F.concat(F.array_join(said, ""), spans.cut(parts, F.array_max(ends), F.char_length(text).cast("bigint")))
+
+            return spans.let(spans.blocks(text), one)
 
-    def add(acc: Column, x: Column) -> Column:
-        gap = F.substring(F.col("text"), acc["at"].cast("int") + 1, (x["start"] - acc["at"]).cast("int"))
-        return F.when(x["start"] < acc["at"], acc).otherwise(F.struct(
-            (-x["stop"]).alias("at"), F.concat(acc["out"], gap, F.get(labels, x["kind"])).alias("out")))
+        reach = spans.running(ends, lambda a, v: F.greatest(a, v))
+        return spans.let(spans.let(reach, groups), pieces)
 
-    new = F.aggregate(spots, start, add, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"].cast("int") + 1, F.lit(2**31 - 1))))
-    text = F.when(F.size(spots) > 0, new).otherwise(F.col("text"))
-    out = found.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns])
-    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    new = F.when(F.size(spots) > 0, spans.let(spots, joined)).otherwise(F.col("row")["text"])
+    found = found.select("row", new.alias("text"))
+    out = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        out["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    return found.select(*[out.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
