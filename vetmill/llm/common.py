@@ -44,34 +44,40 @@ def fold(doc_id: Column, parts: int) -> Column:
 SLOTS = 1 << 26
 
 
-def having(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of df whose key is among the ids (a column of that name): a left semi join, before which
-    a bitmap of the ids' hashes takes out most other rows, so that their texts need not be shuffled.
+def parted(df: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of df whose key may be among the ids, and rows whose key is not, by a bitmap of the ids'
+    hashes that goes to df's rows by broadcast: neither is shuffled.
 
     The bitmap has SLOTS bits in rows of 4 KB: that bounds the broadcast. The more ids share it, the
-    more rows pass it; the join that follows is exact."""
-    ids = ids.select(key).distinct()
+    more other rows are among the first."""
     slot = F.pmod(F.xxhash64(key), F.lit(SLOTS)) + 1
     maps = ids.groupBy(F.bitmap_bucket_number(slot).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("_bits"))
     at = F.bitmap_bit_position(slot)
     byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     bit = F.floor(byte / F.pow(F.lit(2.0), at % 8)) % 2 == 1
-    thin = df.join(F.broadcast(maps), (F.bitmap_bucket_number(slot) == F.col("_bucket")) & bit, "left_semi")
-    return thin.join(ids, key, "left_semi")
+    near, far = (df.join(F.broadcast(maps), (F.bitmap_bucket_number(slot) == F.col("_bucket")) & bit, how) for how in ("left_semi", "left_anti"))
+    return near, far
+
+
+def having(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows of df whose key is among the ids (a column of that name): a left semi join, before which
+    most other rows are taken out (parted), so that their texts need not be shuffled."""
+    ids = ids.select(key).distinct()
+    return parted(df, ids, key)[0].join(ids, key, "left_semi")
 
 
 #: Keys that may go to the other side by broadcast, and the least number of rows that makes one of them.
 HOT_KEYS, HOT_ROWS = 1000, 1000
 
 
-def hot_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Inner join of left with right, which has one row for each key and in n the number of left's rows
+def hot_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Inner or left join of left with right, which has one row for each key and in n the number of left's rows
     with it.
 
     The HOT_KEYS most frequent keys, of those with HOT_ROWS rows, go to left's rows by broadcast, so that
     only keys with less than 1 / HOT_KEYS of all rows are shuffled: no key fills a task."""
     hot = right.where(F.col("n") >= HOT_ROWS).orderBy(F.desc("n"), key).limit(HOT_KEYS)
-    cold = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(right, key)
+    cold = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(right, key, how)
     return left.join(F.broadcast(hot), key).unionByName(cold)
 
 

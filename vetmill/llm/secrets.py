@@ -2,12 +2,14 @@
 
 Each rule's pattern is parsed, and from the strings that every match must hold a Boolean trigram
 query is derived: an AND of ORs of ANDs of trigrams, over lower-cased text. The index holds the
-postings (trigram, doc_id) of the trigrams that the rules ask for; intersecting them by document
-gives each document's candidate rules, and only those patterns are run on its text. A rule without
-mandatory trigrams (the hex rule) scans every text.
-
-Rows with equal or null doc_id are verified one by one: they share postings, which can only add
-candidates. A null or empty text has no spans.
+postings (trigram, text) of the trigrams that the rules ask for, where a text is named by a hash;
+intersecting them by text gives each text's candidate rules, and only those patterns are run on it. A
+rule without mandatory trigrams (the hex rule) scans every text.
+
+Postings name texts, not rows: copies share them, and rows with equal or null doc_id are no matter. Two
+texts of one hash share them as well, which can only add candidates. Only texts with a candidate, thinned
+by a bitmap, move to meet the index; all others are scanned where they are. A null or empty text has no
+spans; a text of any length is taken whole; an empty table gives no rows; other columns are left aside.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vetmill.llm import spans
+from vetmill.llm import common, spans
 
 #: Fixed patterns: name, pattern, and for the base kinds what a match needs beside it.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -97,17 +99,32 @@ def _all(nodes) -> set[str] | None:
     return run
 
 
+def _any_of(wanted: list[str]) -> str:
+    """A pattern that finds all places of some trigrams, overlapping ones too, in one pass."""
+    tree: dict[str, dict[str, list[str]]] = {}
+    for t in wanted:
+        tree.setdefault(t[0], {}).setdefault(t[1], []).append(t[2])
+    quoted = lambda c: "\\x{%x}" % ord(c)
+    third = lambda cs: "[" + "".join(map(quoted, sorted(cs))) + "]"
+    second = lambda x: "(?:" + "|".join(quoted(c) + third(cs) for c, cs in sorted(x.items())) + ")"
+    first = "".join(map(quoted, sorted(tree)))
+    return f"(?=[{first}])(?=(" + "|".join(quoted(c) + second(x) for c, x in sorted(tree.items())) + "))"
+
+
 def postings(docs: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
-    """The inverted index: trigram, doc_id for each trigram that some rule's query names."""
+    """The inverted index: trigram, key (hash of a text) and n (rows with that text), for each trigram
+    that some rule's query names. docs: key and text."""
     wanted = sorted({t for p in rules.values() for part in trigram_query(p) for s in part for t in s})
-    low = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.lower("text").alias("low"))
-    held = F.array_compact(F.array(*[F.when(F.contains(F.col("low"), F.lit(t)), F.lit(t)) for t in wanted]))
-    return low.select("doc_id", held.alias("held")).where("size(held) > 0").select(F.explode("held").alias("trigram"), "doc_id")
+    if not wanted:
+        return docs.sparkSession.createDataFrame([], "trigram string, key long, n long")
+    held = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_any_of(wanted)), F.lit(1)))
+    held = docs.select("key", held.alias("held")).groupBy("key").agg(F.first("held").alias("held"), F.count("*").alias("n"))
+    return held.select(F.explode("held").alias("trigram"), "key", "n")
 
 
 def candidates(index: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
-    """doc_id, rules: the rules whose trigram query the document's postings meet."""
-    held = index.groupBy("doc_id").agg(F.collect_set("trigram").alias("held"))  # as many as the rules name at most
+    """key, n, rules: the rules whose trigram query the text's postings meet."""
+    held = index.groupBy("key").agg(F.collect_set("trigram").alias("held"), F.max("n").alias("n"))  # as many as the rules name at most
 
     def meets(query: Query) -> Column:
         out = F.lit(True)
@@ -118,15 +135,19 @@ def candidates(index: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
             out = out & some
         return out
 
-    named = F.array_compact(F.array(*[F.when(meets(q), F.lit(n)) for n, p in rules.items() if (q := trigram_query(p))]))
-    return held.select("doc_id", named.alias("rules")).where("size(rules) > 0")
+    named = F.array_compact(F.array(*[F.when(meets(q), F.lit(n)) for n, p in rules.items() if (q := trigram_query(p))], F.lit(None).cast("string")))
+    return held.select("key", "n", named.alias("rules")).where("size(rules) > 0")
 
 
 def scan(docs: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
     """doc_id and, for each rule, the array of its spans that pass."""
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    found = candidates(postings(docs, rules), rules).withColumnRenamed("doc_id", "_id")
-    both = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    text = F.coalesce("text", F.lit(""))
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("key"))
+    found = common.table(candidates(postings(docs, rules), rules), "candidates")
+    near, far = common.parted(docs, found, "key")
+    none = F.array().cast("array<string>")
+    both = common.hot_join(near, found, "key", "left").select("doc_id", "text", F.coalesce("rules", none).alias("rules"))
+    both = both.unionByName(far.select("doc_id", "text", none.alias("rules")))
     out = []
     for kind, (name, pattern) in enumerate(rules.items()):
         all_ = spans.matches(F.col("text"), pattern, kind)
