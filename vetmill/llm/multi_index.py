@@ -29,6 +29,8 @@ PARTNERS, MISSED = 4096, 0.01
 #: Vectors that a cell holds on average; largest codebook; least number of visited cells.
 CELL, CODES, LEAST_VISITS = 32, 1024, 8
 BLOCK = 1024
+#: Numbers that are compared at once.
+COMPARED = 1 << 22
 
 
 def codebook(x, k: int, rounds: int = 12):
@@ -138,7 +140,8 @@ def near_duplicates(table: DataFrame) -> DataFrame:
     """vec_id, n_links, component_id and kept, one row for each row of the table.
 
     Vectors that are null, zero or not finite, have another size than most, or lack a vec_id link
-    with nothing. Rows that repeat a vec_id are vectors of their own with one component."""
+    with nothing. Rows that repeat a vec_id are vectors of their own with one component. An empty table gives
+    no rows; columns other than vec_id and embedding are left aside."""
     import numpy as np
 
     rows = vectors.keyed(table)
@@ -214,7 +217,8 @@ def _compare(nodes: DataFrame, total: int, size: int) -> DataFrame:
         ka, kb = (list(zip(t["h1"], t["h2"], strict=True)) for t in (q, m))
         # each pair once: where both sides visit each other's cell, the side with the larger key asks
         home, seen = q["home"].to_numpy(), np.stack(m["visits"].to_numpy())
-        back = (seen[b] == home[a, None]).any(1)
+        step = max(1, COMPARED // seen.shape[1])  # bounds the memory, however many links and visits there are
+        back = np.concatenate([(seen[b[k : k + step]] == home[a[k : k + step], None]).any(1) for k in range(0, max(1, len(a)), step)])
         order = {x: i for i, x in enumerate(sorted({*ka, *kb}))}
         oa, ob = np.array([order[x] for x in ka]), np.array([order[x] for x in kb])
         once = (oa[a] != ob[b]) & (~back | (oa[a] > ob[b]))
