@@ -97,3 +97,28 @@ def test_long_texts_stay_linear(spark):
     rows = [*enumerate(long)]
     assert pii.digest(pii.find(frame(spark, rows))).count() == len(rows)
     assert {r.doc_id: r.n_hex for r in secrets.digest(secrets.scan(frame(spark, rows))).collect()} == {0: 1, 1: 1, 2: 0, 3: 0, 4: 1}
+
+
+def test_many_matches_in_one_text(spark):
+    n = 100_000
+    text = "a@b.co, " * n
+    got = pii.digest(pii.find(frame(spark, [(1, text)]))).first()
+    assert got.n_email == n and got.base_sha256 == sha([("email", 8 * i, 8 * i + 6) for i in range(n)])
+    assert pii.redact(frame(spark, [(1, text)])).first().text == "[EMAIL], " * n
+    got = secrets.digest(secrets.scan(frame(spark, [(1, "token=abcdef é" * 30_000)]))).first()
+    assert got.n_assign == 30_000 and got.spans.endswith(f"assign:{14 * 29_999}:{14 * 29_999 + 12}")
+
+
+def test_redaction_of_overlapping_spans_and_clashing_columns(spark):
+    text = "mail 4111111111111111@b.co x" + "é" * 5000 + " +49 30 1234567"
+    docs = spark.createDataFrame([(1, text, "r", 1, 7, "x"), (None, None, None, None, None, None)], "doc_id long, text string, row string, pii int, n_chars int, `a.b` string")
+    got = {r.doc_id: r for r in pii.redact(docs).collect()}
+    assert got[1].text == "mail [EMAIL] x" + "é" * 5000 + " [PHONE]" and got[1].n_chars == len(got[1].text)
+    assert (got[1].row, got[1].pii, got[1]["a.b"]) == ("r", 1, "x") and got[None].text is None
+
+
+def test_secrets_without_rows_and_with_one_text_everywhere(spark):
+    assert secrets.digest(secrets.scan(frame(spark, []))).count() == 0
+    rows = [(None if i % 2 else i, "my token=abcdef") for i in range(3000)] + [(i, f"plain {i}") for i in range(100)]
+    got = secrets.digest(secrets.scan(frame(spark, rows)))
+    assert got.count() == 3100 and got.where("n_assign = 1").count() == 3000

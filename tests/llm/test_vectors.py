@@ -117,3 +117,15 @@ def test_rare_links_of_a_large_table_are_reached(spark, monkeypatch):
     y = 0.905 * x[:200] + (1 - 0.905**2) ** 0.5 * turn / np.linalg.norm(turn, axis=1, keepdims=True)
     rows = multi_index.near_duplicates(frame(spark, enumerate([*x.tolist(), *y.tolist()])))
     assert rows.where("n_links = 1 and vec_id < 200").count() >= 194
+
+
+def test_repeated_rows_count_on_their_own(spark):
+    """25 equal rows of one query's id do not fill the places of another row with the same vector."""
+    v = [1.0, 2.0, 3.0]
+    rows = [(0, v)] * 25 + [(7, v), (9, [3.0, 2.0, 1.0])] + [(9, [3.0, 2.0, 1.0])] * 2
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r.rank, r.vec_id) for r in curves.nearest(df).collect())
+    assert got == sorted([(0, 1, 7), (0, 2, 9), (0, 3, 9), (0, 4, 9)] * 25)
+    few = spark.createDataFrame([(20, v)] + [(i, v) for i in range(1, 4)] * 30, "vec_id long, embedding array<double>")
+    assert sorted((r["rank"], r.vec_id) for r in curves.nearest(few).collect()) == [(i + 1, 1) for i in range(20)]
+    assert curves.nearest(df.limit(0)).count() == 0 and multi_index.near_duplicates(df.limit(0)).count() == 0

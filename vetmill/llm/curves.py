@@ -8,8 +8,8 @@ sample of queries, the true neighbours are found by comparison with every row, a
 reach the share RECALL of them.
 
 For the largest inner product, candidates get one more component that makes their norms equal, and
-queries a zero there; for vectors of one length this changes nothing. Of equal vectors only the
-smallest TOP + 1 ids can be results, so no more of them are candidates.
+queries a zero there; for vectors of one length this changes nothing. Of equal vectors only rows of the
+smallest TOP + 1 ids, TOP of each, can be results, so no more of them are candidates.
 """
 
 from __future__ import annotations
@@ -89,16 +89,19 @@ def nearest(table: DataFrame, every: int = EVERY, top: int = TOP) -> DataFrame:
     its `top` nearest other rows found, ties to the smaller vec_id.
 
     Rows that repeat a vec_id are candidates and queries of their own; a query leaves out all rows
-    with its id. Queries without any candidate have no rows."""
+    with its id. Queries without any candidate have no rows, nor has an empty table; columns other than
+    vec_id and embedding are left aside."""
     import numpy as np
 
     rows = vectors.keyed(table).where("usable").drop("usable")
     size = vectors.usual_size(rows)
     rows = rows.where(F.size("embedding") == size)
+    # equal rows are one with a number; k numbers a candidate's copies, and counts a query's
+    rows = common.table(rows.groupBy("vec_id", "h1", "h2").agg(F.first("embedding").alias("embedding"), F.count("*").alias("n")), "vectors")
     few = Window.partitionBy("h1", "h2").orderBy("vec_id")
-    pool = common.table(rows.withColumn("_n", F.row_number().over(few)).where(F.col("_n") <= top + 1)
-                        .select("vec_id", "embedding"), "candidates")
-    ask = rows.where(F.col("vec_id") % every == 0).select("vec_id", "embedding")
+    pool = rows.withColumn("_n", F.row_number().over(few)).where(F.col("_n") <= top + 1)
+    pool = common.table(pool.select("vec_id", "h1", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(top)))).alias("k"), "embedding"), "candidates")
+    ask = rows.where(F.col("vec_id") % every == 0).select("vec_id", "h1", F.col("n").alias("k"), "embedding")
     squares = F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v * v)
     total, longest = pool.agg(F.count("*"), F.max(F.sqrt(squares))).first()
     empty = pool.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -123,12 +126,12 @@ def nearest(table: DataFrame, every: int = EVERY, top: int = TOP) -> DataFrame:
                     continue
                 k, ids = curves.keys(vectors.matrix(b["embedding"]), query), b["vec_id"].to_numpy()
                 at = np.stack([np.searchsorted(borders[c], _fine(k[:, c], ids), side="right") for c in range(CURVES)], 1)
-                yield pa.RecordBatch.from_arrays([b["vec_id"], b["embedding"], pa.array(list(at.astype(np.int32)), pa.list_(pa.int32()))],
-                                                 names=["vec_id", "embedding", "blocks"])
+                yield pa.RecordBatch.from_arrays([*(b[c] for c in own), pa.array(list(at.astype(np.int32)), pa.list_(pa.int32()))], names=[*own, "blocks"])
 
         return run
 
-    ddl = "vec_id long, embedding array<double>, blocks array<int>"
+    own = ["vec_id", "h1", "k", "embedding"]
+    ddl = "vec_id long, h1 long, k long, embedding array<double>, blocks array<int>"
     pool = common.table(pool.mapInArrow(place(False), ddl), "ranged")
     ask = common.table(ask.mapInArrow(place(True), ddl), "queries")
     n_ask = ask.count()
@@ -138,28 +141,29 @@ def nearest(table: DataFrame, every: int = EVERY, top: int = TOP) -> DataFrame:
 
     zipped = F.posexplode("blocks")
     segment = lambda c: F.floor(c / SEGMENT).cast("int")
-    cand = pool.select("vec_id", "embedding", zipped.alias("curve", "block")).withColumn("segment", segment(F.col("block")))
-    asked = ask.select("vec_id", "embedding", zipped.alias("curve", "block"))
+    cand = pool.select(*own, zipped.alias("curve", "block")).withColumn("segment", segment(F.col("block")))
+    asked = ask.select(*own, zipped.alias("curve", "block"))
     around = F.sequence(segment(F.greatest(F.col("block") - width, F.lit(0))), segment(F.least(F.col("block") + width, F.lit(n_blocks - 1))))
-    asked = asked.select("vec_id", "embedding", "curve", "block", F.explode(around).alias("segment"))
+    asked = asked.select(*own, "curve", "block", F.explode(around).alias("segment"))
     # blocks follow a sample: both sides are dealt into chunks that no segment can outgrow
     cand_n = cand.groupBy("curve", "segment").agg(F.ceil(F.count("*") / (2 * BLOCK * SEGMENT)).cast("int").alias("cn"))
     asked_n = asked.groupBy("curve", "segment").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("qn"))
     sizes = common.table(cand_n.join(asked_n, ["curve", "segment"]), "sizes")
     deal = lambda n: F.pmod(F.xxhash64("vec_id"), n).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    own = ["vec_id", "embedding", "block"]
+    own = [*own, "block"]
     cand = cand.join(sizes, ["curve", "segment"]).select("curve", "segment", deal("cn").alias("c"), each("qn").alias("q"), *own, F.lit(False).alias("asks"))
     asked = asked.join(sizes, ["curve", "segment"]).select("curve", "segment", each("cn").alias("c"), deal("qn").alias("q"), *own, F.lit(True).alias("asks"))
 
     def compare(g):
         import pandas as pd
 
-        x, y = g[g["asks"]], g[~g["asks"]].sort_values("vec_id")
+        x, y = g[g["asks"]], g[~g["asks"]].sort_values(["vec_id", "h1", "k"])
+        names = {"query_id": "int64", "query_h1": "int64", "times": "int64", "vec_id": "int64", "h1": "int64", "k": "int64", "score": "float64"}
         if not len(x) or not len(y):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
+            return pd.DataFrame({c: [] for c in names}).astype(names)
         qi, qb, e = x["vec_id"].to_numpy(), x["block"].to_numpy(), np.stack(x["embedding"].to_numpy())
-        ids, scores = [], []
+        rows, scores = [], []
         for at in range(0, len(y), BLOCK):
             part = y.iloc[at : at + BLOCK]
             vi = part["vec_id"].to_numpy()
@@ -167,18 +171,21 @@ def nearest(table: DataFrame, every: int = EVERY, top: int = TOP) -> DataFrame:
             score = np.einsum("ij,kj->ik", e, np.stack(part["embedding"].to_numpy()))
             score[(qi[:, None] == vi[None]) | (np.abs(qb[:, None] - part["block"].to_numpy()[None]) > width)] = -np.inf
             best = np.argsort(-score, axis=1, kind="stable")[:, :top] if len(vi) <= 4 * top else _top(score, top)
-            ids.append(vi[best])
+            rows.append(at + best)
             scores.append(np.take_along_axis(score, best, axis=1))
-        ids, scores = np.concatenate(ids, 1), np.concatenate(scores, 1)
+        rows, scores = np.concatenate(rows, 1), np.concatenate(scores, 1)
         best = np.argsort(-scores, axis=1, kind="stable")[:, :top]  # parts are in the order of ids
         i = np.repeat(np.arange(len(qi)), best.shape[1])
-        out = pd.DataFrame({"query_id": qi[i], "vec_id": np.take_along_axis(ids, best, axis=1).ravel(), "score": np.take_along_axis(scores, best, axis=1).ravel()})
+        hit = y.iloc[np.take_along_axis(rows, best, axis=1).ravel()]
+        out = pd.DataFrame({"query_id": qi[i], "query_h1": x["h1"].to_numpy()[i], "times": x["k"].to_numpy()[i], "vec_id": hit["vec_id"].to_numpy(), "h1": hit["h1"].to_numpy(),
+                            "k": hit["k"].to_numpy(), "score": np.take_along_axis(scores, best, axis=1).ravel()})
         return out[np.isfinite(out["score"])]
 
-    found = cand.unionByName(asked).groupBy("curve", "segment", "c", "q").applyInPandas(compare, "query_id long, vec_id long, score double")
-    merged = found.distinct()
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return merged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
+    ddl = "query_id long, query_h1 long, times long, vec_id long, h1 long, k long, score double"
+    found = cand.unionByName(asked).groupBy("curve", "segment", "c", "q").applyInPandas(compare, ddl)
+    order = Window.partitionBy("query_id", "query_h1").orderBy(F.desc("score"), "vec_id", "h1", "k")
+    best = found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)  # a row found on several curves counts once
+    return best.select("query_id", "rank", "vec_id", "score", F.explode(F.sequence(F.lit(1), "times")).alias("_")).drop("_")
 
 
 def _fine(key, ids):
