@@ -267,10 +267,13 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column) -> Model:
     order = [F.xxhash64("doc_id"), "doc_id"]
     share = max(1, labels.count() // LABELLED)  # thinned first, so that the top rows come from a few times as many
     sample = labels.where(F.pmod(order[0], F.lit(share)) == 0).orderBy(*order).limit(LABELLED)  # small enough to go to the texts
-    sample = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    first = sample.orderBy(*order).limit(FIT_ROWS).select("doc_id", F.lit(True).alias("fits"))
+    sample = sample.join(first, "doc_id", "left")
+    sample = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.max("toxic").alias("toxic"), F.max("fits").alias("fits"))
     sample = common.table(sample, "labelled")
     model = learn_lexicon(sample)
-    model.logistic = fit(sample.orderBy(*order).limit(FIT_ROWS), model)
+    model.logistic = fit(sample.where("fits"), model)
     return model
 
 
