@@ -66,34 +66,36 @@ class Automaton:
             row[t] = column[t] = 0
         # how many labels lead to a state, and share a column
         to, of, rows, columns = [len(base)], [len(base)], 1, 1
-        table = np.ones((4096, 4096), bool)
+        table = np.zeros((1 << 14, 1 << 11), np.uint8)  # a bit for each transition
+        table[0, 0] = 1
         for u, v, w in merges:
-            if row[u] < 0 or row[v] < 0 or not table[row[u], column[v]]:
+            if row[u] < 0 or row[v] < 0 or not table[row[u], column[v] >> 3] >> (column[v] & 7) & 1:
                 continue  # u is never followed by v here, so no word has w
             row[w] = row[v]
             to[row[v]] += 1
             if to[row[u]] > 1:
                 if rows == len(table):
-                    table = np.concatenate([table, np.empty((4096, table.shape[1]), bool)])
-                table[rows, :columns] = table[row[u], :columns]
+                    table = np.concatenate([table, np.zeros((1 << 12, table.shape[1]), np.uint8)])
+                table[rows] = table[row[u]]
                 to[row[u]] -= 1
                 row[u] = rows
                 rows += 1
                 to.append(1)
             if of[column[v]] > 1:
-                if columns == table.shape[1]:
-                    table = np.concatenate([table, np.empty((len(table), 4096), bool)], axis=1)
-                table[:rows, columns] = table[:rows, column[v]]
+                if columns == 8 * table.shape[1]:
+                    table = np.concatenate([table, np.zeros((len(table), 1 << 9), np.uint8)], axis=1)
+                table[:rows, columns >> 3] |= (table[:rows, column[v] >> 3] >> (column[v] & 7) & 1) << (columns & 7)
                 of[column[v]] -= 1
                 column[v] = columns
                 columns += 1
                 of.append(1)
-            table[row[u], column[v]] = False
+            table[row[u], column[v] >> 3] &= ~(1 << (column[v] & 7)) & 255
             column[w] = column[u]
             of[column[u]] += 1
         self.row, self.column = np.array(row, np.int32), np.array(column, np.int32)
-        self.transitions = int(table[:rows, :columns].sum(0) @ np.array(of))
-        self.table = np.packbits(table[:rows, :columns], axis=1, bitorder="little")
+        self.table = table[:rows, : columns + 7 >> 3].copy()
+        labels = np.array(of + [0] * (-len(of) % 8)).reshape(-1, 8)
+        self.transitions = sum(int((self.table >> k & 1).sum(0, dtype=np.int64) @ labels[:, k]) for k in range(8))
 
     @property
     def states(self) -> int:
