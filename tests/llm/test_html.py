@@ -57,3 +57,48 @@ def test_tree_judges_blocks_in_and_outside_articles(spark):
 def test_dropped_branches_enter_the_tree():
     blocks, _ = html.walk("<nav><p>Home</p></nav><p>out <button>no</button>side</p><article>in<span class=ad>no</span></article>")
     assert [(b[1], b[2]) for b in blocks] == [("Home", html.NEVER), ("out side", html.OUTSIDE), ("in", html.ARTICLE)]
+
+
+def test_broken_pages_take_linear_time():
+    import time
+
+    for page in ("<b>" * 100_000 + "</i>" * 100_000, "<a " * 330_000, "<a \"" * 250_000, "<p>" * 100_000 + "<b>" * 100_000 + "</q>" * 100_000, "<!--" * 100_000, "<a '" * 100_000 + ">" + "<b x=\"" * 100_000):
+        began = time.perf_counter()
+        html.walk(page)
+        assert time.perf_counter() - began < 4, page[:10]
+
+
+def test_importance_like_brute_force(spark):
+    """Entropy of presentations and contents of a small site, from the definitions."""
+    import math
+    from collections import Counter, defaultdict
+
+    pages = []
+    for i in range(12):
+        extra = "<p>only here</p>" if i % 3 == 0 else ""
+        pages.append(f"<div class=a><p>same</p><p>text {i % 4}</p></div><div class=b>{extra}<ul><li>item {i}</li></ul></div>")
+    texts, styles = defaultdict(list), defaultdict(list)
+    for page in pages:
+        blocks, seen = html.walk(page)
+        for path, text in {(b[0], b[1]) for b in blocks}:
+            texts[path].append(text)
+        for path, style in seen.items():
+            styles[path].append(style)
+    leaf = {p: len({i for i, page in enumerate(pages) if any(b[0] == p for b in html.walk(page)[0])}) for p in texts}
+
+    def content(path):
+        n = Counter(texts[path])
+        return 1 - sum(math.log(k) for k in n.values()) / len(n) / math.log(leaf[path])
+
+    def style(path):
+        n, m = Counter(styles[path]), len(styles[path])
+        return -sum(k / m * math.log(k / m) for k in n.values()) / math.log(m)
+
+    want = {}
+    for node in {p[: i] for p in texts for i in [k for k, c in enumerate(p) if c == "/"] + [len(p)]}:
+        below = [p for p in texts if p == node or p.startswith(node + "/")]
+        mean = sum(content(p) * leaf[p] for p in below) / sum(leaf[p] for p in below)
+        want[node] = html.OWN_SHARE * style(node) + (1 - html.OWN_SHARE) * mean if node in styles else mean
+    rows = html._parsed(spark.createDataFrame([(i, "http://h.example/", p) for i, p in enumerate(pages)], "page_id long, url string, html string"))
+    got = {r.path: r.importance for r in html.style_tree(rows.where("row is null").select("host", "path", "kind", "value", "n")).collect()}
+    assert set(got) == set(want) and all(abs(got[p] - want[p]) < 1e-9 for p in want), (got, want)

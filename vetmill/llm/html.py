@@ -55,7 +55,8 @@ NOISE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search",
 #: What a start tag ends when it stands open just above.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
-_TAG = re.compile(r"<(?:!--.*?(?:-->|$)|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[!?/][^>]*>)", re.S)
+# an attempt ends at the next tag, so that tags that are never closed cost no more than their length
+_TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>\"']|\"[^\"]*+\"|'[^']*+')*+)>|[!?/][^<>]*+>)", re.S)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", re.I)
 _WORD = re.compile(r"[a-z]+")
@@ -83,7 +84,8 @@ def walk(page: str | None) -> tuple[list[tuple[str, str, int]], dict[str, str]]:
     # tag, path, dropped (2; 1: up to the next article), in the article, dropped within a line of text
     stack: list[tuple[str, str, int, bool, bool]] = [("", "", 0, False, False)]
     text: list[str] = []
-    pos = 0
+    pos, last = 0, page.rfind(">")  # behind it no tag ends
+    standing: Counter = Counter()  # open elements by tag
 
     def end_block() -> None:
         if text:
@@ -92,28 +94,25 @@ def walk(page: str | None) -> tuple[list[tuple[str, str, int]], dict[str, str]]:
             if said:
                 blocks.append((stack[-1][1], said, NEVER if stack[-1][2] else ARTICLE if stack[-1][3] else OPEN))
 
-    def pop(i: int) -> None:
-        while len(stack) > i:
-            if stack[-1][0] in BLOCK:
-                end_block()
-            stack.pop()
+    def close() -> None:
+        standing[stack.pop()[0]] -= 1
 
-    while m := _TAG.search(page, pos):
+    while pos <= last and (m := _TAG.search(page, pos)):
         if m.start() > pos and not stack[-1][4]:
             text.append(entities.unescape(page[pos : m.start()]))
         pos, tag = m.end(), (m[2] or "").lower()
         if not tag:
             continue
         if m[1]:
-            if any(x[0] == tag for x in stack):
-                if tag in BLOCK:
-                    end_block()
-                i = len(stack) - 1
-                while stack[i][0] != tag:
-                    i -= 1
-                pop(i)
-            elif tag in BLOCK:
+            if tag in BLOCK:
                 end_block()
+            if standing[tag]:
+                found = False
+                while not found:
+                    found = stack[-1][0] == tag
+                    if stack[-1][0] in BLOCK:
+                        end_block()
+                    close()
             continue
         if tag in RAW:
             if not m[3].endswith("/"):
@@ -125,12 +124,12 @@ def walk(page: str | None) -> tuple[list[tuple[str, str, int]], dict[str, str]]:
             continue
         if tag in BLOCK:
             end_block()
-            while stack[-1][0] not in BLOCK and any(x[0] == "p" for x in stack):
-                stack.pop()  # an open paragraph ends here, and what is open in it
+            while stack[-1][0] not in BLOCK and standing["p"]:
+                close()  # an open paragraph ends here, and what is open in it
             if stack[-1][0] == "p":
-                stack.pop()
+                close()
             if stack[-1][0] in ENDS.get(tag, ()):
-                stack.pop()
+                close()
         if tag in VOID:
             continue
         attrs = {a[0].lower(): a[1] or a[2] or a[3] for a in _ATTR.findall(m[3])} if "=" in m[3] else {}
@@ -153,6 +152,7 @@ def walk(page: str | None) -> tuple[list[tuple[str, str, int]], dict[str, str]]:
             end_block()
         mute = tag not in BLOCK and (mute or bool(dropped) and not above)
         # branches below DEEPEST share their node
+        standing[tag] += 1
         stack.append((tag, f"{path}/{own}" if len(stack) <= DEEPEST else path, dropped, inside, mute))
     if not stack[-1][4]:
         text.append(entities.unescape(page[pos:]))
