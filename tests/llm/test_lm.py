@@ -46,6 +46,42 @@ def test_documents(spark):
     assert all(math.isfinite(r.score) and r.score < 0 for r in got)
 
 
+def test_score_like_brute_force(spark):
+    """The whole model from its definition: lattices, words' own arcs, groups and their shares."""
+    docs = [(i, ["the cat sat", "cat on the mat", "die katze", "das haus die maus " + "z" * 70][i % 4], "en" if i % 4 < 2 else "de") for i in range(24)]
+    docs += [(100, "the katze ran", "xx"), (101, "", "en"), (102, "z" * 70 + " the", None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    away, path = F.col("doc_id") >= 100, queries.tokenizer(queries.BYTE_BPE)
+    got = {r.doc_id: r for r in lm.score_documents(df, away, path, "lang").collect()}
+    groups = ["de", "en"]  # 12 documents each, in the order of their names; the rest has no share
+    count = [Counter(w for i, t, g in docs if i < 100 and g == x for w in lm.tokens(t)) for x in groups] + [Counter()]
+    every = sum(count, Counter())
+    held = {w for _, t, _ in docs for w in lm.tokens(t)}
+    vocab = spark.createDataFrame([(bytearray(w), *[c[w] for c in count]) for w in held], "word binary, c0 long, c1 long, c2 long")
+    names, fitted = lm.fit(vocab, path, 3)
+    models = [dict(zip(names, map(math.exp, x), strict=True)) for x in [*fitted, lm.pieces(path)[1]]]
+
+    def lattice(word, probs):
+        start = sum(p for k, p in probs.items() if k[:1] == b" ")
+        end = 1e-3 * start
+        return (brute(word, probs) * start if word else end) / (start + end)
+
+    def token(word, c, probs):
+        n, v = sum(c.values()), len(c)
+        return (c[word] + max(v, 1) * lattice(word, probs)) / (n + max(v, 1))
+
+    for i, text, _ in docs[-3:] + docs[:4]:
+        parts, words = [], lm.tokens(text)
+        for weight, c, probs in zip([lm.ALL, *[(1 - lm.ALL) / 2] * 2], [every, *count], models, strict=False):
+            p = 1.0
+            for w in words:
+                own = token(w, c, probs)
+                p *= own if c is every else lm.OWN * own + (1 - lm.OWN) * token(w, every, models[0])
+            parts.append(weight * p)
+        assert math.isclose(got[i].score, math.log10(sum(parts)), rel_tol=1e-6), i
+        assert math.isclose(got[i].lattice_score, sum(math.log10(lattice(w, models[-1])) for w in words), rel_tol=1e-6), i
+
+
 def test_probabilities_do_not_exceed_one(spark):
     """The distinct one-word texts of a small alphabet, and the empty text's end, stay within one."""
     docs = spark.createDataFrame([(i, "ab ba a") for i in range(20)], "doc_id long, text string")

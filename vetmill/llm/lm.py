@@ -10,7 +10,8 @@ of the text), hence so is their mix.
 Such a model stands for all training documents and one for each larger group of them (their
 language); a group's model keeps OWN of a token's probability and leaves the rest to the model of
 all. A text's probability is the mean over the models, weighted by the groups' shares. The group of
-a scored text is never looked at.
+a scored text is never looked at. Beside it stands the text's probability under the vocabulary's own
+scores alone: the same recursion, nothing learned.
 
 Scores start from the vocabulary's own order (rank r has weight 1 / (r + 100)) and are re-estimated
 by expectation-maximization over all distinct training words. Counts, expectations and lattice
@@ -34,8 +35,8 @@ ROUNDS = 2
 #: Most groups with a model, least share of the training documents for one, what a model keeps of a
 #: token, weight of the model of all.
 GROUPS, SHARE, OWN, ALL = 8, 0.01, 0.9, 0.02
-#: Words that scoring may look up in memory, and the longest of them in bytes.
-HOT, HOT_BYTES = 200_000, 256
+#: Words that scoring may look up in memory; words of more bytes are known there by a digest.
+HOT, WHOLE = 200_000, 64
 #: Longest word that is scored in a batch of words of its length; longer ones go one at a time.
 SHORT = 48
 FLUSH = 300_000
@@ -202,6 +203,13 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode("utf-8", "surrogatepass").translate(common.LOWER).split(), b""]
 
 
+def key_of(word: bytes) -> bytes:
+    """What stands for a word where words meet: itself, or a digest behind a space, which no word holds."""
+    from xxhash import xxh3_128_digest
+
+    return word if len(word) <= WHOLE else b" " + xxh3_128_digest(word)
+
+
 def count_words(docs: DataFrame, groups: int) -> DataFrame:
     """word, c0 to c{groups - 1} (counts in the training documents of each group), every (in all).
 
@@ -281,15 +289,16 @@ def fit(vocab: DataFrame, path: str, groups: int, rounds: int = ROUNDS) -> tuple
     return names, scores
 
 
-def score_words(vocab: DataFrame, model, totals: list[tuple[int, int]]) -> DataFrame:
-    """word, known, every, base and s0 to s{groups}: log10 probabilities of every token there is.
+def score_words(vocab: DataFrame, model, own: list[float], totals: list[tuple[int, int]]) -> DataFrame:
+    """key (see key_of), known, every, base, lattice (under the vocabulary's own scores) and s0 to
+    s{groups}: log10 probabilities of every token there is.
 
     totals: N and V of all training documents, then of each group."""
     import numpy as np
 
-    held, groups = vocab.sparkSession.sparkContext.broadcast(model), len(totals) - 1
-    kept = [f"s{z}" for z in range(groups + 1)]
-    ddl = "word binary, known boolean, every long, base double, " + ", ".join(f"{s} double" for s in kept)
+    held, groups = vocab.sparkSession.sparkContext.broadcast((model[0], [*model[1], own])), len(totals) - 1
+    kept = ["lattice", *[f"s{z}" for z in range(groups + 1)]]
+    ddl = "key binary, known boolean, every long, base double, " + ", ".join(f"{s} double" for s in kept)
 
     def run(batches):
         import pyarrow as pa
@@ -300,7 +309,7 @@ def score_words(vocab: DataFrame, model, totals: list[tuple[int, int]]) -> DataF
         end = 1e-3 * start  # the end's share of a lattice; its own count outweighs it
         for b in batches:
             words = b["word"].to_pylist()
-            log_l = np.zeros((groups + 1, len(words)))
+            log_l = np.zeros((groups + 2, len(words)))
             for at in _by_length(words):
                 own = lattice.forward([words[i] for i in at]) + np.log(start / (start + end))[:, None]
                 log_l[:, at] = own if words[at[0]] else np.log(end / (start + end))[:, None]
@@ -308,11 +317,12 @@ def score_words(vocab: DataFrame, model, totals: list[tuple[int, int]]) -> DataF
             c = np.concatenate([c.sum(0, keepdims=True), c])
             n, v = (np.array([t[k] for t in totals], float)[:, None] for k in (0, 1))
             v1 = np.maximum(v, 1)
-            log_p = np.logaddexp(np.where(c > 0, np.log(np.maximum(c, 1)), -np.inf), np.log(v1) + log_l) - np.log(n + v1)
+            log_p = np.logaddexp(np.where(c > 0, np.log(np.maximum(c, 1)), -np.inf), np.log(v1) + log_l[:-1]) - np.log(n + v1)
             log_p[1:] = np.logaddexp(log_p[1:] + math.log(OWN), log_p[0] + math.log(1 - OWN))
             base = np.log10((c[0] + 1) / (totals[0][0] + (totals[0][1] + 1)))
-            yield pa.RecordBatch.from_arrays([b["word"], pa.array(c[0] > 0), b["every"], pa.array(base), *map(pa.array, log_p / math.log(10))],
-                                             names=["word", "known", "every", "base", *kept])
+            log_p = np.concatenate([log_l[-1:], log_p]) / math.log(10)
+            yield pa.RecordBatch.from_arrays([pa.array([*map(key_of, words)], pa.binary()), pa.array(c[0] > 0), b["every"], pa.array(base), *map(pa.array, log_p)],
+                                             names=["key", "known", "every", "base", *kept])
 
     return vocab.mapInArrow(run, ddl)
 
@@ -323,12 +333,11 @@ def frequent(words: DataFrame, most: int = HOT):
 
     Of n tokens, at most `most` words can make n / most each; a lower threshold is taken where the
     words that meet it are counted and still are that few."""
-    short = words.where(F.octet_length("word") <= HOT_BYTES)
     total = words.agg(F.sum("every")).first()[0] or 0
     floors = [max(1, math.ceil(total / (most * 2**k))) for k in range(7)]
-    counts = short.agg(*[F.count_if(F.col("every") >= f) for f in floors]).first()
+    counts = words.agg(*[F.count_if(F.col("every") >= f) for f in floors]).first()
     floor = min(f for f, n in zip(floors, counts, strict=True) if n <= most or f == floors[0])
-    return floor, short.where(F.col("every") >= floor).drop("every").toArrow()
+    return floor, words.where(F.col("every") >= floor).drop("every").toArrow()
 
 
 def _models(docs: DataFrame, held_out: Column, group: str | None) -> tuple[DataFrame, list[float]]:
@@ -346,11 +355,13 @@ def _models(docs: DataFrame, held_out: Column, group: str | None) -> tuple[DataF
 
 
 def score_documents(docs: DataFrame, held_out: Column, path: str, group: str | None = None) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, lattice_score (by the vocabulary's
+    own scores alone) and score of every row.
 
     group: a column whose values part the training documents. A null or empty text is one token,
     its end. Rows with equal or null doc_id stay apart. Without training documents all counts are 0
-    and the lattice alone gives the probability."""
+    and the lattice alone gives the probability. Texts and words of any length are scored whole; an empty
+    table gives no rows; other columns are left aside."""
     docs, shares = _models(docs, held_out, group)
     groups = len(shares)
     vocab = common.table(count_words(docs, groups), "words")
@@ -360,11 +371,12 @@ def score_documents(docs: DataFrame, held_out: Column, path: str, group: str | N
     row = vocab.agg(*[x.alias(f"_{i}") for i, x in enumerate(sums)]).first()
     n = sum(row[:groups])
     totals = [(n, row[2 * groups]), *zip(row[:groups], row[groups : 2 * groups], strict=True)]
-    words = common.table(score_words(vocab, fit(vocab, path, groups), totals), "scored")
+    words = common.table(score_words(vocab, fit(vocab, path, groups), pieces(path)[1], totals), "scored")
     floor, hot = frequent(words)
     s = [f"s{z}" for z in range(groups + 1)]
-    held = docs.sparkSession.sparkContext.broadcast((hot["word"].to_pylist(), [hot[x].to_pylist() for x in ["known", "base", *s]]))
-    ddl = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, " + ", ".join(f"{x} double" for x in s) + ", word binary, times int"
+    sums = ["base", "lattice", *s]
+    held = docs.sparkSession.sparkContext.broadcast((hot["key"].to_pylist(), [hot[x].to_pylist() for x in ["known", *sums]]))
+    ddl = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, " + ", ".join(f"{x} double" for x in sums) + ", key binary, times int"
     schema = common.arrow_schema(ddl)
 
     def run(batches):
@@ -373,11 +385,11 @@ def score_documents(docs: DataFrame, held_out: Column, path: str, group: str | N
         from pyspark import TaskContext
 
         row, (names, values) = TaskContext.get().partitionId() << 40, held.value
-        known, matrix = {w: i for i, w in enumerate(names)}, np.array(values, float).reshape(2 + len(s), -1).T
+        known, matrix = {w: i for i, w in enumerate(names)}, np.array(values, float).reshape(1 + len(sums), -1).T
 
-        def rest(rows, words, times):
+        def rest(rows, keys, times):
             """Rows of words that are not frequent: all other columns are null."""
-            own = {"row": rows, "word": words, "times": times}
+            own = {"row": rows, "key": keys, "times": times}
             columns = [pa.array(own[f.name], f.type) if f.name in own else pa.nulls(len(rows), f.type) for f in schema]
             return pa.RecordBatch.from_arrays(columns, schema=schema)
 
@@ -387,16 +399,18 @@ def score_documents(docs: DataFrame, held_out: Column, path: str, group: str | N
             for i, text, away in zip(*(b[c].to_pylist() for c in ("doc_id", "text", "held")), strict=True):
                 row += 1
                 count = Counter(tokens(text))
+                if max(map(len, count)) > WHOLE:
+                    count = {key_of(w): n for w, n in count.items()}
                 at = [*map(known.get, count)]
                 times = np.fromiter(count.values(), np.int64, len(count))
                 here = np.array([j is not None for j in at])
-                hits, *sums = (times[here] @ matrix[np.array([j for j in at if j is not None], np.int64)]).tolist()
+                hits, *own = (times[here] @ matrix[np.array([j for j in at if j is not None], np.int64)]).tolist()
                 if len(times) > here.sum():
                     new = [w for w, j in zip(count, at, strict=True) if j is None]
                     rows += [row] * len(new)
                     words += new
                     many += times[~here].tolist()
-                out.append((row, i, away, int(times.sum()), round(hits), *sums, None, None))
+                out.append((row, i, away, int(times.sum()), round(hits), *own, None, None))
                 if len(words) > 50_000:
                     yield rest(rows, words, many)
                     rows, words, many = [], [], []
@@ -404,15 +418,14 @@ def score_documents(docs: DataFrame, held_out: Column, path: str, group: str | N
             yield common.batch(out, schema)
 
     parts = common.table(docs.select("doc_id", "text", "held").mapInArrow(run, ddl), "parts")
-    sums = ["base", *s]
-    rest = words.where((F.col("every") < floor) | (F.octet_length("word") > HOT_BYTES)).select("word", "known", *sums)
-    rare = parts.where("word is not null").select("row", "word", "times").join(rest, "word").groupBy("row").agg(
+    rest = words.where(F.col("every") < floor).select("key", "known", *sums)
+    rare = parts.where("key is not null").select("row", "key", "times").join(rest, "key").groupBy("row").agg(
         F.sum(F.when(F.col("known"), F.col("times")).otherwise(0)).alias("_known"), *[F.sum(F.col("times") * F.col(x)).alias(f"_{x}") for x in sums])
-    out = parts.where("word is null").join(rare, "row", "left")
+    out = parts.where("key is null").join(rare, "row", "left")
     full = {x: F.col(x) + F.coalesce(f"_{x}", F.lit(0.0)) for x in sums}
     weights = [ALL, *((1 - ALL) * w for w in shares)] if sum(shares) > 0 else [1.0]
     each = [full[x] + math.log10(w) for x, w in zip(s, weights, strict=False) if w > 0]
     top = F.greatest(*each) if len(each) > 1 else each[0]
     score = top + F.log10(sum((F.pow(F.lit(10.0), x - top) for x in each), F.lit(0.0)))
     return out.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("_known", F.lit(0))).cast("long").alias("n_known"),
-                      F.lit(n).cast("long").alias("train_tokens"), full["base"].alias("base_score"), score.alias("score"))
+                      F.lit(n).cast("long").alias("train_tokens"), full["base"].alias("base_score"), full["lattice"].alias("lattice_score"), score.alias("score"))
