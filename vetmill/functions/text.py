@@ -92,5 +92,10 @@ def reminder_patient_id(columns: list[str]) -> Column:
     return F.coalesce(*parts, F.lit(None).cast("bigint"))
 
 
+def strip(c: Column | str) -> Column:
+    """A value as text without white space of any kind at its ends; null as empty."""
+    return F.regexp_replace(F.coalesce(col(c).cast("string"), F.lit("")), f"^{WHITE}|{WHITE}$", "")
+
+
 def blank(c: Column | str) -> Column:
-    return F.trim(F.coalesce(col(c).cast("string"), F.lit(""))) == ""
+    return strip(c) == ""

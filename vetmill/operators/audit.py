@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vetmill.functions.text import blank, first_phone, norm_header, reminder_patient_id, to_int
+from vetmill.functions.text import blank, first_phone, norm_header, reminder_patient_id, strip, to_int
 from vetmill.operators.normalize import _fields
 
 #: Logical columns with the header names that stand for them, best first.
@@ -33,10 +33,10 @@ def patient_audit(patients: DataFrame, reminders: DataFrame, limit: int | None =
 
     limit: the first patients in the order of a column; None: all."""
     counts = reminder_counts(reminders)
-    any_ = counts.limit(1).agg(F.count("*").alias("_any"))
+    any_ = reminders.where(reminder_patient_id(reminders.columns).isNotNull()).limit(1).agg(F.count("*").alias("_any"))
     primary = F.col("account.primaryContact")
     fields = _fields(patients, "account.primaryContact.communicationDetails")
-    parts = [F.nullif(F.trim(primary[n]), F.lit("")) for n in ("nameFirst", "nameMiddle", "nameLast")]
+    parts = [F.nullif(strip(primary[n]), F.lit("")) for n in ("nameFirst", "nameMiddle", "nameLast")]
     if limit is not None:
         patients = patients.orderBy(order).limit(max(limit, 0))
     rows = patients.select(
@@ -92,7 +92,7 @@ def locate_columns(names: list[str], aliases: dict[str, tuple[str, ...]] = ALIAS
 
 def duplicate_ids(rows: DataFrame, column: str) -> DataFrame:
     """value, n: identifiers that occur more than once, trimmed; blanks are left out first."""
-    ids = rows.select(F.trim(F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))).alias("value")).where("value <> ''")
+    ids = rows.select(strip(F.col(f"`{column}`")).alias("value")).where("value <> ''")
     return ids.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
 
 

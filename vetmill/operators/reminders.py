@@ -118,10 +118,14 @@ def parse_due_date(text: Column | str, typed: Column | None = None) -> Column:
 
 
 def due_date_error(text: Column | str, typed: Column | None = None) -> Column:
-    """Why parse_due_date gives nothing; null where it gives a date."""
+    """Why parse_due_date gives nothing; null where it gives a date. The text stands in single quotes, in
+    double ones if it holds only single ones; backslashes and quotes that would end it are escaped."""
     raw = F.col(text) if isinstance(text, str) else text
     missing = raw.isNull() | (raw == "")
-    why = F.when(missing, F.lit("Missing due date")).otherwise(F.concat(F.lit("Unsupported due date format: '"), norm_text(raw), F.lit("'")))
+    text = F.replace(norm_text(raw), F.lit("\\"), F.lit("\\\\"))
+    double = F.contains(text, F.lit("'")) & ~F.contains(text, F.lit('"'))
+    quoted = F.when(double, F.concat(F.lit('"'), text, F.lit('"'))).otherwise(F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("\\'")), F.lit("'")))
+    why = F.when(missing, F.lit("Missing due date")).otherwise(F.concat(F.lit("Unsupported due date format: "), quoted))
     return F.when(parse_due_date(raw, typed).isNull(), why)
 
 
@@ -174,7 +178,10 @@ def first_plans(plans: DataFrame, limit: int | None) -> DataFrame:
 
 def plan_json(plans: DataFrame) -> DataFrame:
     """Plans as JSON texts with nulls written."""
-    body = F.to_json(F.struct(F.struct(*IDENTITY, F.col("header_row").alias("header_row_number")).alias("patient"), "valid_reminders", "skipped_rows"), {"ignoreNullFields": "false"})
+    last = lambda name, fields: F.transform(name, lambda x: F.struct(*[x[f].alias(f) for f in [*fields, "row_number"]])).alias(name)
+    patient = F.struct(*IDENTITY, F.col("header_row").alias("header_row_number")).alias("patient")
+    valid = last("valid_reminders", ["source_code", "source_label", "mapped_label", "due_date"])
+    body = F.to_json(F.struct(patient, valid, last("skipped_rows", ["source_code", "source_label", "reason"])), {"ignoreNullFields": "false"})
     return plans.select(*SHEET, "header_row", body.alias("plan"))
 
 

@@ -43,6 +43,29 @@ def accounts_by_owner(src: DataFrame, accounts: DataFrame, candidates: DataFrame
     return found.withColumn("_r", F.rank().over(best)).where("_r = 1").drop("_r")
 
 
+def _owners(src: DataFrame, accounts: DataFrame) -> DataFrame:
+    """For each source with an owner's name: n and id, the number and the least id of the accounts that
+    accounts_by_owner would leave, and first, the least feed_pos and id of those that are preferred when
+    one must be taken.
+
+    The accounts of a name are counted before the join, by name and phone as far as each step of the
+    narrowing asks for them, so that a common name costs one row a source in each join."""
+    wanted = src.where("client_name <> ''").select(
+        "src_id", token_key("client_name").alias("key"), fold_key("client_name").alias("name"), phone_digits("phone_no").alias("phone"))
+    have = accounts.where("display_name <> ''").select(
+        token_key("display_name").alias("key"), fold_key("display_name").alias("name"), F.coalesce("primary_phone", F.lit("")).alias("phone"),
+        "account_id", F.struct("feed_pos", "account_id").alias("at"))
+    out = wanted
+    for i, by in enumerate((["key", "name", "phone"], ["key", "name"], ["key", "phone"], ["key"])):
+        one = have if "phone" not in by else have.where("phone <> ''")
+        out = out.join(one.groupBy(*by).agg(F.struct(F.count("*").alias("n"), F.min("account_id").alias("id"), F.min("at").alias("first")).alias(f"_{i}")), by, "left")
+    plain = have.where("phone = ''").groupBy("key", "name").agg(F.min("at").alias("_plain"))
+    out = out.join(plain, ["key", "name"], "left")
+    best = F.coalesce("_0", "_1", "_2", "_3")
+    agrees = F.when(F.col("phone") == "", F.col("_1")["first"]).otherwise(F.least(F.col("_0")["first"], F.col("_plain")))
+    return out.where(F.col("_3").isNotNull()).select("src_id", best["n"].alias("n"), best["id"].alias("id"), F.coalesce(agrees, F.col("_3")["first"]).alias("first"))
+
+
 def resolve_accounts(src: DataFrame, accounts: DataFrame, mode: str = "strict", candidates: DataFrame | None = None) -> DataFrame:
     """src with account_id and account_status: resolved, ambiguous, missing_id or not_found.
 
@@ -51,17 +74,22 @@ def resolve_accounts(src: DataFrame, accounts: DataFrame, mode: str = "strict",
     code = accounts_by_code(src, accounts)
     rest = src.join(code.select("src_id").distinct(), "src_id", "left_anti")
     if mode == "strict":
-        owner = accounts_by_owner(rest, accounts, candidates)
-        both = code.select("src_id", "account_id").unionByName(owner.select("src_id", "account_id"))
-        one = both.groupBy("src_id").agg(F.count("*").alias("n"), F.min("account_id").alias("account_id"))
+        count = [F.count("*").alias("n"), F.min("account_id").alias("account_id")]
+        if candidates is None:
+            owner = _owners(rest, accounts).select("src_id", "n", F.col("id").alias("account_id"))
+        else:
+            owner = accounts_by_owner(rest, accounts, candidates).groupBy("src_id").agg(*count)
+        one = code.groupBy("src_id").agg(*count).unionByName(owner)
         status = F.when(F.col("n") > 1, "ambiguous").when(F.col("account_id") == "", "missing_id").otherwise("resolved")
         one = one.select("src_id", F.when(status == "resolved", F.col("account_id")).alias("account_id"), status.alias("account_status"))
     elif mode == "lenient":
-        owner = owner_candidates(rest, accounts) if candidates is None else candidates
         rank = F.struct("priority", "feed_pos", "account_id")
         first = code.groupBy("src_id").agg(F.min(rank)["account_id"].alias("account_id"))
         rank = F.struct((~F.col("lenient")).alias("no"), F.col("feed_pos"), F.col("account_id"))
-        second = owner.groupBy("src_id").agg(F.min(rank)["account_id"].alias("account_id"))
+        if candidates is None:
+            second = _owners(rest, accounts).select("src_id", F.col("first")["account_id"].alias("account_id"))
+        else:
+            second = candidates.groupBy("src_id").agg(F.min(rank)["account_id"].alias("account_id"))
         one = first.unionByName(second)
         one = one.select("src_id", F.nullif("account_id", F.lit("")).alias("account_id"), F.when(F.col("account_id") == "", "missing_id").otherwise("resolved").alias("account_status"))
     else:

@@ -18,7 +18,7 @@ ACCOUNTS = ("customer", {
     "deleted": "CASE WHEN c_acctbal < 0 THEN '2024-02-01T00:00:00Z' END"})
 PATIENTS = ("orders", {
     "id": "'' || o_orderkey", "name": "o_orderpriority", "account": "'acct-' || o_custkey", "code": "'PT' || o_orderkey",
-    "first": "CASE WHEN o_custkey % 9 = 0 THEN ' ' ELSE ' Ann  B ' END", "last": "CASE WHEN o_custkey % 9 = 0 THEN NULL ELSE 'Lee' || (o_custkey % 50) END",
+    "first": "CASE WHEN o_custkey % 9 = 0 THEN chr(9) ELSE chr(160) || 'Ann  B ' END", "last": "CASE WHEN o_custkey % 9 = 0 THEN NULL ELSE 'Lee' || (o_custkey % 50) END",
     "phone": "CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE '+49 ' || o_custkey END"})
 REMINDERS = ("lineitem", {
     "line": "l_linenumber", "pid": "CASE WHEN l_linenumber < 7 THEN '' || l_orderkey END", "due": "'' || CAST(l_shipdate AS DATE)",
@@ -43,13 +43,14 @@ DATES = ("orders", {
     "id": "o_orderkey",
     "raw": "CASE o_orderkey % 9 WHEN 0 THEN month(o_orderdate) || '/' || day(o_orderdate) || '/' || year(o_orderdate) WHEN 1 THEN month(o_orderdate) || '-' || day(o_orderdate) || '-' || year(o_orderdate) "
            "WHEN 2 THEN month(o_orderdate) || '/' || day(o_orderdate) || '/' || substr('' || year(o_orderdate), 3, 2) WHEN 3 THEN lpad('' || month(o_orderdate), 2, '0') || '-' || lpad('' || day(o_orderdate), 2, '0') || '-68' "
-           "WHEN 4 THEN '' || CAST(o_orderdate AS DATE) WHEN 5 THEN NULL WHEN 6 THEN '' WHEN 7 THEN '  ' ELSE '13/' || day(o_orderdate) || '/69' END"})
+           "WHEN 4 THEN '' || CAST(o_orderdate AS DATE) WHEN 5 THEN NULL WHEN 6 THEN '' WHEN 7 THEN CASE o_orderkey % 4 WHEN 0 THEN '  ' WHEN 1 THEN 'it' || chr(39) || 's' WHEN 2 THEN chr(34) || 'a' || chr(39) || chr(92) ELSE chr(92) || chr(34) END ELSE '13/' || day(o_orderdate) || '/69' END"})
 LABELS = ("part", {
     "id": "p_partkey",
     "label": "CASE p_partkey % 10 WHEN 0 THEN 'Physical Exam' WHEN 1 THEN 'physical exam' WHEN 2 THEN 'HEARTGARD PLUS ' || p_size WHEN 3 THEN 'Nexgard Plus for Dogs ' || p_size WHEN 4 THEN 'Simparica Trios' "
              "WHEN 5 THEN 'Microchip Implant' WHEN 6 THEN 'inject - proheart 12 x' WHEN 7 THEN 'Thyroid T4 only' WHEN 8 THEN p_name ELSE 'Dermatonin Implant' END"})
 LIST = ("customer", {
-    "PMS_ID": "CASE WHEN c_custkey % 11 = 0 THEN '  ' WHEN c_custkey % 5 = 0 THEN ' K' || CAST(floor(c_custkey / 10.0) AS INT) ELSE 'U' || c_custkey || ' ' END", "Patient": "c_name",
+    "PMS_ID": "CASE WHEN c_custkey % 22 = 0 THEN '  ' WHEN c_custkey % 11 = 0 THEN chr(9) || chr(160) WHEN c_custkey % 10 = 0 THEN 'K' || CAST(floor(c_custkey / 10.0) AS INT) || chr(9) "
+              "WHEN c_custkey % 5 = 0 THEN chr(160) || 'K' || CAST(floor(c_custkey / 10.0) AS INT) ELSE 'U' || c_custkey || ' ' END", "Patient": "c_name",
     "Owner": "CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_name END", "EMail ": "CASE WHEN c_custkey % 6 = 0 THEN '' ELSE 'x@example.org' END", "Client  Phone": "CASE WHEN c_custkey % 9 = 0 THEN '' ELSE '555' END",
     "species": "c_mktsegment", "Gender": "CASE WHEN c_custkey % 13 = 0 THEN ' ' ELSE 'f' END"})
 SOURCES = ("orders", {

@@ -35,6 +35,8 @@ def query(name: str, sql: str | None = None):
 
 # ---- shared SQL ------------------------------------------------------------------------------
 
+#: White space as the library strips it.
+_WS = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 _N = r"trim(regexp_replace({}, '\s+', ' ', 'g'))"
 ACC = f"""(SELECT feed_pos, id AS account_id, code AS pims_code, other AS pims_id, {_N.format('first')} AS first_name,
   coalesce({_N.format('middle')}, '') AS middle_name, {_N.format('last')} AS last_name,
@@ -188,8 +190,14 @@ def _due_sql(raw: str) -> str:
     return f"CASE WHEN {form} THEN TRY_CAST({full} || '-' || {month} || '-' || {day} AS DATE) END"
 
 
+def _repr_sql(text: str) -> str:
+    slashes = f"replace({text}, chr(92), chr(92) || chr(92))"
+    return f"""CASE WHEN contains({text}, chr(39)) AND NOT contains({text}, chr(34)) THEN chr(34) || {slashes} || chr(34)
+      ELSE chr(39) || replace({slashes}, chr(39), chr(92) || chr(39)) || chr(39) END"""
+
+
 def _error_sql(raw: str, due: str) -> str:
-    return f"CASE WHEN {due} IS NOT NULL THEN NULL WHEN {raw} IS NULL OR {raw} = '' THEN 'Missing due date' ELSE 'Unsupported due date format: ''' || {_N.format(raw)} || '''' END"
+    return f"CASE WHEN {due} IS NOT NULL THEN NULL WHEN {raw} IS NULL OR {raw} = '' THEN 'Missing due date' ELSE 'Unsupported due date format: ' || {_repr_sql(_N.format(raw))} END"
 
 
 @query("due_date_parse", f"SELECT id, CAST(due AS VARCHAR) AS due, {_error_sql('raw', 'due')} AS error FROM (SELECT id, raw, {_due_sql('raw')} AS due FROM {I.sql(I.DATES)} d) x")
@@ -255,7 +263,10 @@ def first_plans(spark, d):
     return reminders.first_plans(_plans(spark, d), 50).select("file", "sheet", "header_row", "n_valid")
 
 
-@query("plan_json")
+@query("plan_json", f"""SELECT file, sheet, header_row, CAST(to_json({{'patient': {{'client': client, 'client_name': client_name, 'phone_no': phone_no, 'patient_name': patient_name, 'species': species, 'breed': breed, 'header_row_number': header_row}},
+  'valid_reminders': coalesce(list({{'source_code': code, 'source_label': item_due, 'mapped_label': mapped, 'due_date': CAST(due AS VARCHAR), 'row_number': row_number}} ORDER BY row_number) FILTER (WHERE reason IS NULL), []),
+  'skipped_rows': coalesce(list({{'source_code': code, 'source_label': item_due, 'reason': reason, 'row_number': row_number}} ORDER BY row_number) FILTER (WHERE reason IS NOT NULL), [])}}) AS VARCHAR) AS plan
+  FROM {_CLASS} c GROUP BY file, sheet, header_row, client, client_name, phone_no, patient_name, species, breed""")
 def plan_json(spark, d):
     return reminders.plan_json(reminders.build_plans(reminders.classify_reminders(_sheet(spark, d)[0])))
 
@@ -339,7 +350,8 @@ def submission_table(spark, d):
 
 # ---- audits and filters ----------------------------------------------------------------------
 
-_OWNER_NAME = "nullif(concat_ws(' ', nullif(trim(first), ''), nullif(trim(last), '')), '')"
+_STRIP = f"regexp_replace({{}}, '^{_WS.replace('{', '{{').replace('}', '}}')}|{_WS.replace('{', '{{').replace('}', '}}')}$', '', 'g')"
+_OWNER_NAME = f"nullif(concat_ws(' ', nullif({_STRIP.format('first')}, ''), nullif({_STRIP.format('last')}, '')), '')"
 
 
 def _audit_sql(count: str) -> str:
@@ -380,8 +392,13 @@ def reminder_filter_bulk(spark, d):
     return rows.select("query_id", F.col("dueAt").alias("due"), F.col("deactivatedAt").alias("off"), F.col("sentAt").alias("sent"))
 
 
-_BLANK = 'count(*) FILTER (WHERE trim(coalesce("{}", \'\')) = \'\')'
-_DUP = f"(SELECT trim(\"PMS_ID\") AS value, count(*) AS n FROM {I.sql(I.LIST)} l WHERE trim(\"PMS_ID\") <> '' GROUP BY 1 HAVING count(*) > 1)"
+class _Blank(str):
+    def format(self, name: str) -> str:
+        return f"count(*) FILTER (WHERE {_STRIP.format(f'coalesce("{name}", {chr(39) * 2})')} = '')"
+
+
+_BLANK = _Blank()
+_DUP = f"(SELECT {_STRIP.format('"PMS_ID"')} AS value, count(*) AS n FROM {I.sql(I.LIST)} l WHERE {_STRIP.format('"PMS_ID"')} <> '' GROUP BY 1 HAVING count(*) > 1)"
 
 
 @query("csv_audit", f"""SELECT count(*) AS total_rows, 'PMS_ID' AS selected_identifier_column, {_BLANK.format('PMS_ID')} AS missing_identifier_rows, (SELECT count(*) FROM {_DUP} d) AS duplicate_identifier_values,
@@ -481,7 +498,10 @@ def sync_latest_per_id(spark, d):
 @query("sync_stream", _export_sql("appointments", "appointment_id", APP_FIELDS, APP, _NEEDS, None, "true"))
 def sync_stream(spark, d):
     """Events as a stream of landed files, exported once; the sink's rows are those of the batch."""
-    base = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='vetmill-')}/sync-{uuid.uuid4().hex}"
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    base = f"{folder or tempfile.mkdtemp(prefix='vetmill-')}/sync-{uuid.uuid4().hex}"
     at = f"{d}/events.parquet"
     schema = spark.read.parquet(at).schema
     landed = spark.readStream.schema(schema).parquet(at if _is_dir(spark, at) else f"{d}/events*.parquet")
