@@ -28,8 +28,9 @@ BANDS, ROWS = 32, 5
 #: Of the BANDS * ROWS coordinates' low bytes, and of the WIDE ones in the exact comparison, so many
 #: agree at least before a pair is verified (4.6 and 5 standard deviations below a link's mean).
 AGREE, WIDE, AGREE_WIDE = 95, 1024, 700
-#: Members of a block in the comparison of large buckets; pairs of a hub that are compared in one go.
-BLOCK, CHUNK = 256, 512
+#: Members of a block in the comparison of large buckets; members of a bucket for each chunk that its
+#: hub's pairs are dealt into.
+BLOCK, CHUNK = 256, 64
 
 
 def shingles(text: str | None):
@@ -104,17 +105,14 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def _by_hub(pairs: DataFrame, data: DataFrame, alike) -> DataFrame:
-    """Pairs (id, hub) for which alike(own data, hub's data) holds. pairs and data (id, data: binary) are
-    stored tables; an id may have several rows of data: one match is enough.
+    """Pairs (id, hub, chunk) for which alike(own data, hub's data) holds. pairs and data (id, data: binary)
+    are stored tables; an id may have several rows of data: one match is enough.
 
-    A hub's pairs are dealt into chunks of about CHUNK; in each chunk the hub's data come once, ahead of
-    those of its pairs."""
-    ddl = "id long, hub long"
+    In each chunk of a hub's pairs the hub's data come once, ahead of those of its pairs."""
+    ddl = "id long, hub long, chunk long"
     schema = common.arrow_schema(ddl)
-    sizes = pairs.groupBy("hub").agg(F.count("*").alias("n"))
-    dealt = common.hot_join(pairs, sizes, "hub").select("id", "hub", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / CHUNK)).alias("chunk"))
-    own = dealt.join(data, "id").select("hub", "chunk", F.lit(1).alias("side"), "id", "data")
-    hubs = dealt.select("hub", "chunk").distinct().join(data.withColumnRenamed("id", "hub"), "hub").select(
+    own = pairs.join(data, "id").select("hub", "chunk", F.lit(1).alias("side"), "id", "data")
+    hubs = pairs.select("hub", "chunk").distinct().join(data.withColumnRenamed("id", "hub"), "hub").select(
         "hub", "chunk", F.lit(0).alias("side"), F.col("hub").alias("id"), "data")
     rows = own.unionByName(hubs).repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", "side", "id")
 
@@ -129,14 +127,14 @@ def _by_hub(pairs: DataFrame, data: DataFrame, alike) -> DataFrame:
                 if not side:
                     held.append(x.as_py())
                 elif any(alike(x.as_py(), y) for y in held):
-                    out.append((i, hub))
+                    out.append((i, hub, chunk))
             yield common.batch(out, schema)
 
     return rows.mapInArrow(run, ddl).distinct()
 
 
 def _alike(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs (id, hub) whose sketches agree in AGREE coordinates at least."""
+    """Pairs (id, hub, chunk) whose sketches agree in AGREE coordinates at least."""
     def alike(x: bytes, y: bytes) -> bool:
         import numpy as np
 
@@ -160,7 +158,7 @@ def _sets(docs: DataFrame, need: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs (src, dst) whose full shingle sets meet the similarity of a link; pairs: id, hub."""
+    """Pairs (src, dst) whose full shingle sets meet the similarity of a link; pairs: id, hub, chunk."""
     def alike(x: bytes, y: bytes) -> bool:
         import numpy as np
 
@@ -192,7 +190,8 @@ def _wide(docs: DataFrame, need: DataFrame) -> DataFrame:
 
 
 def _rest(members: DataFrame, reps: DataFrame, label: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs (id, hub) of different components in one bucket whose sketches are alike."""
+    """Pairs (id, hub, chunk) of different components in one bucket whose sketches are alike; a hub here is
+    a member outside the largest component, a chunk holds its pairs with one block."""
     import pandas as pd
 
     members = members.join(label.select(F.col("id").alias("rep"), "component_id"), "rep", "left").select(
@@ -208,7 +207,7 @@ def _rest(members: DataFrame, reps: DataFrame, label: DataFrame, docs: DataFrame
     members = common.table(members.join(common.table(sketches, "wide"), "rep"), "rest")
     at = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    own = ["rep", "part", "wide", "bands"]
+    own = ["rep", "part", "largest", "wide", "bands"]
     home = members.select("key", at("blocks").alias("block"), each("chunks").alias("chunk"), *own, F.lit(False).alias("minor"))
     minor = members.where("part <> largest").select("key", at("chunks").alias("chunk"), each("blocks").alias("block"), *own, F.lit(True).alias("minor"))
 
@@ -218,18 +217,19 @@ def _rest(members: DataFrame, reps: DataFrame, label: DataFrame, docs: DataFrame
         wide = np.frombuffer(b"".join(x["wide"]), np.uint8).reshape(-1, WIDE)
         narrow, bands = wide[:, : BANDS * ROWS].copy(), np.stack(x["bands"].to_numpy())
         rep, part, is_minor = x["rep"].to_numpy(), x["part"].to_numpy(), x["minor"].to_numpy()
+        largest, block = x["largest"].to_numpy(), x["block"].iloc[0]
         here, band, a, b = np.flatnonzero(~is_minor), (bands == x["key"].iloc[0]).argmax(1), [], []
         for i in np.flatnonzero(is_minor):
             hit = here[part[here] != part[i]]
             hit = hit[(narrow[hit] == narrow[i]).sum(axis=1) >= AGREE]
             hit = hit[(wide[hit] == wide[i]).sum(axis=1) >= AGREE_WIDE]
             hit = hit[(bands[hit] == bands[i]).argmax(1) == band[i]]
-            a += [rep[i]] * len(hit)
-            b += rep[hit].tolist()
-        a, b = np.array(a, np.int64), np.array(b, np.int64)
-        return pd.DataFrame({"id": np.maximum(a, b), "hub": np.minimum(a, b)})
+            hit = hit[(part[hit] == largest[hit]) | (rep[hit] < rep[i])]  # two such members meet twice
+            a += rep[hit].tolist()
+            b += [rep[i]] * len(hit)
+        return pd.DataFrame({"id": np.array(a, np.int64), "hub": np.array(b, np.int64), "chunk": np.int64(block)})
 
-    return home.unionByName(minor).groupBy("key", "block", "chunk").applyInPandas(compare, "id long, hub long").distinct()
+    return home.unionByName(minor).groupBy("key", "block", "chunk").applyInPandas(compare, "id long, hub long, chunk long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -251,8 +251,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     hubs = common.table(members.join(weight, "rep").groupBy("key").agg(
         F.max(F.struct(F.col("w"), (-F.col("rep")).alias("rep")))["rep"].alias("hub"), F.count("*").alias("n")).select("key", (-F.col("hub")).alias("hub"), "n"), "hubs")
     pairs = common.hot_join(members.drop("n"), hubs, "key").where("rep <> hub").groupBy(
-        F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b")).agg(F.max("hub").alias("hub"))
-    pairs = pairs.select(F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("id"), "hub")
+        F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b")).agg(F.max("hub").alias("hub"), F.max("n").alias("n"))
+    pairs = pairs.select(F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("id"), "hub", "n")
+    pairs = pairs.withColumn("chunk", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / CHUNK))).drop("n")
 
     links = common.table(_verified(_alike(common.table(pairs, "pairs"), reps), docs), "links")
     first = common.table(common.components(links), "parts")
