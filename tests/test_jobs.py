@@ -62,16 +62,16 @@ def test_list_audit(spark, tmp_path):
 
 def test_payloads_and_ids(spark):
     ddl = "accountId string, breedId int, name string, speciesId string, alertIds array<int>, reminderIds array<int>, color string"
-    df = spark.createDataFrame([("a", 1, "n", "s", [999, 101, 999], [777, 202], None), ("b", 1, None, "s", None, None, "red"), ("c", 1, "n", "s", None, None, "red")], ddl)
-    good, bad = payloads.build_patient_payloads(df, 101, [201, 202])
+    df = spark.createDataFrame([("a", 1, "n", "s", [41, 12, 41, 12], [60, 8], None), ("b", 1, None, "s", None, None, "red"), ("c", 1, "n", "s", None, None, "red")], ddl)
+    good, bad = payloads.build_patient_payloads(df, 12, [7, 8])
     got = {json.loads(r.payload)["accountId"]: json.loads(r.payload) for r in good.collect()}
-    assert got["a"]["alertIds"] == [999, 101] and got["a"]["reminderIds"] == [777, 202, 201] and "color" not in got["a"] and got["c"]["color"] == "red" and got["c"]["alertIds"] == [101]
+    assert got["a"]["alertIds"] == [41, 12] and got["a"]["reminderIds"] == [60, 8, 7] and "color" not in got["a"] and got["c"]["color"] == "red" and got["c"]["alertIds"] == [12]
     assert [(r.accountId, r.reason) for r in bad.collect()] == [("b", "name")]
     sample = payloads.build_patient_payloads(payloads.sample_patient(spark, "a", "Trial", 12, "canine", "unknown"), 1)[0].first().payload
     assert "pimsCode" not in json.loads(sample)
-    alerts = spark.createDataFrame([(1, '{"alerts":[{"id":333},{"id":2}]}'), (0, "bad")], "feed_pos int, raw string")
-    rem = spark.createDataFrame([(0, '{"reminders":[{"id":777},{"id":888},{"id":777}]}')], "feed_pos int, raw string")
-    assert payloads.discover_default_ids(alerts, rem) == (333, [777, 888])
+    alerts = spark.createDataFrame([(1, '{"alerts":[{"id":64},{"id":2}]}'), (0, "bad")], "feed_pos int, raw string")
+    rem = spark.createDataFrame([(0, '{"reminders":[{"id":31},{"id":19},{"id":31}]}')], "feed_pos int, raw string")
+    assert payloads.discover_default_ids(alerts, rem) == (64, [31, 19])
     labels = spark.createDataFrame([(0, '[{"reminderLabelId":5},{"id":6}]')], "feed_pos int, raw string")
     assert payloads.discover_default_ids(alerts.limit(0), labels) == (None, [5])
 
@@ -150,9 +150,9 @@ def test_stream_takes_rows_that_land_late(spark, tmp_path):
 
 def test_inventory(spark):
     ddl = "name string, details string, frequency string, avg_use string, orders_count string, date_range string, total_cost string, amount string, status string"
-    df = spark.createDataFrame([("a", 'x"y', "EOW", "2.77 / EOW", "48 orders", "2024-04-22 — 2026-04-14", "$2,480.98", "for 159 box", "s"), ("a", None, "EOW", None, "1 order", "2024-04-22", "$-26.18", "for -3 box", "s"), ("b", None, "EOW", "?", "many", "?", "?", None, "s")], ddl)
+    df = spark.createDataFrame([("a", 'x"y', "EOW", "1.25 / week", "30 orders", "2023-01-05 — 2025-06-07", "$1,002.50", "for 88 vial", "s"), ("a", None, "EOW", None, "1 order", "2023-01-05", "$-2.25", "for -4 vial", "s"), ("b", None, "EOW", "?", "many", "?", "?", None, "s")], ddl)
     got = [tuple(map(str, r)) for r in inventory.parse_inventory(df).drop("name", "details", "frequency", "status").collect()]
-    assert got[0] == ("2.77", "EOW", "48", "2024-04-22", "2026-04-14", "2480.98", "159.00", "box")
-    assert got[1] == ("None", "None", "1", "2024-04-22", "2024-04-22", "-26.18", "-3.00", "box") and set(got[2]) == {"None"}
+    assert got[0] == ("1.25", "week", "30", "2023-01-05", "2025-06-07", "1002.50", "88.00", "vial")
+    assert got[1] == ("None", "None", "1", "2023-01-05", "2023-01-05", "-2.25", "-4.00", "vial") and set(got[2]) == {"None"}
     total = {r.quantity_unit: (r.n, r.orders, str(r.cost)) for r in inventory.inventory_rollup(inventory.parse_inventory(df)).collect()}
-    assert total["box"] == (2, 49, "2454.80")
+    assert total["vial"] == (2, 31, "1000.25")

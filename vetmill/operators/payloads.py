@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vetmill.functions.json_ids import ID_KEYS, LABEL_KEYS, json_ids
 
+#: The payload's fields.
 REQUIRED = ["accountId", "breedId", "name", "speciesId"]
 OPTIONAL = ["birthdate", "color", "deceasedDate", "insuranceInfo", "microchipInfo", "pimsCode", "sexId"]
 
