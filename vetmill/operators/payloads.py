@@ -40,6 +40,12 @@ def sample_patient(spark, account_id: str, name: str, breed_id: int, species_id:
     return spark.createDataFrame([row], "accountId string, breedId int, name string, speciesId string, sexId string, pimsCode string")
 
 
+def sample_patients(accounts: DataFrame, name: str, breed_id: int, species_id: str, sex_id: str) -> DataFrame:
+    """A patient row for a trial payload for each account; where the account has no code the payload leaves it out."""
+    return accounts.select(F.col("account_id").alias("accountId"), F.lit(breed_id).alias("breedId"), F.lit(name).alias("name"), F.lit(species_id).alias("speciesId"),
+                           F.lit(sex_id).alias("sexId"), F.nullif(F.col("pims_id"), F.lit("")).alias("pimsCode"))
+
+
 def ordered_ids(feed: DataFrame, ids: Column) -> DataFrame:
     """id, pos: every id of a feed once, with the place (feed_pos, index) where it is first seen."""
     each = feed.select("feed_pos", F.posexplode(ids).alias("idx", "id"))

@@ -171,9 +171,11 @@ def build_plans(classified: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(valid)).alias("valid_reminders"), F.array_sort(F.collect_list(skipped)).alias("skipped_rows"))
 
 
-def first_plans(plans: DataFrame, limit: int | None) -> DataFrame:
-    """The first plans in sheet order; None: all."""
-    return plans if limit is None else plans.orderBy(*SHEET, "header_row").limit(max(limit, 0))
+def first_plans(plans: DataFrame, limit: int | None, zero_is_all: bool = False) -> DataFrame:
+    """The first plans in sheet order; None: all. zero_is_all: 0 stands for all too, as in the JSON export."""
+    if limit is None or (zero_is_all and not limit):
+        return plans
+    return plans.orderBy(*SHEET, "header_row").limit(max(limit, 0))
 
 
 def plan_json(plans: DataFrame) -> DataFrame:
@@ -190,3 +192,10 @@ def dry_run_lines(classified: DataFrame) -> DataFrame:
     line = F.when(F.col("reason").isNull(), F.format_string("%s (%s) row %d: %s -> %s due %s", "patient_name", "client", "row_number", "item_due", "mapped_label", "due")).otherwise(
         F.format_string("%s (%s) row %d: skipped %s: %s", "patient_name", "client", "row_number", "item_due", "reason"))
     return classified.select(*SHEET, "header_row", "row_number", line.alias("line"))
+
+
+def empty_halves(plans: DataFrame) -> DataFrame:
+    """A line "valid: none" or "skipped: none" for each half of a plan without rows."""
+    half = lambda c, name: F.when(F.size(c) == 0, F.lit(f"{name}: none"))
+    lines = F.array_compact(F.array(half("valid_reminders", "valid"), half("skipped_rows", "skipped")))
+    return plans.select(*SHEET, "header_row", F.explode(lines).alias("line"))

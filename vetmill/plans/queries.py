@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetmill.functions.json_ids import ID_KEYS, json_ids
+from vetmill.functions.json_ids import ID_KEYS, json_ids, json_or_text
 from vetmill.functions.text import fold_key, norm_text
 from vetmill.operators import audit, inventory, normalize, payloads, reminders, resolve, sync
 from vetmill.plans import inputs as I
@@ -33,6 +33,14 @@ def query(name: str, sql: str | None = None):
     return put
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder for what a query writes and reads again, in spark.checkpoint.dir; a temporary one on one machine."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"{folder or tempfile.mkdtemp(prefix='vetmill-')}/{name}-{uuid.uuid4().hex}"
+
+
 # ---- shared SQL ------------------------------------------------------------------------------
 
 #: White space as the library strips it.
@@ -271,6 +279,19 @@ def plan_json(spark, d):
     return reminders.plan_json(reminders.build_plans(reminders.classify_reminders(_sheet(spark, d)[0])))
 
 
+@query("plan_json_zero", SQL["plan_json"])
+def plan_json_zero(spark, d):
+    """The export with a limit of 0, which stands for all plans."""
+    plans = reminders.build_plans(reminders.classify_reminders(_sheet(spark, d)[0]))
+    return reminders.plan_json(reminders.first_plans(plans, 0, zero_is_all=True))
+
+
+@query("dry_run_none", f"""SELECT file, sheet, header_row, 'valid: none' AS line FROM {_CLASS} c GROUP BY file, sheet, header_row HAVING count(*) FILTER (WHERE reason IS NULL) = 0
+  UNION ALL SELECT file, sheet, header_row, 'skipped: none' FROM {_CLASS} c GROUP BY file, sheet, header_row HAVING count(reason) = 0""")
+def dry_run_none(spark, d):
+    return reminders.empty_halves(reminders.build_plans(reminders.classify_reminders(_sheet(spark, d)[0])))
+
+
 @query("dry_run_lines", f"""SELECT file, sheet, header_row, row_number, CASE WHEN reason IS NULL THEN patient_name || ' (' || client || ') row ' || row_number || ': ' || item_due || ' -> ' || mapped || ' due ' || CAST(due AS VARCHAR)
   ELSE patient_name || ' (' || client || ') row ' || row_number || ': skipped ' || item_due || ': ' || reason END AS line FROM {_CLASS} c""")
 def dry_run_lines(spark, d):
@@ -495,24 +516,35 @@ def sync_latest_per_id(spark, d):
     return sync.latest_per_id(rows, "id").select("id", "updated_at")
 
 
-@query("sync_stream", _export_sql("appointments", "appointment_id", APP_FIELDS, APP, _NEEDS, None, "true"))
-def sync_stream(spark, d):
-    """Events as a stream of landed files, exported once; the sink's rows are those of the batch."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    base = f"{folder or tempfile.mkdtemp(prefix='vetmill-')}/sync-{uuid.uuid4().hex}"
+_STREAM_SQL = _export_sql("appointments", "appointment_id", APP_FIELDS, APP, _NEEDS, None, "true")
+
+
+def _streamed(spark, d, times: int) -> DataFrame:
+    base = _folder(spark, "sync")
     at = f"{d}/events.parquet"
     schema = spark.read.parquet(at).schema
-    landed = spark.readStream.schema(schema).parquet(at if _is_dir(spark, at) else f"{d}/events*.parquet")
-    table, columns = I.APPOINTMENTS
-    rows = landed.selectExpr(*[f"{e} AS `{n}`" for n, e in columns.items()]).select(
-        "id", F.col("type").cast("bigint").alias("appointmentTypeId"), F.col("patient").cast("bigint").alias("patientId"), F.col("day").alias("startsAt"), F.col("day").alias("updatedAt"),
-        F.col("canceled").alias("canceledAt"), "status", F.col("confirmed").alias("isConfirmed"))
-    stream.sync_stream(rows, normalize.normalize_appointments, "appointments", f"{base}/sink", f"{base}/state").awaitTermination()
+    for i in range(times):
+        landed = spark.readStream.schema(schema).parquet(at if _is_dir(spark, at) else f"{d}/events*.parquet")
+        table, columns = I.APPOINTMENTS
+        rows = landed.selectExpr(*[f"{e} AS `{n}`" for n, e in columns.items()]).select(
+            "id", F.col("type").cast("bigint").alias("appointmentTypeId"), F.col("patient").cast("bigint").alias("patientId"), F.col("day").alias("startsAt"), F.col("day").alias("updatedAt"),
+            F.col("canceled").alias("canceledAt"), "status", F.col("confirmed").alias("isConfirmed"))
+        stream.sync_stream(rows, normalize.normalize_appointments, "appointments", f"{base}/sink", f"{base}/state-{i}").awaitTermination()
     return _flat(spark.read.parquet(f"{base}/sink"))
 
 
+@query("sync_stream", _STREAM_SQL)
+def sync_stream(spark, d):
+    """Events as a stream of landed files, exported once; the sink's rows are those of the batch."""
+    return _streamed(spark, d, 1)
+
+
+@query("sync_replay", _STREAM_SQL)
+def sync_replay(spark, d):
+    """The stream's state is lost and all events come again: the sink's keys let nothing in twice."""
+    return _streamed(spark, d, 2)
+
+
 def _is_dir(spark: SparkSession, path: str) -> bool:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory()
@@ -557,3 +589,97 @@ def default_ids_all(spark, d):
     raw = I.blobs(spark, d)
     both = payloads.alert_ids(raw).withColumn("kind", F.lit("alert")).unionByName(payloads.reminder_ids(raw).withColumn("kind", F.lit("reminder")))
     return both.select("kind", "id", F.col("pos.feed_pos").alias("feed_pos"))
+
+
+# ---- files: what a query writes is read back by the library's sources ---------------------------
+
+
+@query("sheet_read", f"SELECT * REPLACE (nullif(item_due, '') AS item_due, nullif(due_date, '') AS due_date) FROM {I.sql(I.SHEET)} s")
+def sheet_read(spark, d):
+    """A CSV extract whose header names nothing and that has a tenth and an eleventh column."""
+    rows, path = I.rows(spark, d, I.SHEET), _folder(spark, "sheet")
+    feeds.write_csv(rows.select(*rows.columns[:3], *[F.col(c).alias(f"column {i}") for i, c in enumerate(rows.columns[3:])],
+                                F.lit("x").alias("note"), F.lit(None).cast("string").alias("more")), path)
+    return feeds.read_sheet(spark, path, fmt="csv")
+
+
+@query("csv_audit_from_file", SQL["csv_audit"])
+def csv_audit_from_file(spark, d):
+    """The list as a CSV file that begins with a byte-order mark."""
+    path = _folder(spark, "list")
+    feeds.write_csv(I.rows(spark, d, I.LIST).withColumnRenamed("PMS_ID", "\ufeffPMS_ID"), path)
+    return audit.audit_patients(feeds.read_csv(spark, path))
+
+
+@query("inventory_read", SQL["inventory_typed"].replace("details,", """details || ' 2", "y"' AS details,""", 1))
+def inventory_read(spark, d):
+    path = _folder(spark, "inventory")
+    feeds.write_csv(I.rows(spark, d, I.STOCK).withColumn("details", F.concat("details", F.lit(' 2", "y"'))), path)
+    rows = inventory.parse_inventory(feeds.read_csv(spark, path))
+    return rows.select(*[F.col(c).cast("string").alias(c) if c in ("use_value", "first_order", "last_order", "cost", "quantity") else c for c in rows.columns])
+
+
+@query("pages_landed", f"SELECT feed_pos // 100 AS page, feed_pos % 100 AS pos, id, code AS pims_code, updated AS updated_at FROM {I.sql(I.ACCOUNTS)} a")
+def pages_landed(spark, d):
+    """Accounts landed as API pages of 100, a file each, every second page a bare list."""
+    page, path = F.floor(F.col("feed_pos") / 100), _folder(spark, "pages")
+    items = I.accounts(spark, d).groupBy(page.alias("page")).agg(F.sort_array(F.collect_list(F.struct("feed_pos", F.struct("id", "pimsCode", "updatedAt").alias("item"))))["item"].alias("items"))
+    body = F.when(F.col("page") % 2 == 0, F.to_json(F.struct(F.col("items").alias("data")))).otherwise(F.to_json("items"))
+    items.select("page", body.alias("value")).repartition("page").write.partitionBy("page").text(path)
+    got = feeds.flatten_pages(feeds.read_pages(spark, path, "accounts"), "accounts")
+    return got.select(F.regexp_extract("page_no", "page=([0-9]+)", 1).cast("bigint").alias("page"), F.col("pos").cast("bigint").alias("pos"), "id",
+                      F.col("pimsCode").alias("pims_code"), F.col("updatedAt").alias("updated_at"))
+
+
+def _bundle(spark, d) -> DataFrame:
+    a = sync.sync_batch(normalize.normalize_accounts(I.accounts(spark, d)), "accounts", {})[0]
+    b = sync.sync_batch(normalize.normalize_appointments(I.appointments(spark, d)), "appointments", {})[0]
+    return _flat(a).unionByName(_flat(b))
+
+
+_BUNDLE_SQL = f"""SELECT * FROM ({_export_sql("accounts", "account_id", ACC_FIELDS, ACC, "'clear'", None, "true")}) a
+  UNION ALL BY NAME SELECT * FROM ({_STREAM_SQL}) b"""
+
+
+@query("bundle_written", _BUNDLE_SQL)
+def bundle_written(spark, d):
+    """Both feeds' records in one JSON export, a folder a feed, nulls written."""
+    records, path = _bundle(spark, d), _folder(spark, "bundle")
+    feeds.write_json(records, path, "source_type")
+    return spark.read.schema(records.schema).json(path).select(*records.columns)
+
+
+@query("bundle_first_per_feed", f"SELECT * FROM ({_BUNDLE_SQL}) u QUALIFY row_number() OVER (PARTITION BY source_type ORDER BY source_id) <= 20")
+def bundle_first_per_feed(spark, d):
+    return sync.first_per_feed(_bundle(spark, d), 20)
+
+
+@query("sync_state_saved", f"SELECT 'accounts' AS feed, max(updated_at) AS watermark FROM {ACC} a UNION ALL SELECT 'appointments', max(updated_at) FROM {APP} b UNION ALL SELECT 'patients', NULL")
+def sync_state_saved(spark, d):
+    """Both feeds are synced by the state as loaded, which is saved after each; patients never moved."""
+    path = _folder(spark, "state")
+    sync.save_state(spark, path, {"patients": None, "accounts": "2024-01-10T00:00:00Z"})
+    for feed, rows in (("accounts", normalize.normalize_accounts(I.accounts(spark, d))), ("appointments", normalize.normalize_appointments(I.appointments(spark, d)))):
+        sync.save_state(spark, path, sync.sync_batch(rows, feed, sync.load_state(spark, path), advance=True)[1])
+    return spark.read.schema(sync.STATE).json(path)
+
+
+@query("accounts_not_deleted", f"SELECT id, code AS pims_code FROM {I.sql(I.ACCOUNTS)} a WHERE deleted IS NULL")
+def accounts_not_deleted(spark, d):
+    return feeds.exclude_deleted(I.accounts(spark, d)).select("id", F.col("pimsCode").alias("pims_code"))
+
+
+@query("sample_payloads", f"""SELECT id AS account_id, '{{"accountId":"' || id || '","breedId":7,"name":"Trial","speciesId":"canine","alertIds":[101],"reminderIds":[201]'
+  || coalesce(',"pimsCode":"' || other || '"', '') || ',"sexId":"f"}}' AS payload FROM {I.sql(I.ACCOUNTS)} a""")
+def sample_payloads(spark, d):
+    rows = payloads.sample_patients(normalize.normalize_accounts(I.accounts(spark, d)), "Trial", 7, "canine", "f")
+    return payloads.build_patient_payloads(rows, 101, [201])[0].select(F.col("accountId").alias("account_id"), "payload")
+
+
+@query("json_or_text", f"""SELECT feed_pos, CASE WHEN feed_pos % 11 = 0 OR kind = 3 THEN NULL WHEN kind = 0 THEN '{{"alerts":[{{"id":' || a || '}},{{"alertId":"' || b || '"}}],"id":77}}'
+  WHEN kind = 1 THEN '{{"data":{{"id":' || a || ',"x":{{"reminderId":' || b || ',"y":["' || a || '"]}}}}}}' ELSE '[{{"reminderLabelId":' || b || '}},{{"note":"n' || a || '"}}]' END AS json,
+  CASE WHEN feed_pos % 11 <> 0 AND kind = 3 THEN 'no json' END AS text FROM {I.sql(I.BLOBS)} b""")
+def json_or_text_(spark, d):
+    """Landed texts, every eleventh of them empty."""
+    raw = F.when(F.col("feed_pos") % 11 == 0, "").otherwise(F.col("raw"))
+    return I.blobs(spark, d).select("feed_pos", json_or_text(raw).alias("x")).select("feed_pos", "x.*")

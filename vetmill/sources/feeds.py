@@ -27,7 +27,7 @@ def read_pages(spark: SparkSession, path: str, feed: str, item: str | None = Non
     item = item or SCHEMAS[feed]
     keys = list(dict.fromkeys([feed, "data", "items", "results"]))
     shape = ", ".join(f"{k} array<struct<{_struct(item)}>>" for k in keys)
-    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     as_list = F.from_json("value", f"array<struct<{_struct(item)}>>")
     as_page = F.from_json("value", shape)
     pages = raw.select("file", F.when(F.ltrim("value").startswith("["), as_list).alias("_list"),
@@ -91,10 +91,22 @@ def exclude_deleted(df: DataFrame, column: str = "deletedAt", include: bool = Fa
     return df if include else df.where(F.col(column).isNull())
 
 
-def read_sheet(spark: SparkSession, path: str, sheet: str | None = None) -> DataFrame:
-    """A grouped reminder sheet from a Parquet extract that carries file, sheet and row_number; rows
-    from 2 on, nine text columns and, if the extract has it, due_date_typed."""
-    rows = spark.read.parquet(path).where("row_number >= 2")
+#: Columns of a grouped reminder sheet, by place; what lies to their right is not read.
+SHEET = ("client", "client_name", "phone_no", "patient_name", "species", "breed", "code", "item_due", "due_date")
+_PLACE = ("file", "sheet", "row_number")
+
+
+def read_sheet(spark: SparkSession, path: str, sheet: str | None = None, fmt: str = "parquet") -> DataFrame:
+    """A grouped reminder sheet from an extract (fmt: parquet or csv, with a header) that carries file, sheet
+    and row_number; rows from 2 on, the first nine further columns as text under the names of SHEET and, if
+    the extract has it, due_date_typed. An empty cell of a CSV is null."""
+    rows = spark.read.parquet(path) if fmt == "parquet" else read_csv(spark, path)
+    own = [c for c in rows.columns if c not in (*_PLACE, "due_date_typed")][: len(SHEET)]
+    if len(own) < len(SHEET):
+        raise ValueError(f"the extract has {len(own)} of {len(SHEET)} columns")
+    typed = [c for c in rows.columns if c == "due_date_typed"]
+    rows = rows.select("file", "sheet", F.col("row_number").cast("bigint").alias("row_number"),
+                       *[F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(own, SHEET, strict=True)], *typed).where("row_number >= 2")
     return rows if sheet is None else rows.where(F.col("sheet") == sheet)
 
 
@@ -112,5 +124,10 @@ def write_json(df: DataFrame, path: str, by: str | None = None) -> None:
     (writer.partitionBy(by) if by else writer).json(path)
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """A CSV list with a header; white space and quotes ("" inside) come back as they were, empty texts as null."""
+    df.write.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
 def has(column: Column) -> Column:
     return column.isNotNull() & (column != "")
