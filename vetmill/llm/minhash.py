@@ -245,8 +245,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "reps")
 
     bands = reps.select("rep", F.explode("bands").alias("key"))
-    many = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = common.table(common.hot_join(bands, many, "key").select("key", "rep", "n"), "buckets")
+    many = common.table(bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "counts")
+    shared = common.parted(bands, many, "key")[0]  # most keys occur once: those rows are not shuffled again
+    members = common.table(common.hot_join(shared, many, "key").select("key", "rep", "n"), "buckets")
     weight = members.groupBy("rep").agg(F.sum("n").alias("w"))
     hubs = common.table(members.join(weight, "rep").groupBy("key").agg(
         F.max(F.struct(F.col("w"), (-F.col("rep")).alias("rep")))["rep"].alias("hub"), F.count("*").alias("n")).select("key", (-F.col("hub")).alias("hub"), "n"), "hubs")
