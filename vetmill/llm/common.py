@@ -70,13 +70,13 @@ def having(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
 HOT_KEYS, HOT_ROWS = 1000, 1000
 
 
-def hot_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def hot_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", least: int = HOT_ROWS) -> DataFrame:
     """Inner or left join of left with right, which has one row for each key and in n the number of left's rows
     with it.
 
-    The HOT_KEYS most frequent keys, of those with HOT_ROWS rows, go to left's rows by broadcast, so that
+    The HOT_KEYS most frequent keys, of those with `least` rows, go to left's rows by broadcast, so that
     only keys with less than 1 / HOT_KEYS of all rows are shuffled: no key fills a task."""
-    hot = right.where(F.col("n") >= HOT_ROWS).orderBy(F.desc("n"), key).limit(HOT_KEYS)
+    hot = right.where(F.col("n") >= least).orderBy(F.desc("n"), key).limit(HOT_KEYS)
     cold = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(right, key, how)
     return left.join(F.broadcast(hot), key).unionByName(cold)
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetmill.llm import bpe, curves, html, lm, minhash, multi_index, oracles, packing, pii, secrets, toxicity
+from vetmill.llm import bpe, collocations, curves, html, langid, lm, minhash, multi_index, oracles, packing, pii, prefix_trie, secrets, toxicity
 from vetmill.llm.common import fold, table
 
 #: Tokenizer files of the installed package; a parameter of the operators, never copied.
-WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+WORD_BPE, BYTE_BPE, MANY_BPE = "word_bpe_49k.json", "byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken"
 #: Tokens in a packed sequence; groups that the pieces of one length are dealt over.
 SEQUENCE, BUCKETS = 2048, 64
 
@@ -77,11 +77,30 @@ def op10_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curves.nearest(_read(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {"op1_lattice": op1_lattice, "op2_toxicity": op2_toxicity, "op3_bpe": op3_bpe, "op4_secrets": op4_secrets, "op5_html": op5_html, "op6_pii": op6_pii, "op7_multi_index": op7_multi_index, "op8_minhash": op8_minhash, "op9_packing": op9_packing, "op10_curves": op10_curves}
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_read(spark, sf_dir, "conversations"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_read(spark, sf_dir, "documents"))
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    model = langid.train(docs, held_out, tokenizer(MANY_BPE))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held_out", held_out)
+    return langid.predict(docs, model, ["doc_id", "held_out"])
+
+
+QUERIES = {"op1_lattice": op1_lattice, "op2_toxicity": op2_toxicity, "op3_bpe": op3_bpe, "op4_secrets": op4_secrets, "op5_html": op5_html, "op6_pii": op6_pii, "op7_multi_index": op7_multi_index, "op8_minhash": op8_minhash, "op9_packing": op9_packing, "op10_curves": op10_curves,
+           "op11_prefix_trie": op11_prefix_trie, "op12_collocations": op12_collocations, "op13_language": op13_language}
 #: Models, tokenizers, page parsing and approximate search are beyond SQL; their tests hold them
 #: against brute force.
 ORACLES: dict[str, str] = {
     "op4_secrets": oracles.secrets(secrets.RULES, secrets.BASE),
     "op7_multi_index": oracles.NEAR_VECTORS,
     "op8_minhash": oracles.NEAR_TEXTS,
+    "op11_prefix_trie": oracles.PREFIX_TRIE,
+    "op12_collocations": oracles.COLLOCATIONS,
 }
