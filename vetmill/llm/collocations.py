@@ -5,10 +5,11 @@ piece ends. Only these longest windows are counted; Spark's ROLLUP sums them to
 successively shorter prefixes, so no phrase of one or two words is ever exploded by itself. A null that
 pads is told from a null that sums by the grouping id.
 
-Windows are thinned before they are counted. A first pass counts words and word pairs by a 64-bit
-hash; hashes that occur `least` times set a bit in a bitmap of SLOTS bits, which goes to the executors.
-In the second pass a window leaves out its tail from the first pair whose bit is not set, and its first
-word if that one's is not. Bits that several hashes share only keep more windows than needed: whatever
+Windows are thinned before they are counted. A first pass counts words and word pairs by a hash of 40
+bits; hashes that occur `least` times set a bit in a bitmap of SLOTS bits, which goes to the executors. A
+second pass does so for the triples of such pairs. In the third a window leaves out its tail from the first
+pair or triple whose bit is not set, and its first word if that one's is not. Hashes and bits that several
+phrases share only keep more windows than needed: whatever
 can be a candidate or a part of one is counted in full, and its count is that of its words, not of a hash.
 A corpus that sets every bit is counted without thinning.
 
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 
 from vetmill.llm import common
 
-#: Bits of the bitmap: 32 MB whatever the data.
-SLOTS = 1 << 28
+#: Bits of the bitmap: 16 MB whatever the data; different hashes that are counted.
+SLOTS, KEYS = 1 << 27, 1 << 40
 #: Words, and different words, that a task holds before it hands on its counts (the second has to fit 20 bits); bytes of a slice.
 FLUSH, VOCAB, SLICE = 1 << 22, (1 << 20) - 2, 1 << 20
 #: A-Z in lower case; what ends a piece becomes a full stop.
@@ -112,41 +113,71 @@ def _leads(a, starts: int):
     return w1, w2, np.where(w2 > 0, w3, 0)
 
 
-def _frequent(texts: DataFrame, least: int):
-    """The bitmap of the words and pairs that occur `least` times, as a broadcast of bytes."""
+def _often(bits, keys):
+    """1 where the key's bit is set."""
+    import numpy as np
+
+    at = (keys & np.uint64(SLOTS - 1)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+
+
+def _thinned(h, w1, w2, w3, bits):
+    """w2 and w3 of windows, 0 from the first pair on whose bit is not set, and a key of each triple that is left."""
+    import numpy as np
+
+    first = _pair(h[w1], h[w2])
+    w2 = w2 * (_often(bits, first) * (w2 > 0))
+    w3 = w3 * (_often(bits, _pair(h[w2], h[w3])) * ((w2 > 0) & (w3 > 0)))
+    return w2, w3, _pair(first ^ np.uint64(0x94D049BB133111EB), h[w3])
+
+
+def _frequent(texts: DataFrame, least: int, bits=None):
+    """The bitmap of the words and pairs that occur `least` times; given that one, it and the triples of such pairs."""
     import numpy as np
 
     ddl = "key long, n long"
     schema = common.arrow_schema(ddl)
+    held = texts.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
         import pyarrow as pa
 
-        def emit(lang, words, a, starts):
-            h = _hashes(lang, words)
-            w1, w2, _ = _leads(a, starts)
-            both = w2 > 0
-            keys, n = np.unique(np.concatenate([h[w1], _pair(h[w1[both]], h[w2[both]])]), return_counts=True)
+        def send(keys, n):
             for k in range(0, len(keys), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(keys[k : k + 100_000].view(np.int64)), pa.array(n[k : k + 100_000])], schema=schema)
 
+        def emit(lang, words, a, starts):
+            h = _hashes(lang, words)
+            w1, w2, w3 = _leads(a, starts)
+            if held.value is None:
+                n = np.bincount(w1, minlength=1)
+                here = np.flatnonzero(n)
+                yield from send(h[here] & np.uint64(KEYS - 1), n[here])
+                both = w2 > 0
+                keys = _pair(h[w1[both]], h[w2[both]])
+            else:
+                _, w3, keys = _thinned(h, w1, w2, w3, held.value)
+                keys = keys[w3 > 0]
+            yield from send(*np.unique(keys & np.uint64(KEYS - 1), return_counts=True))
+
         yield from _batches(batches, emit)
 
     slot = F.pmod("key", F.lit(SLOTS)) + 1
     often = texts.mapInArrow(run, ddl).groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     maps = often.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
-    bits = np.zeros(SLOTS // 8, np.uint8)
+    out = np.zeros(SLOTS // 8, np.uint8) if bits is None else bits.copy()
     for r in maps.toArrow().to_pylist():  # 4 KB a row, SLOTS bits in all
         own = np.frombuffer(r["bits"], np.uint8)
-        bits[(r["bucket"] - 1) * len(own) : r["bucket"] * len(own)] = own
-    return texts.sparkSession.sparkContext.broadcast(bits)
+        out[(r["bucket"] - 1) * len(own) : r["bucket"] * len(own)] |= own
+    held.unpersist()
+    return out
 
 
 def windows(docs: DataFrame, least: int = 10) -> DataFrame:
     """lang, w1, w2, w3, n: the padded longest windows of all texts and their counts, thinned by what
     occurs `least` times (see above)."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("string").cast("binary").alias("text"))
-    held = _frequent(texts, least)
+    held = texts.sparkSession.sparkContext.broadcast(_frequent(texts, least, _frequent(texts, least)))
     ddl = "lang string, w1 binary, w2 binary, w3 binary, n long"
     schema = common.arrow_schema(ddl)
 
@@ -154,18 +185,12 @@ def windows(docs: DataFrame, least: int = 10) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        bits = held.value
-
-        def often(keys):
-            at = np.mod(keys.view(np.int64), SLOTS)
-            return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1
-
         def emit(lang, words, a, starts):
             h = _hashes(lang, words)
             w1, w2, w3 = _leads(a, starts)
-            w2 = w2 * (often(_pair(h[w1], h[w2])) * (w2 > 0))
-            w3 = w3 * (often(_pair(h[w2], h[w3])) * ((w2 > 0) & (w3 > 0)))
-            w1 = w1 * often(h[w1])
+            w2, w3, keys = _thinned(h, w1, w2, w3, held.value)
+            w3 = w3 * _often(held.value, keys)
+            w1 = w1 * _often(held.value, h[w1])
             codes, n = np.unique(w1 << 40 | w2 << 20 | w3, return_counts=True)
             names = pa.array([None, *words[1:]], pa.binary())
             for k in range(0, len(codes), 100_000):
