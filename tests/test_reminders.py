@@ -70,3 +70,23 @@ def test_labels(spark):
     df = spark.createDataFrame([(k,) for k in cases], "label string")
     assert {r.label: r.m for r in df.select("label", reminders.map_label(df.label).alias("m")).collect()} == cases
     assert df.select(reminders.map_label(df.label, {}, [("my", "M")], []).alias("m")).where("m is not null").count() == 1
+
+
+def test_giant_sheets_give_the_same_rows(spark):
+    """Stretches that begin within a group, in the middle of rows without a group, and at a sheet's start."""
+    import random
+
+    rng = random.Random(4)
+    cells = [("c{}", "n", None, "p", None, None, "x", "y", "z"), (None,) * 9, (None,) * 6 + ("x", "y", "z"), ("c", None, None, None, None, None, None, None, None)]
+    rows = [("f", sheet, i + 2, *[v and v.format(i) for v in rng.choices(cells, [2, 2, 30, 1])[0]]) for sheet, n in (("one", 700), ("two", 3), ("three", 1)) for i in range(n)]
+    rng.shuffle(rows)
+    ddl = "file string, sheet string, row_number long, client string, client_name string, phone_no string, patient_name string, species string, breed string, code string, item_due string, due_date string"
+    df = spark.createDataFrame(rows, ddl)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for some in (df, df.limit(0)):
+            for plain, giant in zip(reminders.group_sheet_rows(some), reminders.group_sheet_rows(some, giant=True), strict=True):
+                assert plain.columns == giant.columns
+                assert sorted(map(tuple, plain.collect()), key=repr) == sorted(map(tuple, giant.collect()), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -24,8 +24,8 @@ def _fields(df: DataFrame, path: str) -> list[str]:
     return kind.elementType.names
 
 
-def normalize_accounts(accounts: DataFrame) -> DataFrame:
-    """Twelve columns: ids, names, digits of the phone, email, times and is_deleted."""
+def normalize_accounts(accounts: DataFrame, *also: str) -> DataFrame:
+    """Twelve columns: ids, names, digits of the phone, email, times and is_deleted; then those named in also, as they are."""
     details, fields = F.col("primaryContact.communicationDetails"), _fields(accounts, "primaryContact.communicationDetails")
     first, middle, last = (F.col(f"primaryContact.{n}") for n in ("nameFirst", "nameMiddle", "nameLast"))
     deleted = norm_or_null("deletedAt")
@@ -34,7 +34,7 @@ def normalize_accounts(accounts: DataFrame) -> DataFrame:
         norm_text(first).alias("first_name"), norm_text(middle).alias("middle_name"), norm_text(last).alias("last_name"),
         F.coalesce(display_name(first, middle, last), F.lit("")).alias("display_name"),
         phone_digits(first_phone(details, fields)).alias("primary_phone"), first_email(details, fields).alias("email"),
-        norm_or_null("updatedAt").alias("updated_at"), deleted.alias("deleted_at"), deleted.isNotNull().alias("is_deleted"))
+        norm_or_null("updatedAt").alias("updated_at"), deleted.alias("deleted_at"), deleted.isNotNull().alias("is_deleted"), *also)
 
 
 def normalize_appointments(appointments: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vetmill.functions.text import norm_text
+from vetmill.sources.shared import kept
 
 IDENTITY = ["client", "client_name", "phone_no", "patient_name", "species", "breed"]
 DUE = ["code", "item_due", "due_date"]
@@ -79,13 +80,36 @@ BEGINNINGS = [
 ]
 
 
-def group_sheet_rows(rows: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+def _carried_in_sheets(marked: DataFrame, opener: Column) -> DataFrame:
+    """The last opener of each row's sheet up to the row, by one window over the sheet."""
+    seen = Window.partitionBy(*SHEET).orderBy("row_number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return marked.withColumn("_open", F.last(opener, ignorenulls=True).over(seen))
+
+
+def _carried_in_stretches(marked: DataFrame, opener: Column) -> DataFrame:
+    """The same by a segmented scan: rows are dealt by ranges of (sheet, row number), so that many tasks share a sheet;
+    each carries within its stretch, and a stretch that goes on with a sheet takes the last opener before it.
+
+    What is carried over is a row for each stretch that begins within a sheet, so its broadcast is bounded by the number
+    of tasks."""
+    place = [*SHEET, "row_number"]
+    dealt = kept(marked.withColumn("_opener", opener).repartitionByRange(*place).withColumn("_stretch", F.spark_partition_id()), "sheet")
+    last = dealt.groupBy(*SHEET, "_stretch").agg(F.max(F.when(F.col("_opener").isNotNull(), F.struct("row_number", "_opener")))["_opener"].alias("_last"))
+    before = Window.partitionBy(*SHEET).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.withColumn("_before", F.last("_last", ignorenulls=True).over(before)).where("_before is not null").drop("_last")
+    seen = Window.partitionBy("_stretch", *SHEET).orderBy("row_number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = dealt.withColumn("_here", F.last("_opener", ignorenulls=True).over(seen)).join(F.broadcast(carry), [*SHEET, "_stretch"], "left")
+    return rows.withColumn("_open", F.coalesce("_here", "_before")).drop("_here", "_before", "_opener", "_stretch")
+
+
+def group_sheet_rows(rows: DataFrame, strict: bool = False, giant: bool = False) -> tuple[DataFrame, DataFrame]:
     """Rows of a sheet in their patient groups, and the rows that break the layout.
 
     rows: file, sheet, row_number, nine text columns, perhaps due_date_typed. A row with identity
     opens a group; a blank one ends it; others carry on. The first frame has header_row and the
     header's identity on every row; the second has row_number and reason. One window over each
-    sheet does it all; sheets are independent. strict: the job fails on a broken row."""
+    sheet does it all; sheets are independent. giant: a sheet may be longer than a task can hold, and is
+    shared by many (both ways give the same rows). strict: the job fails on a broken row."""
     typed = "due_date_typed" in rows.columns
     date = F.coalesce(F.col("due_date_typed").cast("string"), F.col("due_date")) if typed else F.col("due_date")
     has_id = F.concat(*[norm_text(c) for c in IDENTITY]) != ""
@@ -93,8 +117,7 @@ def group_sheet_rows(rows: DataFrame, strict: bool = False) -> tuple[DataFrame,
     marked = rows.withColumns({"_id": has_id, "_due": has_due})
     opener = F.when(F.col("_id") | ~F.col("_due"), F.struct(
         F.col("_id").alias("opens"), F.col("row_number").alias("row"), *[norm_text(c).alias(c) for c in IDENTITY]))
-    seen = Window.partitionBy(*SHEET).orderBy("row_number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    marked = marked.withColumn("_open", F.last(opener, ignorenulls=True).over(seen)).where("_id or _due")
+    marked = (_carried_in_stretches if giant else _carried_in_sheets)(marked, opener).where("_id or _due")
     reason = F.when(F.col("_id") & ~F.col("_due"), "header_without_reminder").when(
         ~F.coalesce(F.col("_open.opens"), F.lit(False)), "continuation_without_header")
     marked = marked.withColumn("_reason", reason)

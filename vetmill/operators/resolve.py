@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vetmill.functions.text import fold_key, phone_digits, token_key
+from vetmill.sources.shared import kept
 
 
 def accounts_by_code(src: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -71,7 +72,7 @@ def resolve_accounts(src: DataFrame, accounts: DataFrame, mode: str = "strict",
 
     strict: one account or none; lenient: the first by code, else the first candidate that matches,
     else the first candidate."""
-    code = accounts_by_code(src, accounts)
+    code = kept(accounts_by_code(src, accounts), "by_code")
     rest = src.join(code.select("src_id").distinct(), "src_id", "left_anti")
     if mode == "strict":
         count = [F.count("*").alias("n"), F.min("account_id").alias("account_id")]

@@ -39,6 +39,10 @@ SHEET = ("events", {
                 "WHEN 3 THEN 'Something new' WHEN 4 THEN '' WHEN 5 THEN 'Rabies Canine 3 yr' WHEN 6 THEN 'Antech Fecal w Giardia' ELSE 'Antech Fecalysis' END END",
     "due_date": "CASE WHEN event_type = 'error' OR event_id % 50 = 0 THEN NULL ELSE CASE event_id % 7 WHEN 0 THEN month(ts) || '/' || day(ts) || '/' || year(ts) WHEN 1 THEN month(ts) || '-' || day(ts) || '-' || substr('' || year(ts), 3, 2) "
                 "WHEN 2 THEN '02/30/2024' WHEN 3 THEN '' WHEN 4 THEN '' || CAST(ts AS DATE) WHEN 5 THEN '1/2/69' ELSE ' 3-4-68 ' END END"})
+#: The same sheet with owners in place of some client codes, and patients of such names as it has.
+IMPORT = ("events", {**SHEET[1], "client": "CASE WHEN event_type = 'signup' AND event_id % 3 > 0 THEN ' ' || (user_id % 1500) || ' ' ELSE ' ' END",
+    "client_name": "CASE WHEN event_type = 'signup' THEN CASE WHEN event_id % 3 = 0 THEN 'building  FAMILY' || (user_id % 211) ELSE 'Owner  ' || user_id END END"})
+PETS = ("orders", {**PATIENTS[1], "name": "'PET ' || (o_orderkey % 7)"})
 DATES = ("orders", {
     "id": "o_orderkey",
     "raw": "CASE o_orderkey % 9 WHEN 0 THEN month(o_orderdate) || '/' || day(o_orderdate) || '/' || year(o_orderdate) WHEN 1 THEN month(o_orderdate) || '-' || day(o_orderdate) || '-' || year(o_orderdate) "
@@ -97,8 +101,8 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("updated").alias("updatedAt"), F.col("deleted").alias("deletedAt"))
 
 
-def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = rows(spark, sf_dir, PATIENTS)
+def patients(spark: SparkSession, sf_dir: str, source=PATIENTS) -> DataFrame:
+    r = rows(spark, sf_dir, source)
     contact = F.struct(F.col("first").alias("nameFirst"), F.lit(None).cast("string").alias("nameMiddle"), F.col("last").alias("nameLast"),
                        _details({"type": "'email'", "value": "'x'"}, {"type": "'phone'", "phoneNumber": "phone"}).alias("communicationDetails"))
     return r.select("id", "name", F.col("account").alias("accountId"), F.col("code").alias("pimsCode"), F.struct(contact.alias("primaryContact")).alias("account"))

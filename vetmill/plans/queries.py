@@ -6,17 +6,16 @@
 from __future__ import annotations
 
 import re
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vetmill.functions.json_ids import ID_KEYS, json_ids, json_or_text
 from vetmill.functions.text import fold_key, norm_text
-from vetmill.operators import audit, inventory, normalize, payloads, reminders, resolve, sync
+from vetmill.operators import audit, importing, inventory, normalize, payloads, reminders, resolve, sync
 from vetmill.plans import inputs as I
-from vetmill.sources import feeds
+from vetmill.sources import cursors, feeds
+from vetmill.sources.shared import folder
 from vetmill.streaming import sync as stream
 
 QUERIES: dict = {}
@@ -33,14 +32,6 @@ def query(name: str, sql: str | None = None):
     return put
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    """A new folder for what a query writes and reads again, in spark.checkpoint.dir; a temporary one on one machine."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    return f"{folder or tempfile.mkdtemp(prefix='vetmill-')}/{name}-{uuid.uuid4().hex}"
-
-
 # ---- shared SQL ------------------------------------------------------------------------------
 
 #: White space as the library strips it.
@@ -330,8 +321,7 @@ def _patients_sql(resolved: str) -> str:
 
 
 def _accounts(spark, d):
-    raw = I.accounts(spark, d)
-    return normalize.normalize_accounts(raw).join(raw.select(F.col("id").alias("account_id"), "feed_pos"), "account_id")
+    return normalize.normalize_accounts(I.accounts(spark, d), "feed_pos")
 
 
 @query("resolve_account_by_code", f"SELECT src_id, account_id, priority FROM {_CODE} c")
@@ -520,7 +510,7 @@ _STREAM_SQL = _export_sql("appointments", "appointment_id", APP_FIELDS, APP, _NE
 
 
 def _streamed(spark, d, times: int) -> DataFrame:
-    base = _folder(spark, "sync")
+    base = folder(spark, "sync")
     at = f"{d}/events.parquet"
     schema = spark.read.parquet(at).schema
     for i in range(times):
@@ -597,7 +587,7 @@ def default_ids_all(spark, d):
 @query("sheet_read", f"SELECT * REPLACE (nullif(item_due, '') AS item_due, nullif(due_date, '') AS due_date) FROM {I.sql(I.SHEET)} s")
 def sheet_read(spark, d):
     """A CSV extract whose header names nothing and that has a tenth and an eleventh column."""
-    rows, path = I.rows(spark, d, I.SHEET), _folder(spark, "sheet")
+    rows, path = I.rows(spark, d, I.SHEET), folder(spark, "sheet")
     feeds.write_csv(rows.select(*rows.columns[:3], *[F.col(c).alias(f"column {i}") for i, c in enumerate(rows.columns[3:])],
                                 F.lit("x").alias("note"), F.lit(None).cast("string").alias("more")), path)
     return feeds.read_sheet(spark, path, fmt="csv")
@@ -606,14 +596,14 @@ def sheet_read(spark, d):
 @query("csv_audit_from_file", SQL["csv_audit"])
 def csv_audit_from_file(spark, d):
     """The list as a CSV file that begins with a byte-order mark."""
-    path = _folder(spark, "list")
+    path = folder(spark, "list")
     feeds.write_csv(I.rows(spark, d, I.LIST).withColumnRenamed("PMS_ID", "\ufeffPMS_ID"), path)
     return audit.audit_patients(feeds.read_csv(spark, path))
 
 
 @query("inventory_read", SQL["inventory_typed"].replace("details,", """details || ' 2", "y"' AS details,""", 1))
 def inventory_read(spark, d):
-    path = _folder(spark, "inventory")
+    path = folder(spark, "inventory")
     feeds.write_csv(I.rows(spark, d, I.STOCK).withColumn("details", F.concat("details", F.lit(' 2", "y"'))), path)
     rows = inventory.parse_inventory(feeds.read_csv(spark, path))
     return rows.select(*[F.col(c).cast("string").alias(c) if c in ("use_value", "first_order", "last_order", "cost", "quantity") else c for c in rows.columns])
@@ -622,7 +612,7 @@ def inventory_read(spark, d):
 @query("pages_landed", f"SELECT feed_pos // 100 AS page, feed_pos % 100 AS pos, id, code AS pims_code, updated AS updated_at FROM {I.sql(I.ACCOUNTS)} a")
 def pages_landed(spark, d):
     """Accounts landed as API pages of 100, a file each, every second page a bare list."""
-    page, path = F.floor(F.col("feed_pos") / 100), _folder(spark, "pages")
+    page, path = F.floor(F.col("feed_pos") / 100), folder(spark, "pages")
     items = I.accounts(spark, d).groupBy(page.alias("page")).agg(F.sort_array(F.collect_list(F.struct("feed_pos", F.struct("id", "pimsCode", "updatedAt").alias("item"))))["item"].alias("items"))
     body = F.when(F.col("page") % 2 == 0, F.to_json(F.struct(F.col("items").alias("data")))).otherwise(F.to_json("items"))
     items.select("page", body.alias("value")).repartition("page").write.partitionBy("page").text(path)
@@ -644,7 +634,7 @@ _BUNDLE_SQL = f"""SELECT * FROM ({_export_sql("accounts", "account_id", ACC_FIEL
 @query("bundle_written", _BUNDLE_SQL)
 def bundle_written(spark, d):
     """Both feeds' records in one JSON export, a folder a feed, nulls written."""
-    records, path = _bundle(spark, d), _folder(spark, "bundle")
+    records, path = _bundle(spark, d), folder(spark, "bundle")
     feeds.write_json(records, path, "source_type")
     return spark.read.schema(records.schema).json(path).select(*records.columns)
 
@@ -657,7 +647,7 @@ def bundle_first_per_feed(spark, d):
 @query("sync_state_saved", f"SELECT 'accounts' AS feed, max(updated_at) AS watermark FROM {ACC} a UNION ALL SELECT 'appointments', max(updated_at) FROM {APP} b UNION ALL SELECT 'patients', NULL")
 def sync_state_saved(spark, d):
     """Both feeds are synced by the state as loaded, which is saved after each; patients never moved."""
-    path = _folder(spark, "state")
+    path = folder(spark, "state")
     sync.save_state(spark, path, {"patients": None, "accounts": "2024-01-10T00:00:00Z"})
     for feed, rows in (("accounts", normalize.normalize_accounts(I.accounts(spark, d))), ("appointments", normalize.normalize_appointments(I.appointments(spark, d)))):
         sync.save_state(spark, path, sync.sync_batch(rows, feed, sync.load_state(spark, path), advance=True)[1])
@@ -683,3 +673,114 @@ def json_or_text_(spark, d):
     """Landed texts, every eleventh of them empty."""
     raw = F.when(F.col("feed_pos") % 11 == 0, "").otherwise(F.col("raw"))
     return I.blobs(spark, d).select("feed_pos", json_or_text(raw).alias("x")).select("feed_pos", "x.*")
+
+
+# ---- landed pages in the order of their cursors ------------------------------------------------
+
+
+def _page_rows(spark, d, size: int) -> DataFrame:
+    """Accounts in pages of some size: k, from 0, and the page's items."""
+    k = F.floor(F.col("feed_pos") / size)
+    item = F.struct("id", "pimsCode", "updatedAt")
+    return I.accounts(spark, d).groupBy(k.alias("k")).agg(F.sort_array(F.collect_list(F.struct("feed_pos", item.alias("item"))))["item"].alias("items"))
+
+
+@query("pages_in_cursor_order", f"SELECT row_number() OVER (ORDER BY feed_pos) - 1 AS feed_pos, id, code AS pims_code, updated AS updated_at FROM {I.sql(I.ACCOUNTS)} a")
+def pages_in_cursor_order(spark, d):
+    """Pages of 25 under names that say nothing of their order; half of them carry metadata, half plain cursors."""
+    path, pages = folder(spark, "pages"), _page_rows(spark, d, 25)
+    last = pages.agg(F.max("k").alias("last"))
+    own, after = F.when(F.col("k") > 0, F.concat(F.lit("c"), F.col("k"))), F.when(F.col("k") < F.col("last"), F.concat(F.lit("c"), F.col("k") + 1))
+    body = F.when(F.col("k") % 2 == 0, F.to_json(F.struct(F.col("items").alias("accounts"), F.struct(after.alias("after"), own.alias("before")).alias("metadata")))).otherwise(
+        F.to_json(F.struct(F.col("items").alias("data"), after.alias("nextPageCursor"), own.alias("pageCursor"))))
+    pages.crossJoin(last).select(F.md5(F.concat(F.lit("page"), F.col("k"))).alias("name"), body.alias("value")).repartition("name").write.partitionBy("name").text(path)
+    got = cursors.flatten_in_order(feeds.read_pages(spark, path, "accounts"), "accounts")[0]
+    return got.select("feed_pos", "id", F.col("pimsCode").alias("pims_code"), F.col("updatedAt").alias("updated_at"))
+
+
+_FAULT = "CASE WHEN k % 60 = 41 THEN 'lost' WHEN k % 60 > 50 THEN 'own' WHEN k % 60 = 7 THEN 'twice' WHEN k % 60 = 20 THEN 'forked' ELSE '' END"
+
+
+@query("pages_rejected", f"""SELECT copy || '-' || k AS page_no, CASE WHEN fault = 'twice' AND copy = 'b' THEN 'repeat' WHEN fault = 'forked' THEN 'fork' WHEN fault = 'own' AND k % 2 = 1 THEN 'loop' ELSE 'gap' END AS reason
+  FROM (SELECT DISTINCT feed_pos // 5 AS k FROM {I.sql(I.ACCOUNTS)} a) p JOIN (VALUES ('a'), ('b')) c(copy) ON true JOIN LATERAL (SELECT {_FAULT} AS fault) f ON true
+  WHERE fault <> 'lost' AND (copy = 'a' OR fault IN ('twice', 'forked')) AND (fault IN ('forked', 'own') OR copy = 'b' OR k > 20)""")
+def pages_rejected(spark, d):
+    """Pages of which some are lost, landed twice, differ under one cursor, name themselves as the next or hang on nothing."""
+    p = _page_rows(spark, d, 5).withColumn("fault", F.expr(_FAULT)).where("fault <> 'lost'")
+    p = p.withColumn("copy", F.explode(F.when(F.col("fault").isin("twice", "forked"), F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("a")))))
+    odd = F.concat(F.lit("odd"), F.col("k"))
+    own = F.when(F.col("fault") == "own", odd).when(F.col("k") > 0, F.concat(F.lit("c"), F.col("k")))
+    after = F.when(F.col("fault") == "own", F.when(F.col("k") % 2 == 1, odd)).when((F.col("fault") == "forked") & (F.col("copy") == "b"), "elsewhere").otherwise(F.concat(F.lit("c"), F.col("k") + 1))
+    pages = p.select(F.concat_ws("-", "copy", "k").alias("page_no"), F.col("items").alias("data"), own.alias("cursor"), after.alias("next_cursor"))
+    return cursors.order_pages(pages, "accounts")[1]
+
+
+@query("feeds_landed", f"""SELECT 'appointments' AS feed, id, patient AS patient_id, kind, day AS at FROM (SELECT CASE WHEN id % 2 = 0 THEN 'a-' || id ELSE '' || id END AS id, CASE WHEN patient % 3 = 0 THEN 'p-' || patient ELSE '' || patient END AS patient,
+  CASE WHEN type IS NULL THEN NULL ELSE '' || type END AS kind, day FROM {I.sql(I.APPOINTMENTS)} a) a
+  UNION ALL SELECT 'patients', id, NULL, name, NULL FROM {I.sql(I.PATIENTS)} p UNION ALL SELECT 'reminders', NULL, pid, NULL, due FROM {REM} r""")
+def feeds_landed(spark, d):
+    """Three more feeds landed as pages whose ids are texts in some rows and numbers in others."""
+    a = I.appointments(spark, d)
+    text = lambda c, test, mark: F.when(test, F.concat(F.lit(f'"{mark}-'), c, F.lit('"'))).otherwise(c.cast("string"))
+    item = F.concat(F.lit('{"id":'), text(F.col("id"), F.col("id") % 2 == 0, "a"), F.lit(',"patientId":'), text(F.col("patientId"), F.col("patientId") % 3 == 0, "p"),
+                    F.lit(',"appointmentTypeId":'), F.coalesce(F.when(F.col("id") % 5 == 0, F.concat(F.lit('"'), F.col("appointmentTypeId"), F.lit('"'))).otherwise(F.col("appointmentTypeId").cast("string")), F.lit("null")),
+                    F.lit(',"startsAt":"'), F.col("startsAt"), F.lit('"}'))
+    p = I.patients(spark, d).select("id", "name", "accountId")
+    whole = F.concat(F.lit('{"id":'), "id", F.lit(',"name":"'), "name", F.lit('","accountId":"'), "accountId", F.lit('"}'))
+    r = I.reminders(spark, d)
+    out = []
+    for feed, items in (("appointments", a.select(item.alias("item"))), ("patients", p.select(whole.alias("item"))), ("reminders", r.select(F.to_json(F.struct(*r.columns)).alias("item")))):
+        path = folder(spark, feed)
+        page = F.pmod(F.xxhash64("item"), F.lit(20)).alias("page")
+        items.select(page, "item").groupBy("page").agg(F.collect_list("item").alias("items")).select(
+            "page", F.concat(F.lit('{"data":['), F.array_join("items", ","), F.lit("]}")).alias("value")).write.partitionBy("page").text(path)
+        out.append(feeds.flatten_pages(feeds.read_pages(spark, path, feed), feed))
+    none = F.lit(None).cast("string")
+    n = normalize.normalize_appointments(out[0])
+    rows = n.select(F.lit("appointments").alias("feed"), F.col("appointment_id").alias("id"), "patient_id", F.col("appointment_type_id").alias("kind"), F.col("starts_at").alias("at"))
+    rows = rows.unionByName(out[1].select(F.lit("patients").alias("feed"), "id", none.alias("patient_id"), F.col("name").alias("kind"), none.alias("at")))
+    return rows.unionByName(out[2].select(F.lit("reminders").alias("feed"), "id", F.coalesce("patientId", "patient_id", "patient.id").alias("patient_id"), none.alias("kind"), F.col("dueAt").alias("at")))
+
+
+# ---- one giant sheet, and the import from sheet to submission ------------------------------------
+
+_ONE = ("events", {**I.SHEET[1], "file": "'f'", "sheet": "'s'"})
+
+
+@query("sheet_groups_giant", SQL["sheet_groups"].replace(I.sql(I.SHEET), I.sql(_ONE)))
+def sheet_groups_giant(spark, d):
+    """All rows as one sheet, which many tasks share."""
+    return reminders.group_sheet_rows(I.rows(spark, d, _ONE), giant=True)[0].drop("due_date")
+
+
+@query("sheet_errors_giant", SQL["sheet_errors"].replace(I.sql(I.SHEET), I.sql(_ONE)))
+def sheet_errors_giant(spark, d):
+    return reminders.group_sheet_rows(I.rows(spark, d, _ONE), giant=True)[1]
+
+
+_IMPORT_PLANS = _PLANS.replace(I.sql(I.SHEET), I.sql(I.IMPORT))
+_IMPORT_SRC = f"(SELECT DISTINCT client || chr(31) || client_name || chr(31) || phone_no || chr(31) || patient_name AS src_id, client, client_name, phone_no, patient_name FROM {_IMPORT_PLANS} p WHERE n_valid > 0)"
+
+
+def _import_sql(resolved: str) -> str:
+    found = _patients_sql(resolved).replace(_SRC, _IMPORT_SRC).replace(I.sql(I.PATIENTS), I.sql(I.PETS))
+    return f"""SELECT file, sheet, header_row, p.client, p.patient_name, n_valid, CASE WHEN n_valid = 0 THEN 'skipped_no_valid_reminders' WHEN patient_status = 'resolved' THEN 'submitted' ELSE 'unresolved_' || patient_status END AS status,
+      CASE WHEN n_valid > 0 AND patient_status = 'resolved' THEN patient_id END AS patient_id, CASE WHEN n_valid > 0 AND patient_status = 'resolved' THEN valid END AS reminders
+      FROM {_IMPORT_PLANS} p LEFT JOIN {found} f ON f.src_id = p.client || chr(31) || p.client_name || chr(31) || p.phone_no || chr(31) || p.patient_name"""
+
+
+def _imported(spark, d, mode):
+    out, _ = importing.import_sheets(I.rows(spark, d, I.IMPORT), _accounts(spark, d), I.patients(spark, d, I.PETS), mode)
+    line = lambda x: F.concat(x["row_number"].cast("string"), F.lit("="), x["mapped_label"], F.lit("@"), x["due_date"])
+    return out.withColumn("reminders", F.array_join(F.transform("reminders", line), ";"))
+
+
+@query("import_result", re.sub(r"\n\s*", " ", _import_sql(_STRICT)))
+def import_result(spark, d):
+    """The whole import: sheet, plans, distinct sources, resolution, submission."""
+    return _imported(spark, d, "strict")
+
+
+@query("import_result_lenient", re.sub(r"\n\s*", " ", _import_sql(_LENIENT)))
+def import_result_lenient(spark, d):
+    return _imported(spark, d, "lenient")

@@ -15,24 +15,27 @@ SCHEMAS = {
     "patients": f"id string, name string, accountId string, pimsCode string, account struct<primaryContact:{CONTACT}>",
     "reminders": "id string, patientId string, patient_id string, patient struct<id:string>, ownerId string, productId string, "
                  "reminderLabelId string, dueAt string, givenAt string, sentAt string, deactivatedAt string",
-    "appointments": "id bigint, appointmentTypeId bigint, patientId bigint, startsAt string, updatedAt string, canceledAt string, "
+    "appointments": "id string, appointmentTypeId string, patientId string, startsAt string, updatedAt string, canceledAt string, "
                     "status string, isConfirmed boolean",
 }
 
 
 def read_pages(spark: SparkSession, path: str, feed: str, item: str | None = None) -> DataFrame:
-    """Pages as landed, one file each: page_no (by file name) and the arrays that a page may hold.
+    """Pages as landed, one file each: page_no (by file name), the arrays that a page may hold, cursor, under which the
+    page was asked for, and next_cursor, of the page that follows (cursors.order_pages restores the order from these).
 
-    A page is a list, or an object with lists; a value of another shape under a key reads as null."""
+    A page is a list, or an object with lists; a value of another shape under a key reads as null. The cursors are
+    pageCursor or metadata.before, and metadata.after or nextPageCursor; a list has none."""
     item = item or SCHEMAS[feed]
     keys = list(dict.fromkeys([feed, "data", "items", "results"]))
     shape = ", ".join(f"{k} array<struct<{_struct(item)}>>" for k in keys)
     raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     as_list = F.from_json("value", f"array<struct<{_struct(item)}>>")
-    as_page = F.from_json("value", shape)
+    as_page = F.from_json("value", f"{shape}, metadata struct<after:string,before:string>, pageCursor string, nextPageCursor string")
     pages = raw.select("file", F.when(F.ltrim("value").startswith("["), as_list).alias("_list"),
                        F.when(~F.ltrim("value").startswith("["), as_page).alias("_page"))
-    return pages.select(F.col("file").alias("page_no"), *[F.coalesce("_list", F.col("_page")[k]).alias(k) if k == keys[0] else F.col("_page")[k].alias(k) for k in keys])
+    cursors = [F.coalesce("_page.pageCursor", "_page.metadata.before").alias("cursor"), F.coalesce("_page.metadata.after", "_page.nextPageCursor").alias("next_cursor")]
+    return pages.select(F.col("file").alias("page_no"), *[F.coalesce("_list", F.col("_page")[k]).alias(k) if k == keys[0] else F.col("_page")[k].alias(k) for k in keys], *cursors)
 
 
 def _struct(ddl: str) -> str:
