@@ -16,6 +16,7 @@ from vetmill.operators import audit, importing, inventory, normalize, payloads,
 from vetmill.plans import inputs as I
 from vetmill.sources import cursors, feeds
 from vetmill.sources.shared import folder
+from vetmill.streaming import commits, keyed
 from vetmill.streaming import sync as stream
 
 QUERIES: dict = {}
@@ -509,16 +510,20 @@ def sync_latest_per_id(spark, d):
 _STREAM_SQL = _export_sql("appointments", "appointment_id", APP_FIELDS, APP, _NEEDS, None, "true")
 
 
-def _streamed(spark, d, times: int) -> DataFrame:
-    base = folder(spark, "sync")
+def _landed_stream(spark, d) -> DataFrame:
     at = f"{d}/events.parquet"
     schema = spark.read.parquet(at).schema
+    landed = spark.readStream.schema(schema).parquet(at if _is_dir(spark, at) else f"{d}/events*.parquet")
+    table, columns = I.APPOINTMENTS
+    return landed.selectExpr(*[f"{e} AS `{n}`" for n, e in columns.items()]).select(
+        "id", F.col("type").cast("bigint").alias("appointmentTypeId"), F.col("patient").cast("bigint").alias("patientId"), F.col("day").alias("startsAt"), F.col("day").alias("updatedAt"),
+        F.col("canceled").alias("canceledAt"), "status", F.col("confirmed").alias("isConfirmed"))
+
+
+def _streamed(spark, d, times: int) -> DataFrame:
+    base = folder(spark, "sync")
     for i in range(times):
-        landed = spark.readStream.schema(schema).parquet(at if _is_dir(spark, at) else f"{d}/events*.parquet")
-        table, columns = I.APPOINTMENTS
-        rows = landed.selectExpr(*[f"{e} AS `{n}`" for n, e in columns.items()]).select(
-            "id", F.col("type").cast("bigint").alias("appointmentTypeId"), F.col("patient").cast("bigint").alias("patientId"), F.col("day").alias("startsAt"), F.col("day").alias("updatedAt"),
-            F.col("canceled").alias("canceledAt"), "status", F.col("confirmed").alias("isConfirmed"))
+        rows = _landed_stream(spark, d)
         stream.sync_stream(rows, normalize.normalize_appointments, "appointments", f"{base}/sink", f"{base}/state-{i}").awaitTermination()
     return _flat(spark.read.parquet(f"{base}/sink"))
 
@@ -535,6 +540,27 @@ def sync_replay(spark, d):
     return _streamed(spark, d, 2)
 
 
+_RECORD = "source_system string, source_id string, source_type string, idempotency_key string, conflict_status string, payload struct<source_hash:string>"
+
+
+@query("sync_keyed", _STREAM_SQL)
+def sync_keyed(spark, d):
+    """Every event lands three times; the stream's own state lets each key through once."""
+    base, rows = folder(spark, "keyed"), _landed_stream(spark, d).withColumn("again", F.explode(F.array(*map(F.lit, range(3))))).drop("again")
+    keyed.sync_keyed(rows, normalize.normalize_appointments, "appointments", f"{base}/sink", f"{base}/state").awaitTermination()
+    return _flat(commits.read(spark, f"{base}/sink", _RECORD))
+
+
+@query("sync_committed", _export_sql("accounts", "account_id", ACC_FIELDS, ACC, "'clear'", None, "updated_at < '2024-01-15T00:00:00Z'") + " UNION ALL "
+       + _export_sql("accounts", "account_id", ACC_FIELDS, ACC, "'clear'", "2024-01-14T00:00:00Z", "updated_at >= '2024-01-14T00:00:00Z'"))
+def sync_committed(spark, d):
+    """Two runs, of which the second starts from the watermark that the first committed and is asked for twice."""
+    sink, rows = folder(spark, "committed"), normalize.normalize_accounts(I.accounts(spark, d))
+    for name, some in (("one", rows.where("updated_at < '2024-01-15T00:00:00Z'")), ("two", rows), ("two", rows)):
+        commits.sync_committed(some, "accounts", sink, name)
+    return _flat(commits.read(spark, sink, _RECORD))
+
+
 def _is_dir(spark: SparkSession, path: str) -> bool:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory()
