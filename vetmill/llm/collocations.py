@@ -19,7 +19,9 @@ FLUSH words or VOCAB different words have come together.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vetmill.llm import common
@@ -36,6 +38,18 @@ UNKNOWN = "und"
 HOT_PARTS = 100
 
 
+@contextmanager
+def _released(spark: SparkSession):
+    """Queries inside give up their shuffle files as they end: their results are collected or written by then."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
 class _Ids(dict):
     """Numbers of words, in the order of their coming; 0 is the end of a piece."""
 
@@ -166,7 +180,9 @@ def _frequent(texts: DataFrame, least: int, bits=None):
     often = texts.mapInArrow(run, ddl).groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     maps = often.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
     out = np.zeros(SLOTS // 8, np.uint8) if bits is None else bits.copy()
-    for r in maps.toArrow().to_pylist():  # 4 KB a row, SLOTS bits in all
+    with _released(texts.sparkSession):
+        found = maps.toArrow()  # 4 KB a row, SLOTS bits in all
+    for r in found.to_pylist():
         own = np.frombuffer(r["bits"], np.uint8)
         out[(r["bucket"] - 1) * len(own) : r["bucket"] * len(own)] |= own
     held.unpersist()
@@ -230,7 +246,8 @@ def collocations(docs: DataFrame, least: int = 10, share: int = 50, top: int = 2
     alone and an empty table give no phrases. Texts and words of any length count whole, repeated rows as often
     as they come; equal scores are ordered by a, then by the phrase's bytes. Other columns are left aside,
     whatever their names."""
-    counts = common.table(phrase_counts(docs, least), "phrases")
+    with _released(docs.sparkSession):
+        counts = common.table(phrase_counts(docs, least), "phrases")
     said = lambda words: F.concat("lang", F.lit("\n"), F.array_join(words, " "))
     candidates = counts.where(F.size("words") >= 2).select(said("words").alias("key"), "lang", "words", F.col("f").alias("a"))
     # what longer candidates hold most of
