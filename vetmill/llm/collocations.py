@@ -29,7 +29,7 @@ from vetmill.llm import common
 #: Bits of the bitmap: 16 MB whatever the data; different hashes that are counted.
 SLOTS, KEYS = 1 << 27, 1 << 40
 #: Words, and different words, that a task holds before it hands on its counts (the second has to fit 20 bits); bytes of a slice.
-FLUSH, VOCAB, SLICE = 1 << 22, (1 << 20) - 2, 1 << 20
+FLUSH, VOCAB, SLICE = 1 << 20, (1 << 20) - 2, 1 << 20
 #: A-Z in lower case; what ends a piece becomes a full stop.
 PLAIN = bytes.maketrans(bytes(range(65, 91)) + b",;:!?\x0a\x0b\x0c\x0d", bytes(range(97, 123)) + b"." * 9)
 #: Languages that are null.
