@@ -51,3 +51,10 @@ def test_json_ids(spark):
     got = values(spark, json_ids.json_or_text(F.col("x")), ['{"a":1}', "raw", "", None])
     assert [(r.json, r.text) for r in got] == [('{"a":1}', None), (None, "raw"), (None, None), (None, None)]
     assert json_ids.walk(json.loads("[" * 900 + "{\"id\":1}" + "]" * 900), json_ids.ID_KEYS, True) == [1]
+
+
+def test_casefold_of_every_character(spark):
+    points = [i for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    rows = ["a" + "".join(map(chr, points[k : k + 500])) + "ZΣς" for k in range(0, len(points), 500)]
+    assert values(spark, text.casefold("x"), rows) == [r.casefold() for r in rows]
+    assert values(spark, text.fold_key("x"), ["ﬁn ŉ ΐ ǰ  İ", "MASSE maße", "𐐀 Ⅷ"]) == ["fin ʼn ΐ ǰ i̇".casefold(), "masse masse", "𐐨 ⅷ"]

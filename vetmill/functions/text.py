@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,9 @@ from pyspark.sql import functions as F
 WHITE = r"[\s\x1c-\x1f\x85\xa0  -     　]+"
 
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -33,9 +38,29 @@ def norm_header(name: str) -> str:
     return " ".join(name.strip().lower().replace("_", " ").split())
 
 
+@cache
+def _folds() -> tuple[str, str, dict[str, str]]:
+    """What case folding makes of single characters: those that become one other, what they become, and those that become
+    several. A table of some 1,500 characters, made by asking Python for each there is."""
+    folds = {c: c.casefold() for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)]) if c.casefold() != c}
+    one = {c: f for c, f in folds.items() if len(f) == 1}
+    return "".join(one), "".join(one.values()), {c: f for c, f in folds.items() if len(f) > 1}
+
+
+def casefold(c: Column | str) -> Column:
+    """A text for comparison without case, as str.casefold gives it for every character. Stays in the JVM: ASCII by lower(),
+    other texts by a table; characters that fold to several, sharp s aside, are looked up one by one."""
+    text, (one, to, several) = col(c), _folds()
+    folded = F.translate(F.replace(text, F.lit("ß"), F.lit("ss")), UPPER + one, UPPER.lower() + to)
+    table = F.create_map(*[F.lit(x) for kv in several.items() for x in kv])
+    rare = "[" + "".join(k for k in several if k != "ß") + "]"
+    spelled = F.array_join(F.transform(F.split(folded, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    return F.when(text.rlike(r"^\p{ASCII}*$"), F.lower(text)).when(folded.rlike(rare), spelled).otherwise(folded)
+
+
 def fold_key(c: Column | str) -> Column:
-    """norm_text for comparison without case: lower case, sharp s as ss, the final sigma as sigma."""
-    return F.translate(F.replace(F.lower(norm_text(c)), F.lit("ß"), F.lit("ss")), "ς", "σ")
+    """norm_text, case-folded."""
+    return casefold(norm_text(c))
 
 
 def token_key(c: Column | str) -> Column:

@@ -453,15 +453,6 @@ def json_id_walk(spark, d):
 _ALERTS = f"(SELECT feed_pos, CASE kind WHEN 0 THEN CASE WHEN a = b THEN [a] ELSE [a, b] END WHEN 1 THEN CASE WHEN a = b THEN [a] ELSE [a, b] END ELSE [] END AS ids FROM {I.sql(I.BLOBS)} b)"
 
 
-@query("default_ids", f"SELECT 'alert' AS kind, id, min(feed_pos) AS feed_pos FROM (SELECT feed_pos, unnest(ids) AS id FROM {_ALERTS} i) x GROUP BY id UNION ALL SELECT 'reminder', b, min(feed_pos) FROM {I.sql(I.BLOBS)} l WHERE kind = 2 GROUP BY b"
-                      f" UNION ALL SELECT 'reminder', b, min(feed_pos) FROM {I.sql(I.BLOBS)} l WHERE kind = 1 AND false GROUP BY b")
-def default_ids(spark, d):
-    raw = I.blobs(spark, d)
-    labels = raw.where("raw NOT LIKE '%reminderId%'")
-    both = payloads.alert_ids(raw).withColumn("kind", F.lit("alert")).unionByName(payloads.reminder_ids(labels).withColumn("kind", F.lit("reminder")))
-    return both.select("kind", "id", F.col("pos.feed_pos").alias("feed_pos"))
-
-
 # ---- sync ------------------------------------------------------------------------------------
 
 
@@ -585,23 +576,23 @@ def inventory_rollup(spark, d):
     return rows.select("frequency", "quantity_unit", "status", "n", "orders", F.col("quantity").cast("string").alias("quantity"), F.col("cost").cast("string").alias("cost"))
 
 
-@query("names_folded", "SELECT doc_id, sha256(lower(text)) AS key FROM (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text FROM documents WHERE lang = 'en' AND text SIMILAR TO '[ -~\\n]*') d")
-def names_folded(spark, d):
-    docs = spark.read.parquet(f"{d}/documents.parquet").where(F.col("lang") == "en").where(F.col("text").rlike(r"^[ -~\n]*$"))
-    return docs.select("doc_id", F.sha2(fold_key("text").cast("binary"), 256).alias("key"))
+_FOLDED = SQL["text_normalized"].replace("AS plain", "AS text")
 
 
-# ---- whole inputs, where the SQL above covers a part -------------------------------------------
+@query("names_folded", f"SELECT doc_id, sha256(replace(lower(text), 'ß', 'ss')) AS key FROM ({_FOLDED}) d")
+@query("names_folded_all", f"SELECT doc_id, sha256(replace(lower(text), 'ß', 'ss')) AS key FROM ({_FOLDED}) d")
+def names_folded(spark, d):
+    """All documents. lower() and sharp s are all of case folding that their letters need; tests hold fold_key against str.casefold."""
+    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.sha2(fold_key("text").cast("binary"), 256).alias("key"))
 
 
-@query("names_folded_all")
-def names_folded_all(spark, d):
-    """All documents; SQL has no case folding, so tests hold fold_key against Python's instead."""
-    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.sha2(fold_key("text").cast("binary"), 256).alias("key"))
+_DEFAULTS = f"""SELECT 'alert' AS kind, id, min(feed_pos) AS feed_pos FROM (SELECT feed_pos, unnest(ids) AS id FROM {_ALERTS} i) x GROUP BY id
+  UNION ALL SELECT 'reminder', b, min(feed_pos) FROM {I.sql(I.BLOBS)} l WHERE kind IN (1, 2) GROUP BY b"""
 
 
-@query("default_ids_all", f"SELECT 'alert' AS kind, id, min(feed_pos) AS feed_pos FROM (SELECT feed_pos, unnest(ids) AS id FROM {_ALERTS} i) x GROUP BY id UNION ALL SELECT 'reminder', b, min(feed_pos) FROM {I.sql(I.BLOBS)} l WHERE kind IN (1, 2) GROUP BY b")
-def default_ids_all(spark, d):
+@query("default_ids", _DEFAULTS)
+@query("default_ids_all", _DEFAULTS)
+def default_ids(spark, d):
     raw = I.blobs(spark, d)
     both = payloads.alert_ids(raw).withColumn("kind", F.lit("alert")).unionByName(payloads.reminder_ids(raw).withColumn("kind", F.lit("reminder")))
     return both.select("kind", "id", F.col("pos.feed_pos").alias("feed_pos"))
