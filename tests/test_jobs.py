@@ -148,6 +148,14 @@ def test_stream_takes_rows_that_land_late(spark, tmp_path):
     assert sorted(r.source_id for r in spark.read.parquet(sink).collect()) == ["1", "2", "3"]
 
 
+def test_stream_keeps_one_record_for_a_key(spark, tmp_path):
+    landed, sink = str(tmp_path / "landed"), str(tmp_path / "sink")
+    for runs in ([("s", "booked"), ("s", "booked")], [("later", "booked")], [("later", "canceled")]):
+        spark.createDataFrame([(7, 10, 5, start, "2024-06-01", None, status, None) for start, status in runs], APP).write.mode("append").parquet(landed)
+        stream.sync_stream(stream.read_landed(spark, landed, APP), normalize.normalize_appointments, "appointments", sink, str(tmp_path / "state")).awaitTermination()
+        assert [r.payload.starts_at for r in spark.read.parquet(sink).collect()] == ["s"]
+
+
 def test_inventory(spark):
     ddl = "name string, details string, frequency string, avg_use string, orders_count string, date_range string, total_cost string, amount string, status string"
     df = spark.createDataFrame([("a", 'x"y', "EOW", "1.25 / week", "30 orders", "2023-01-05 — 2025-06-07", "$1,002.50", "for 88 vial", "s"), ("a", None, "EOW", None, "1 order", "2023-01-05", "$-2.25", "for -4 vial", "s"), ("b", None, "EOW", "?", "many", "?", "?", None, "s")], ddl)

@@ -12,14 +12,15 @@ from vetmill.operators.sync import export_records, with_hashes
 
 
 def write_new(batch: DataFrame, sink: str) -> None:
-    """Append the records whose key the sink does not have: a batch that is run again adds nothing."""
+    """Append the records whose idempotency key the sink does not have: a batch that is run again adds nothing, and a key
+    whose content has changed keeps its first record. Within a batch that is the one with the least content hash."""
     spark = batch.sparkSession
     at = spark._jvm.org.apache.hadoop.fs.Path(sink)
     fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    rows = batch.dropDuplicates(["idempotency_key", "source_hash"])
+    rows = batch.groupBy("idempotency_key").agg(F.min_by(F.struct(*batch.columns), "source_hash").alias("row")).select("row.*")
     if fs.exists(at) and fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{sink}/*.parquet")):
-        done = spark.read.parquet(sink).select("idempotency_key", "source_hash").distinct()
-        rows = rows.join(done, ["idempotency_key", "source_hash"], "left_anti")
+        done = spark.read.parquet(sink).select("idempotency_key")
+        rows = rows.join(done, "idempotency_key", "left_anti").select(*batch.columns)
     rows.write.mode("append").parquet(sink)
 
 
@@ -27,8 +28,8 @@ def sync_stream(stream: DataFrame, normalize: Callable[[DataFrame], DataFrame],
                 watermark_in: str | None = None) -> StreamingQuery:
     """Export what a stream of landed rows brings and stop: normalize, hash, export.
 
-    No state is kept and no row is too late: repeats of an id with the same content, however far
-    apart, are dropped by the sink's keys."""
+    No state is kept and no row is too late: repeats of a key, however far apart, are dropped by the
+    sink's keys. keyed.sync_keyed does the same without reading the sink."""
     rows = with_hashes(normalize(stream), feed)
     out = export_records(rows, feed, watermark_in).withColumn("source_hash", F.col("payload.source_hash"))
     return (out.writeStream.foreachBatch(lambda batch, _: write_new(batch, sink))
