@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from vetmill.llm import pii, secrets
 
@@ -84,6 +85,26 @@ def test_secrets_like_brute_force(spark):
     assert one.spans == "github:2:42,private_key:43:74"
 
 
+def test_tokens_in_three_parts_like_the_plain_rule(spark):
+    rng = random.Random(4)
+    parts = ["eyJ", "eyJ" + "a" * 10, "eyJ" + "b" * 9, ".", ".", ".", "c" * 10, "-", "_x", " ", "é", "😀", "eyJeyJ" + "d" * 7]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randint(3, 14)))) for i in range(1000)]
+    heads = ["eyJ" + "a" * 10, "eyJ" + "b" * 9, "xeyJ" + "c" * 11, "eyJeyJ" + "d" * 7, "c" * 10]
+    rows += [(i, ".".join(rng.choice(heads) for _ in range(rng.randint(3, 9)))) for i in range(1000, 1500)]
+    rows += [(-1, "x" + ".".join(["eyJ" + "a" * 10] * 6)), (-2, "é zzeyJ" + "a" * 10 + ".eyJ" + "b" * 10 + "." + "c" * 10 + " eyJ")]
+    want = {i: ",".join(f"jwt:{m.start()}:{m.end()}" for m in re.finditer(secrets.RULES["jwt"], t)) for i, t in rows}
+    got = secrets.digest(secrets.scan(frame(spark, rows))).collect()
+    assert {r.doc_id: ",".join(x for x in r.spans.split(",") if x.startswith("jwt")) for r in got} == want
+    assert sum(map(bool, want.values())) > 20
+
+
+def test_token_heads_without_end_take_linear_time(spark):
+    start = time.monotonic()
+    rows = [(1, ".eyJ " + "eyJ" * 340_000), (2, ".eyJ " + "eyJ" * 340_000 + "." + "eyJ" * 340_000)]
+    assert {r.spans for r in secrets.digest(secrets.scan(frame(spark, rows))).collect()} == {""}
+    assert time.monotonic() - start < 60  # hours if each head read on to the end
+
+
 def test_trigram_queries():
     q = secrets.trigram_query(secrets.ASSIGN)
     assert len(q) == 1 and frozenset({"tok", "oke", "ken"}) in q[0] and frozenset({"api", "pik", "ike", "key"}) in q[0] and len(q[0]) == 18

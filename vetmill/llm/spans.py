@@ -42,8 +42,9 @@ def running(values: Column, step: Callable[[Column, Column], Column], zero: int
     return let(values, before)
 
 
-def matches(text: Column, pattern: str, kind: int) -> Column:
-    """All leftmost non-overlapping matches of a Java pattern, in order.
+def matches(text: Column, pattern: str, kind: int, led: bool = False) -> Column:
+    """All leftmost non-overlapping matches of a Java pattern, in order; led: without what its group 1 holds, which
+    is their beginning.
 
     The text between matches (split) and the matches (extract) alternate, so their lengths give
     the places without any code outside the JVM. No pattern used here matches an empty text."""
@@ -61,8 +62,20 @@ def matches(text: Column, pattern: str, kind: int) -> Column:
 
         return let(running(lengths, lambda a, v: a + v), place).cast(SPANS)
 
+    def own(found: Column) -> Column:
+        """The spans without their leads."""
+        def shorter(leads: Column) -> Column:
+            def less(x: Column, i: Column) -> Column:
+                n = size(F.get(leads, i))
+                return F.struct(x["kind"].alias("kind"), (x["start"] + n).alias("start"), x["stop"].alias("stop"), F.substring(x["hit"], n.cast("int") + F.lit(1), F.lit(2**31 - 1)).alias("hit"))
+
+            return F.transform(found, less)
+
+        return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), shorter).cast(SPANS)
+
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    return let(hits, lambda h: F.when(F.size(h) == 0, none()).otherwise(let(F.split(text, pattern, -1), lambda g: spans(h, g))))
+    some = lambda h: let(F.split(text, pattern, -1), lambda g: spans(h, g))
+    return let(hits, lambda h: F.when(F.size(h) == 0, none()).otherwise(own(some(h)) if led else some(h)))
 
 
 #: Code points of a block.
