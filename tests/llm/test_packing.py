@@ -41,14 +41,14 @@ def test_completion_beats_best_fit():
     bins = lambda p: sum(b for _, b in p)
     counts = Counter([11, 11, 11, 10, 9, 9, 8, 8, 7, 6, 5, 4])
     assert bins(packing.best_fit(counts, 20)) == 6
-    plan, settled = packing.complete(counts, 20)
+    plan, settled = packing.complete(counts, 20, packing.FILLINGS)
     assert bins(plan) == 5 and settled
     many = {k: 1000 * n for k, n in counts.items()}  # the work follows the lengths, not the rows
-    assert packing.lower_bound(many, 20) <= bins(packing.complete(many, 20)[0]) <= bins(packing.best_fit(many, 20))
+    assert packing.lower_bound(many, 20) <= bins(packing.complete(many, 20, packing.FILLINGS)[0]) <= bins(packing.best_fit(many, 20))
 
 
 def test_many_parts_in_a_bin():
-    plan, settled = packing.complete({2047: 5, 3: 1, 2: 1023}, 2048)
+    plan, settled = packing.complete({2047: 5, 3: 1, 2: 1023}, 2048, packing.FILLINGS)
     assert sum(b for _, b in plan) == 7 and settled
 
 
@@ -98,3 +98,11 @@ def test_documents(spark):
     total = sum(r.length for r in rows)
     assert len({r.sequence_id for r in rows}) <= -(-total // queries.SEQUENCE) + 1
     assert queries.packed(df.limit(0)).count() == 0
+
+
+def test_exact_search_is_reached_through_pack(spark):
+    counts = Counter([11, 11, 11, 10, 9, 9, 8, 8, 7, 6, 5, 4])
+    rows = [(n, i, i % 3) for i, n in enumerate(counts.elements())]
+    pieces = spark.createDataFrame(rows, "length long, id long, bucket int")
+    bins = lambda most: packing.pack(pieces, 20, ["id"], 3, most).select("sequence_id").distinct().count()
+    assert bins(None) == 5 and bins(0) == 6  # without a search best-fit stands

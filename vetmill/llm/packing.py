@@ -112,7 +112,7 @@ def fillings(rest: dict[int, int], space: int, waste: int, after: tuple[int, Fil
             yield w, filling
 
 
-def complete(counts: dict[int, int], capacity: int, most: int | None = FILLINGS) -> tuple[list[tuple[Filling, int]], bool]:
+def complete(counts: dict[int, int], capacity: int, most: int | None) -> tuple[list[tuple[Filling, int]], bool]:
     """Fillings with the number of bins that have them, and whether no packing has fewer bins.
 
     Bins around one length come in the order of `fillings`, so that no set of bins is tried twice. The
@@ -196,9 +196,12 @@ def layout(plan) -> dict[str, list[int]]:
     return dict(zip(("length", "rank", "first", "times", "base"), map(list, zip(*rows, strict=True)), strict=True)) if rows else {}
 
 
-def pack(pieces: DataFrame, capacity: int, order: list[str], buckets: int) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int, order: list[str], buckets: int, most: int | None = FILLINGS) -> DataFrame:
     """Give every row (length in 1..capacity; bucket in 0..buckets-1) a sequence_id and an offset.
 
+    most: fillings that the search may set before it settles for its best packing; None searches until no packing
+    can have fewer sequences, whatever the time.
+
     pieces must be a stored table: it is read for the histogram, for the ranks and for the result.
     Ranks are taken in (length, bucket) groups and moved by the groups before, so that a length
     that a third of the rows share is spread over `buckets` groups. Equal rows get places of their
@@ -209,7 +212,7 @@ def pack(pieces: DataFrame, capacity: int, order: list[str], buckets: int) -> Da
     sizes = pieces.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     sizes = common.table(sizes, "lengths")  # at most capacity * buckets rows
     hist = {r[0]: r[1] for r in sizes.groupBy("length").agg(F.sum("n")).collect()}
-    runs = layout(complete(hist, capacity)[0])
+    runs = layout(complete(hist, capacity, most)[0])
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     own = Window.partitionBy("length", "bucket").orderBy(*order)

@@ -61,10 +61,13 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    """Documents packed into sequences: pieces with their place (see op9_packing)."""
+def packed(docs: DataFrame, most: int | None = packing.FILLINGS) -> DataFrame:
+    """Documents packed into sequences: pieces with their place (see op9_packing); most: as in packing.pack.
+
+    A null or empty text is its end token alone, a long one as many pieces as it needs; each of equal rows has
+    pieces of its own; an empty table gives no rows; columns beside doc_id and text are left aside."""
     pieces = table(bpe.document_pieces(docs, tokenizer(), SEQUENCE, BUCKETS), "pieces")
-    return packing.pack(pieces, SEQUENCE, ["doc_id", "piece", "ids_crc32"], BUCKETS)
+    return packing.pack(pieces, SEQUENCE, ["doc_id", "piece", "ids_crc32"], BUCKETS, most)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
