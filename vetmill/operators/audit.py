@@ -71,17 +71,21 @@ def filter_reminders(reminders: DataFrame, patient_id: int | None = None, status
     return out.where(due <= due_before) if due_before else out
 
 
-def filter_reminders_bulk(reminders: DataFrame, queries: DataFrame) -> DataFrame:
-    """Many queries (query_id, patient_id, status, due_after, due_before; nulls ask for all) at once:
-    an equality join on the patient, the rest as its condition."""
-    rows = reminders.withColumn("_pid", reminder_patient_id(reminders.columns)).where("_pid is not null")
-    q = queries.select("query_id", F.col("patient_id").alias("_want"), F.col("status").alias("_status"), F.col("due_after").alias("_after"), F.col("due_before").alias("_before"))
+def asked() -> Column:
+    """Whether a reminder has the status and due time that a query (_status, _after, _before) asks for."""
     ok = (F.when(F.coalesce("_status", F.lit("")) == "", True).when(F.col("_status") == "active", F.col("deactivatedAt").isNull())
           .when(F.col("_status") == "inactive", F.col("deactivatedAt").isNotNull()).when(F.col("_status") == "sent", F.col("sentAt").isNotNull())
           .when(F.col("_status") == "unsent", F.col("sentAt").isNull()).otherwise(False))
     within = (F.coalesce(F.col("_after"), F.lit("")) == "") | F.coalesce(F.col("dueAt") >= F.col("_after"), F.lit(False))
-    within = within & ((F.coalesce(F.col("_before"), F.lit("")) == "") | F.coalesce(F.col("dueAt") <= F.col("_before"), F.lit(False)))
-    return rows.join(q, (F.col("_pid") == F.col("_want")) & ok & within).select("query_id", *reminders.columns)
+    return ok & within & ((F.coalesce(F.col("_before"), F.lit("")) == "") | F.coalesce(F.col("dueAt") <= F.col("_before"), F.lit(False)))
+
+
+def filter_reminders_bulk(reminders: DataFrame, queries: DataFrame) -> DataFrame:
+    """Many queries (query_id, patient_id, status, due_after, due_before; nulls ask for all) at once:
+    an equality join on the patient, the rest as its condition. intervals.filter_reminders_binned splits hot patients."""
+    rows = reminders.withColumn("_pid", reminder_patient_id(reminders.columns)).where("_pid is not null")
+    q = queries.select("query_id", F.col("patient_id").alias("_want"), F.col("status").alias("_status"), F.col("due_after").alias("_after"), F.col("due_before").alias("_before"))
+    return rows.join(q, (F.col("_pid") == F.col("_want")) & asked()).select("query_id", *reminders.columns)
 
 
 def locate_columns(names: list[str], aliases: dict[str, tuple[str, ...]] = ALIASES) -> dict[str, str]:

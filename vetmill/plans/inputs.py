@@ -64,6 +64,16 @@ SOURCES = ("orders", {
 QUERIES = ("orders", {
     "query_id": "o_orderkey", "patient_id": "o_orderkey", "status": "CASE o_orderkey % 6 WHEN 0 THEN 'active' WHEN 1 THEN 'inactive' WHEN 2 THEN 'sent' WHEN 3 THEN 'unsent' WHEN 4 THEN 'other' END",
     "due_after": "CASE WHEN o_orderkey % 2 = 0 THEN '1996-01-01' END", "due_before": "CASE WHEN o_orderkey % 5 = 0 THEN '1999-06-30' END"})
+#: Owners whose names have fewer or more words than the accounts'.
+PARTIAL = ("orders", {**SOURCES[1], "client_name": "CASE o_orderkey % 8 WHEN 0 THEN ' ' WHEN 1 THEN 'Family' || (o_custkey % 211) || ', BUILDING' WHEN 2 THEN 'building  FAMILY' || (o_custkey % 211) "
+    "WHEN 3 THEN 'Family' || (o_custkey % 211) WHEN 4 THEN 'Building B. Family' || (o_custkey % 211) WHEN 5 THEN 'Family' || (o_custkey % 211) || ' van Der' "
+    "WHEN 6 THEN 'furniture  van   der family' || (o_custkey % 211) ELSE 'Nobody Else' || o_custkey END"})
+#: Reminders of seven patients only, and queries of a few days each for them.
+CROWDED = ("lineitem", {**REMINDERS[1], "pid": "CASE WHEN l_linenumber < 7 THEN '' || (l_orderkey % 7) END"})
+SHORT = ("part", {
+    "query_id": "p_partkey", "patient_id": "p_partkey % 8", "status": "CASE p_partkey % 5 WHEN 0 THEN 'active' WHEN 1 THEN 'unsent' END",
+    "due_after": "CASE WHEN p_partkey % 997 = 0 THEN NULL ELSE '199' || (2 + p_partkey % 7) || '-0' || (1 + p_partkey % 9) || '-11' END",
+    "due_before": "CASE WHEN p_partkey % 997 = 0 THEN NULL ELSE '199' || (2 + p_partkey % 7) || '-0' || (1 + p_partkey % 9) || '-14' END"})
 STOCK = ("part", {
     "name": "p_name", "details": "p_type", "frequency": "CASE WHEN p_size % 2 = 0 THEN 'Monthly' ELSE 'EOW' END", "avg_use": "'0.5' || (p_size % 10) || ' / month'",
     "orders_count": "CASE WHEN p_size = 1 THEN '1 order' ELSE p_size || ' orders' END",
@@ -108,8 +118,8 @@ def patients(spark: SparkSession, sf_dir: str, source=PATIENTS) -> DataFrame:
     return r.select("id", "name", F.col("account").alias("accountId"), F.col("code").alias("pimsCode"), F.struct(contact.alias("primaryContact")).alias("account"))
 
 
-def reminders(spark: SparkSession, sf_dir: str, scoped: bool = True) -> DataFrame:
-    r = rows(spark, sf_dir, REMINDERS)
+def reminders(spark: SparkSession, sf_dir: str, scoped: bool = True, source=REMINDERS) -> DataFrame:
+    r = rows(spark, sf_dir, source)
     pid = F.col("pid") if scoped else F.lit(None).cast("string")
     at = lambda k: F.when(F.col("line") % 3 == k, pid)
     return r.select(at(0).alias("patientId"), at(1).alias("patient_id"), F.struct(at(2).alias("id")).alias("patient"),

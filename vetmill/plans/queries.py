@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from vetmill.functions.json_ids import ID_KEYS, json_ids, json_or_text
 from vetmill.functions.text import fold_key, norm_text
-from vetmill.operators import audit, importing, inventory, normalize, payloads, reminders, resolve, sync
+from vetmill.operators import audit, importing, intervals, inventory, names, normalize, payloads, reminders, resolve, sync
 from vetmill.plans import inputs as I
-from vetmill.sources import cursors, feeds
+from vetmill.sources import cursors, feeds, partitioned
 from vetmill.sources.shared import folder
 from vetmill.streaming import commits, keyed
 from vetmill.streaming import sync as stream
@@ -114,6 +114,22 @@ def appointment_changes_unknown(spark, d):
     return normalize.apply_appointment_changes(I.appointments(spark, d), changes)[1].select("id")
 
 
+@query("appointments_merged", f"""SELECT id, CASE WHEN (id - 1) % 35 = 0 THEN '2031-01-01' ELSE day END AS "startsAt", CASE WHEN (id - 1) % 5 = 0 THEN 'canceled' ELSE status END AS status,
+  CASE WHEN (id - 1) % 5 = 0 THEN '2024-06-02' ELSE canceled END AS "canceledAt", confirmed AS "isConfirmed" FROM {I.sql(I.APPOINTMENTS)} a
+  UNION ALL SELECT event_id + 1000000000, '2031-01-01', 'canceled', '2024-06-02', NULL FROM events WHERE event_id % 70 = 0""")
+def appointments_merged(spark, d):
+    """Appointments by day, one fifth of them changed, some moved to another day, some new; the merge is asked for twice."""
+    path, rows = folder(spark, "appointments"), I.appointments(spark, d).select("id", "startsAt", "status", "canceledAt", "isConfirmed")
+    partitioned.write(rows, path, "startsAt")
+    e = spark.read.parquet(f"{d}/events.parquet").where("event_id % 5 = 0")
+    moved = F.expr("CASE WHEN event_id % 35 = 0 THEN '2031-01-01' END").alias("startsAt")
+    change = lambda e, at: e.selectExpr("event_id + 1 AS id", "event_id", "'canceled' AS status").select("id", "status", moved, F.lit(f"2024-06-0{at}").alias("canceledAt"), F.lit(at).alias("changed_at"))
+    new = change(e.where("event_id % 70 = 0"), 2).withColumn("id", F.col("id") - 1 + 1000000000)
+    for _ in range(2):
+        partitioned.merge(change(e, 1).unionByName(change(e, 2)).unionByName(new), path, rows.schema, "id", "startsAt", "fifth", insert=True)
+    return partitioned.read(spark, path, rows.schema).select(*rows.columns)
+
+
 @query("appointment_time_filter", f"SELECT id, day FROM {I.sql(I.APPOINTMENTS)} a WHERE day >= '2024-01-05' AND day < '2024-01-20'")
 def appointment_time_filter(spark, d):
     return feeds.filter_time_range(I.appointments(spark, d), "startsAt", "2024-01-05", "2024-01-20").select("id", F.col("startsAt").alias("day"))
@@ -335,6 +351,20 @@ def resolve_account_by_owner(spark, d):
     return resolve.accounts_by_owner(I.rows(spark, d, I.SOURCES), _accounts(spark, d)).select("src_id", "account_id", "exact", "phone_eq")
 
 
+def _set(name: str) -> str:
+    return f"list_sort(list_distinct(list_filter(string_split(replace(replace(lower({_N.format(name)}), ',', ' '), '.', ' '), ' '), lambda w: w <> '')))"
+
+
+@query("owners_by_part", f"""WITH s AS (SELECT src_id, lower({_N.format('client_name')}) AS name, {_set('client_name')} AS ws, regexp_replace(phone_no, '[^0-9]', '', 'g') AS phone FROM {I.sql(I.PARTIAL)} s WHERE trim(client_name) <> ''),
+  h AS (SELECT lower(display_name) AS other, {_set('display_name')} AS os, primary_phone, account_id FROM {ACC} a),
+  p AS (SELECT ws, os FROM (SELECT DISTINCT ws FROM s) s, (SELECT DISTINCT os FROM h) h WHERE ws = os OR (least(len(ws), len(os)) >= 2 AND (list_has_all(ws, os) OR list_has_all(os, ws)))),
+  c AS (SELECT src_id, account_id, phone <> '' AND phone = primary_phone AS own, CASE WHEN name = other THEN 0 WHEN s.ws = h.os THEN 1 ELSE 2 END AS level FROM s JOIN p ON s.ws = p.ws JOIN h ON p.os = h.os),
+  b AS (SELECT * FROM c QUALIFY rank() OVER (PARTITION BY src_id ORDER BY level, own DESC) = 1)
+  SELECT src_id, ['exact', 'words', 'part'][any_value(level) + 1] AS level, count(*) AS n, CASE WHEN count(*) = 1 THEN min(account_id) END AS account_id FROM b GROUP BY src_id""")
+def owners_by_part(spark, d):
+    return names.owners_by_part(I.rows(spark, d, I.PARTIAL), _accounts(spark, d))
+
+
 def _resolved(spark, d, mode):
     found = resolve.resolve_accounts(I.rows(spark, d, I.SOURCES), _accounts(spark, d), mode)
     return resolve.resolve_patients(found, I.patients(spark, d))
@@ -404,6 +434,13 @@ def reminder_filter_bulk(spark, d):
     return rows.select("query_id", F.col("dueAt").alias("due"), F.col("deactivatedAt").alias("off"), F.col("sentAt").alias("sent"))
 
 
+@query("reminder_filter_binned", SQL["reminder_filter_bulk"].replace(I.sql(I.REMINDERS), I.sql(I.CROWDED)).replace(I.sql(I.QUERIES), I.sql(I.SHORT)))
+def reminder_filter_binned(spark, d):
+    """Seven patients have all reminders: bins of 500 rows."""
+    rows = intervals.filter_reminders_binned(I.reminders(spark, d, source=I.CROWDED), I.rows(spark, d, I.SHORT), chunk=500)
+    return rows.select("query_id", F.col("dueAt").alias("due"), F.col("deactivatedAt").alias("off"), F.col("sentAt").alias("sent"))
+
+
 class _Blank(str):
     def format(self, name: str) -> str:
         return f"count(*) FILTER (WHERE {_STRIP.format(f'coalesce("{name}", {chr(39) * 2})')} = '')"
