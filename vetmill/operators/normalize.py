@@ -73,3 +73,15 @@ def apply_appointment_changes(appointments: DataFrame, changes: DataFrame) -> tu
     both = appointments.join(latest, "id", "left")
     new: dict[str, Column] = {c: F.coalesce(F.col("_new")[c], F.col(c)).alias(c) for c in fields}
     return both.select(*[new.get(c, F.col(c)) for c in appointments.columns]), changes.join(appointments.select("id").distinct(), "id", "left_anti")
+
+
+def with_owner(patients: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Patients whose owner's contact is landed apart get it from the accounts' feed, by accountId; contacts that are
+    embedded stay. Of an account's versions the newest by updatedAt counts; an unknown account leaves null."""
+    newest = F.struct(F.coalesce("updatedAt", F.lit("")), F.to_json("primaryContact"))
+    owners = accounts.where("id <> ''").groupBy(F.col("id").alias("accountId")).agg(F.max_by("primaryContact", newest).alias("_contact"))
+    if "account" not in patients.columns:
+        return patients.join(owners, "accountId", "left").withColumn("account", F.struct(F.col("_contact").alias("primaryContact"))).drop("_contact")
+    apart = patients.where("account.primaryContact is null").drop("account").join(owners, "accountId", "left")
+    apart = apart.withColumn("account", F.struct(F.col("_contact").alias("primaryContact"))).drop("_contact")
+    return patients.where("account.primaryContact is not null").unionByName(apart.select(*patients.columns))

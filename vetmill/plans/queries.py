@@ -14,8 +14,8 @@ from vetmill.functions.json_ids import ID_KEYS, json_ids, json_or_text
 from vetmill.functions.text import fold_key, norm_text
 from vetmill.operators import audit, importing, intervals, inventory, names, normalize, payloads, reminders, resolve, sync
 from vetmill.plans import inputs as I
-from vetmill.sources import cursors, feeds, partitioned
-from vetmill.sources.shared import folder
+from vetmill.sources import cursors, feeds, partitioned, workbooks
+from vetmill.sources.shared import folder, kept
 from vetmill.streaming import commits, keyed
 from vetmill.streaming import sync as stream
 
@@ -158,6 +158,19 @@ def accounts_looked_up(spark, d):
     return feeds.lookup(I.accounts(spark, d), keys).select("id")
 
 
+@query("records_looked_up", f"""WITH k AS (SELECT '' || o_custkey AS c, 'P' || o_custkey AS o, 'building FAMILY' || (o_custkey % 211) AS n, 'acct-' || o_custkey AS a FROM orders WHERE o_orderstatus = 'P')
+  SELECT 'pimsCode' AS kind, id FROM {I.sql(I.ACCOUNTS)} x WHERE code IN (SELECT c FROM k) UNION ALL SELECT 'pimsId', id FROM {I.sql(I.ACCOUNTS)} x WHERE other IN (SELECT o FROM k)
+  UNION ALL SELECT 'name', account_id FROM {ACC} x WHERE lower(display_name) IN (SELECT lower(n) FROM k)
+  UNION ALL SELECT 'patient pimsCode', id FROM {I.sql(I.PATIENTS)} x WHERE code IN (SELECT 'PT' || c FROM k) UNION ALL SELECT 'accountId', id FROM {I.sql(I.PATIENTS)} x WHERE account IN (SELECT a FROM k)""")
+def records_looked_up(spark, d):
+    """Accounts by code, further code and name, patients by code and account."""
+    keys = spark.read.parquet(f"{d}/orders.parquet").where("o_orderstatus = 'P'").selectExpr(
+        """explode(map('pimsCode', '' || o_custkey, 'pimsId', ' P' || o_custkey, 'name', 'building  FAMILY' || (o_custkey % 211), 'patient pimsCode', 'PT' || o_custkey, 'accountId', 'acct-' || o_custkey)) AS (kind, value)""")
+    accounts = _accounts(spark, d).withColumnRenamed("account_id", "id")
+    found = feeds.lookup_by(accounts, keys, {"pimsCode": "pims_code", "pimsId": "pims_id", "name": "display_name"}, folded=("name",)).select("kind", "id")
+    return found.unionByName(feeds.lookup_by(I.patients(spark, d), keys, {"patient pimsCode": "pimsCode", "accountId": "accountId"}).select("kind", "id"))
+
+
 @query("pages_flattened", "SELECT conv_id AS page_no, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS INTEGER) AS pos, turn, role FROM conversations")
 def pages_flattened(spark, d):
     turns = spark.read.parquet(f"{d}/conversations.parquet").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("list"))
@@ -411,6 +424,17 @@ def reminder_count_unknown(spark, d):
     return audit.patient_audit(I.patients(spark, d), I.reminders(spark, d, scoped=False))
 
 
+@query("patient_audit_owner_apart", f"""SELECT CASE WHEN CAST(p.id AS BIGINT) % 3 = 0 THEN {_OWNER_NAME} ELSE who END AS client_name, name AS patient_name, CASE WHEN CAST(p.id AS BIGINT) % 3 = 0 THEN p.phone ELSE o.phone END AS phone_no,
+  coalesce(n, 0) AS reminder_count, p.id AS patient_id, account AS account_id, code AS pims_code FROM {I.sql(I.PATIENTS)} p LEFT JOIN (SELECT pid, count(*) AS n FROM {REM} r WHERE pid IS NOT NULL GROUP BY pid) r ON p.id = r.pid
+  LEFT JOIN (SELECT id AS owner, phone, concat_ws(' ', trim(first), trim(middle), trim(last)) AS who FROM {I.sql(I.ACCOUNTS)} a WHERE feed_pos % 10 > 0) o ON p.account = o.owner""")
+def patient_audit_owner_apart(spark, d):
+    """Two thirds of the patients are landed without their owner; accounts come in two versions, some not at all."""
+    p, a = I.patients(spark, d), I.accounts(spark, d).where("feed_pos % 10 > 0")
+    p = p.withColumn("account", F.when(F.col("id").cast("bigint") % 3 == 0, F.col("account")))
+    old = a.withColumns({"updatedAt": F.lit("2001-01-01"), "primaryContact": F.col("primaryContact").withField("nameLast", F.lit("Before"))})
+    return audit.patient_audit(normalize.with_owner(p, old.unionByName(a)), I.reminders(spark, d))
+
+
 def _filtered(name, status, test, after, before):
     where = f"{test}" + (f" AND due >= '{after}'" if after else "") + (f" AND due <= '{before}'" if before else "")
 
@@ -647,6 +671,18 @@ def sheet_read(spark, d):
     return feeds.read_sheet(spark, path, fmt="csv")
 
 
+_CELLS = "client, client_name, phone_no, patient_name, species, breed, code, item_due"
+
+
+@query("workbook_read", f"""WITH s AS (SELECT *, file || '-' || (row_number // 5000) AS f FROM {I.sql(I.SHEET)} s),
+  g AS (SELECT f, sheet, coalesce(lag(row_number) OVER (PARTITION BY f, sheet ORDER BY row_number), 1) + 1 AS n, row_number FROM s)
+  SELECT f AS file, sheet, row_number, {_CELLS}, CASE WHEN row_number % 4 <> 1 THEN due_date END AS due_date, CASE WHEN row_number % 4 = 1 THEN DATE '2024-01-01' + (row_number % 300)::INT END AS due_date_typed FROM s
+  UNION ALL SELECT f, sheet, n, {", ".join(["NULL"] * 10)} FROM g WHERE n < row_number""")
+def workbook_read(spark, d):
+    """The sheet as xlsx workbooks; a row that stands for those left out comes before each gap's end."""
+    return workbooks.sheet_rows(kept(I.workbooks(spark, d), "workbooks"))
+
+
 @query("csv_audit_from_file", SQL["csv_audit"])
 def csv_audit_from_file(spark, d):
     """The list as a CSV file that begins with a byte-order mark."""

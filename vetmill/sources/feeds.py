@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vetmill.functions.text import fold_key, norm_text
+
 FEEDS = ("accounts", "appointments", "patients", "reminders")
 
 DETAIL = "struct<type:string,kind:string,value:string,number:string,phoneNumber:string,email:string>"
@@ -67,6 +69,17 @@ def lookup(feed: DataFrame, keys: DataFrame, id_col: str = "id") -> DataFrame:
     return feed.join(keys.select(id_col).distinct(), id_col, "left_semi")
 
 
+def lookup_by(feed: DataFrame, asked: DataFrame, fields: dict[str, str], folded: tuple[str, ...] = ()) -> DataFrame:
+    """kind, value and the feed's rows that are asked for by keys of several kinds (pimsCode, pimsId, accountId, name) at once.
+
+    asked: kind, value; fields: each kind's column or SQL expression over the feed; kinds in `folded` are compared
+    without case. A row comes once for each of its keys that is asked for; blank keys meet nothing."""
+    ask = asked.select("kind", F.when(F.col("kind").isin(*folded), fold_key("value")).otherwise(norm_text("value")).alias("value")).where("value <> ''").distinct()
+    own = [F.struct(F.lit(k).alias("kind"), (fold_key if k in folded else norm_text)(F.expr(e)).alias("value")) for k, e in fields.items()]
+    rows = feed.select(F.explode(F.array(*own)).alias("_key"), F.struct("*").alias("_row")).where("_key.value <> ''")
+    return rows.select("_key.*", "_row").join(ask, ["kind", "value"], "left_semi").select("kind", "value", "_row.*")
+
+
 def page_after(df: DataFrame, key: str, cursor=None, limit: int = 100) -> DataFrame:
     """The next 1 to 100 rows after a key, in its order."""
     rows = df if cursor is None else df.where(F.col(key) > F.lit(cursor))
