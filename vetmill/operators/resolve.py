@@ -18,11 +18,10 @@ def accounts_by_code(src: DataFrame, accounts: DataFrame) -> DataFrame:
     """src_id, account_id, priority, feed_pos: accounts whose pims_code (0) or pims_id (1) is the
     client code, each account once by its first hit; accounts without id are left out."""
     codes = src.where("client <> ''").select("src_id", "client")
-    known = accounts.where("account_id <> ''")
-    hits = [codes.join(known.where(f"{field} <> ''").select(F.col(field).alias("client"), "account_id", "feed_pos"), "client")
-            .select("src_id", "account_id", F.lit(i).alias("priority"), "feed_pos") for i, field in enumerate(("pims_code", "pims_id"))]
-    first = Window.partitionBy("src_id", "account_id").orderBy("priority", "feed_pos")
-    return hits[0].unionByName(hits[1]).withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    at = F.explode(F.array(*[F.struct(F.col(field).alias("client"), F.lit(i).alias("priority")) for i, field in enumerate(("pims_code", "pims_id"))]))
+    known = accounts.where("account_id <> ''").select(at.alias("at"), "account_id", "feed_pos").select("at.*", "account_id", "feed_pos").where("client <> ''")
+    hits = codes.join(known, "client").groupBy("src_id", "account_id").agg(F.min(F.struct("priority", "feed_pos")).alias("hit"))
+    return hits.select("src_id", "account_id", "hit.*")
 
 
 def owner_candidates(src: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -30,7 +29,7 @@ def owner_candidates(src: DataFrame, accounts: DataFrame) -> DataFrame:
     wanted = src.where("client_name <> ''").select(
         "src_id", token_key("client_name").alias("key"), fold_key("client_name").alias("name"), phone_digits("phone_no").alias("phone"))
     have = accounts.where("display_name <> ''").select(
-        token_key("display_name").alias("key"), fold_key("display_name").alias("own"), F.col("primary_phone").alias("own_phone"), "account_id", "feed_pos")
+        token_key("display_name").alias("key"), fold_key("display_name").alias("own"), F.coalesce("primary_phone", F.lit("")).alias("own_phone"), "account_id", "feed_pos")
     exact = F.col("name") == F.col("own")
     phone = (F.col("phone") != "") & (F.col("phone") == F.col("own_phone"))
     loose = exact & ((F.col("phone") == "") | (F.col("own_phone") == "") | phone)
@@ -49,22 +48,28 @@ def _owners(src: DataFrame, accounts: DataFrame) -> DataFrame:
     accounts_by_owner would leave, and first, the least feed_pos and id of those that are preferred when
     one must be taken.
 
-    The accounts of a name are counted before the join, by name and phone as far as each step of the
-    narrowing asks for them, so that a common name costs one row a source in each join."""
+    The accounts of a name are counted before the join, in one pass for all steps of the narrowing (grouping sets over name and
+    phone), and a source asks for its steps in one join: a common name costs at most five rows a source."""
     wanted = src.where("client_name <> ''").select(
         "src_id", token_key("client_name").alias("key"), fold_key("client_name").alias("name"), phone_digits("phone_no").alias("phone"))
     have = accounts.where("display_name <> ''").select(
         token_key("display_name").alias("key"), fold_key("display_name").alias("name"), F.coalesce("primary_phone", F.lit("")).alias("phone"),
         "account_id", F.struct("feed_pos", "account_id").alias("at"))
-    out = wanted
-    for i, by in enumerate((["key", "name", "phone"], ["key", "name"], ["key", "phone"], ["key"])):
-        one = have if "phone" not in by else have.where("phone <> ''")
-        out = out.join(one.groupBy(*by).agg(F.struct(F.count("*").alias("n"), F.min("account_id").alias("id"), F.min("at").alias("first")).alias(f"_{i}")), by, "left")
-    plain = have.where("phone = ''").groupBy("key", "name").agg(F.min("at").alias("_plain"))
-    out = out.join(plain, ["key", "name"], "left")
+    counted = have.groupingSets([["key", "name", "phone"], ["key", "name"], ["key", "phone"], ["key"]], "key", "name", "phone").agg(
+        F.grouping_id().cast("int").alias("level"), F.struct(F.count("*").alias("n"), F.min("account_id").alias("id"), F.min("at").alias("first")).alias("found"))
+    counted = counted.select("level", "key", F.coalesce("name", F.lit("")).alias("name"), F.coalesce("phone", F.lit("")).alias("phone"), "found")
+    none = F.lit("")
+    # step, level of the grouping sets (a bit for each column that is left out), and what is asked there; the last: accounts without a phone
+    steps = [(0, 0, "name", "phone"), (1, 1, "name", none), (2, 2, none, "phone"), (3, 3, none, none), (4, 0, "name", none)]
+    ask = F.array(*[F.struct(F.lit(i).alias("step"), F.lit(level).alias("level"), (F.col(n) if n is not none else n).alias("name"),
+                             (F.col(p) if p is not none else p).alias("phone")) for i, level, n, p in steps])
+    asked = wanted.select("src_id", "key", (F.col("phone") == "").alias("plain"), F.explode(ask).alias("ask")).select("src_id", "key", "plain", "ask.*")
+    asked = asked.where("not plain or step not in (0, 2)")
+    found = asked.join(counted, ["level", "key", "name", "phone"]).groupBy("src_id").agg(
+        F.first("plain").alias("plain"), *[F.max(F.when(F.col("step") == i, F.col("found"))).alias(f"_{i}") for i in range(len(steps))])
     best = F.coalesce("_0", "_1", "_2", "_3")
-    agrees = F.when(F.col("phone") == "", F.col("_1")["first"]).otherwise(F.least(F.col("_0")["first"], F.col("_plain")))
-    return out.where(F.col("_3").isNotNull()).select("src_id", best["n"].alias("n"), best["id"].alias("id"), F.coalesce(agrees, F.col("_3")["first"]).alias("first"))
+    agrees = F.when(F.col("plain"), F.col("_1")["first"]).otherwise(F.least(F.col("_0")["first"], F.col("_4")["first"]))
+    return found.select("src_id", best["n"].alias("n"), best["id"].alias("id"), F.coalesce(agrees, F.col("_3")["first"]).alias("first"))
 
 
 def resolve_accounts(src: DataFrame, accounts: DataFrame, mode: str = "strict", candidates: DataFrame | None = None) -> DataFrame:
@@ -74,6 +79,8 @@ def resolve_accounts(src: DataFrame, accounts: DataFrame, mode: str = "strict",
     else the first candidate."""
     code = kept(accounts_by_code(src, accounts), "by_code")
     rest = src.join(code.select("src_id").distinct(), "src_id", "left_anti")
+    if candidates is not None:  # those of sources that a code has found are not asked for
+        candidates = candidates.join(rest.select("src_id"), "src_id", "left_semi")
     if mode == "strict":
         count = [F.count("*").alias("n"), F.min("account_id").alias("account_id")]
         if candidates is None:
@@ -102,11 +109,11 @@ def resolve_accounts(src: DataFrame, accounts: DataFrame, mode: str = "strict",
 def resolve_patients(resolved: DataFrame, patients: DataFrame) -> DataFrame:
     """Resolved sources with patient_id and patient_status, by account and patient name together.
 
-    The join is on both keys: an account with thousands of patients is no hot key of its own."""
-    names = patients.select(F.col("accountId").alias("account_id"), fold_key("name").alias("_key"), F.col("id").cast("string").alias("_patient"))
-    wanted = resolved.where("account_id is not null").select("src_id", "account_id", fold_key("patient_name").alias("_key"))
-    found = wanted.join(names, ["account_id", "_key"]).groupBy("src_id").agg(F.count("*").alias("_n"), F.min("_patient").alias("_patient"))
-    out = resolved.join(found, "src_id", "left")
+    Patients are counted by both keys before the one join: an account with thousands of patients is no hot key of its
+    own, and the plan of the resolved sources stands once."""
+    named = patients.groupBy(F.col("accountId").alias("account_id"), fold_key("name").alias("_key")).agg(
+        F.count("*").alias("_n"), F.min(F.col("id").cast("string")).alias("_patient"))
+    out = resolved.withColumn("_key", fold_key("patient_name")).join(named, ["account_id", "_key"], "left").select(*resolved.columns, "_n", "_patient")
     status = (F.when(F.col("account_id").isNull(), F.concat(F.lit("account_"), F.col("account_status"))).when(F.col("_n").isNull(), "not_found")
               .when(F.col("_n") > 1, "ambiguous").when(F.col("_patient").isNull(), "missing_id").otherwise("resolved"))
     return out.withColumn("patient_status", status).withColumn("patient_id", F.when(status == "resolved", F.col("_patient"))).drop("_n", "_patient")
