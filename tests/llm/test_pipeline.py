@@ -1,7 +1,65 @@
+import random
+
+import public_tokenizers
+from tokenizers import Tokenizer
+
 import corpus_pipeline
+from tests.llm.test_minhash import brute
 from vetmill.llm import minhash
 from vetmill.llm.common import components
 
+DOCUMENT, LABEL = "doc_id long, text string, lang string, source string, n_chars long, row string", "doc_id long, quality int, toxic int"
+
+
+def written(spark, path, texts, toxic):
+    rows = [(i, t, "en", "s", len(t or ""), "extra") for i, t in texts]
+    spark.createDataFrame(rows, DOCUMENT).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(i, 1, t) for i, t in toxic], LABEL).write.parquet(f"{path}/labels.parquet")
+    return str(path)
+
+
+def test_run_like_brute_force(spark, tmp_path):
+    """Whole texts through all stages: planted toxic documents, copies, near copies, personal data, a null, an empty and a
+    very long text, held against a plain version that knows what was planted."""
+    rng = random.Random(8)
+    vocab = [f"{a}{b}" for a in ("ba", "do", "ki", "lu", "me", "no", "ra", "si") for b in ("l", "nd", "rt", "sk", "ve", "m")]
+    said = lambda n: " ".join(rng.choice(vocab) for _ in range(n))
+    texts, toxic = {i: said(rng.randint(20, 60)) for i in range(240)}, {}
+    for i in range(0, 240, 4):
+        texts[i], toxic[i] = f"{texts[i]}. You are a zorkan grumbel, you zorkan. {said(12)}", 1
+    for i in range(1, 240, 12):  # near copies: a word more at the end
+        texts[400 + i] = f"{texts[i]} {rng.choice(vocab)}"
+    for i in range(2, 240, 12):
+        texts[400 + i] = texts[i]
+    for i in range(3, 240, 12):
+        texts[400 + i] = f"{said(25)} ann{i}@mail.example.org {said(5)}"
+    texts |= {700: None, 701: "", 702: said(40_000)}
+    sf = written(spark, tmp_path, sorted(texts.items()), [(i, toxic.get(i, 0)) for i in texts if i < 240])
+
+    left = [(i, t) for i, t in sorted(texts.items()) if i not in toxic]
+    kept = {i for i, _, _, first in brute(left) if first}
+    mail = lambda t: " ".join("[EMAIL]" if "@" in w else w for w in (t or "").split(" "))
+    encode = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode
+    want = {}
+    for i, t in left:
+        if i in kept:
+            n = len(encode(mail(t), add_special_tokens=False).ids) + 1
+            want |= {(i, k): min(2048, n - 2048 * k) for k in range(-(-n // 2048))}
+    got = corpus_pipeline.run(spark, sf).collect()
+    found = {(r.doc_id, r.piece): r.length for r in got}
+    assert (sorted(found.items() - want.items()), sorted(want.items() - found.items())) == ([], []) and len(got) == len(want)
+    places = {}
+    for r in got:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in places.values():
+        parts.sort()
+        assert all(at == sum(n for _, n in parts[:k]) for k, (at, _) in enumerate(parts)) and sum(n for _, n in parts) <= 2048
+    assert len(places) == -(-sum(want.values()) // 2048)
+
+
+def test_run_over_empty_tables(spark, tmp_path):
+    assert corpus_pipeline.run(spark, written(spark, tmp_path, [], [])).collect() == []
+
 
 def test_stages(spark, tmp_path):
     sf = "/root/testdata/sf0.001"

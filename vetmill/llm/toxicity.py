@@ -157,7 +157,8 @@ class Grammar:
         if not self.model.logistic:
             return 0.0, len(self.clauses(text)[0])
         x, w = self.features(text), self.model.logistic
-        z = w["weights"][0] + sum(c * (v - m) / d for c, v, m, d in zip(w["weights"][1:], x, w["mean"], w["scale"], strict=True))
+        z = w["weights"][0] + sum(c * (min(max(v, low), high) - m) / d for c, v, m, d, low, high in zip(
+            w["weights"][1:], x, w["mean"], w["scale"], w["low"], w["high"], strict=True))  # within what was learned from: length alone decides nothing beyond
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), round(math.expm1(x[4]))
 
 
@@ -251,7 +252,7 @@ def fit(sample: DataFrame, model: Model) -> dict[str, list[float]] | None:
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
         w -= np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + np.eye(len(w)), a.T @ (p - y) + w)
-    return {"mean": mean.tolist(), "scale": scale.tolist(), "weights": w.tolist()}
+    return {"mean": mean.tolist(), "scale": scale.tolist(), "weights": w.tolist(), "low": x.min(0).tolist(), "high": x.max(0).tolist()}
 
 
 def train(docs: DataFrame, labels: DataFrame, held_out: Column) -> Model:
