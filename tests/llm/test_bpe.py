@@ -89,3 +89,25 @@ def test_rows(spark, both):
     assert bpe.encode_digests(spark.createDataFrame([], DOCS), tokenizer()).count() == 0
     out = {r.doc_id: r for r in bpe.encode_documents(spark.createDataFrame(rows[:2], DOCS), tokenizer()).collect()}
     assert out[1].decoded == "hello</w> world</w>" and out[None].ids == b""
+
+
+def test_words_side_by_side_are_encoded_as_alone():
+    """Words of all lengths, more than go through the automaton at a time, through encode_all and a full memo."""
+    import random
+
+    rng = random.Random(5)
+    words = ["".join(rng.choice(["the", "an", "on", "q", "é", "ß", "中", "x" * 9]) for _ in range(rng.randrange(1, 12))) for _ in range(400)]
+    codec, alone = bpe.codec(tokenizer()).open(), bpe.codec(tokenizer()).open()
+    want = [struct.pack(f"<{len(ids)}I", *ids) for ids in map(alone.encode_word, words)]
+    assert codec.encode_words(words) == want and codec.encode_words([]) == []
+    texts = [*(" ".join(rng.choices(words, k=9)) + rng.choice([".", "!?", " <|endoftext|> it's", "", " x" + "y" * 50]) for _ in range(40)), None, "", "\r<|endoftext|>\n"]
+    want = [alone.encode(t) for t in texts]
+    assert codec.encode_all(texts) == want and codec.encode_all(texts[::-1]) == want[::-1]
+
+
+def test_a_full_memo_and_few_words_abreast(monkeypatch):
+    monkeypatch.setattr(bpe, "WORDS", 3)
+    monkeypatch.setattr(bpe, "ABREAST", 2)
+    alone, codec = bpe.codec(tokenizer()).open(), bpe.codec(tokenizer()).open()
+    texts = ["one two, three four", "five SIX seven eight", "one nine's <|startoftext|> 10 two"]
+    assert codec.encode_all(texts) == [alone.encode(t) for t in texts] == codec.encode_all(texts)

@@ -35,10 +35,13 @@ from vetmill.llm import common
 #: Bounds of a task's memo of words: entries, and characters of an entry. It is emptied when full,
 #: which changes no result.
 WORDS, WORD = 250_000, 32
-#: Characters of texts that a task encodes before it hands rows on.
-FLUSH = 4_000_000
+#: Characters of texts that a task encodes before it hands rows on; characters of texts that are encoded together
+#: (a longer text is alone), and words that go through the automaton side by side.
+FLUSH, TOGETHER, ABREAST = 4_000_000, 1_000_000, 8192
 #: Words are held as one character for each byte; this one stands for the end of a word.
 END = "\u0100"
+#: Marks a special token among normalized words, which hold no white space.
+SPECIAL = "\r"
 #: Bits of a symbol in the keys of the matching automaton's arcs.
 SYMBOL = 9
 #: Characters for which `regex`, Python and the tokenizers library agree on classes and lower case.
@@ -140,6 +143,8 @@ class Matcher:
                 shorter[own[node]], width[own[node]] = out[node], depth[node]
                 out[node] = own[node]
         self.keys, self.nodes = np.array(list(arcs), np.int64), np.array(list(arcs.values()), np.int32)
+        order = np.argsort(self.keys)
+        self.keys, self.nodes = self.keys[order], self.nodes[order]
         self.fail, self.out, self.width, self.shorter = np.array(fail, np.int32), np.array(out, np.int32), width, shorter
 
 
@@ -194,6 +199,7 @@ class Coder:
         self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
         self._library = None
         self.memo: dict[str, bytes] = {}
+        self.codec = codec
 
     def encode_word(self, word: str) -> list[int]:
         """Token ids of one pre-split word by transitions of the automaton."""
@@ -217,6 +223,69 @@ class Coder:
             i -= width[t]
         return ids[::-1]
 
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """What encode_word gives for each word, packed: all take a step of the automaton at a time."""
+        import numpy as np
+
+        a, m = self.codec.automaton, self.codec.matcher
+        table, byte, bit, row = np.frombuffer(self.table, np.uint8), a.column >> 3, (1 << (a.column & 7)).astype(np.uint8), a.row * a.table.shape[1]
+        got: list[bytes] = [b""] * len(words)
+        raw = [w.encode("utf-8") for w in words]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        order = np.argsort(-sizes, kind="stable")
+        for at in range(0, len(raw), ABREAST):
+            own = order[at : at + ABREAST]
+            size, n = sizes[own] + 1, len(own)  # longest first; each has its end
+            here = np.arange(size[0]) < size[:, None] - 1
+            symbols = np.full(here.shape, ord(END), np.int64)
+            symbols[here] = np.frombuffer(b"".join([raw[i] for i in own]), np.uint8)
+            symbols = symbols.T.copy()
+            last, led = np.full((size[0] + 1, n), -1, np.int32), np.full((size[0] + 1, n), self.start, np.int32)
+            node = np.zeros(n, np.int64)
+            for i in range(1, size[0] + 1):
+                k = int(np.searchsorted(-size, -i, side="right"))  # words of that length at least
+                node = self._steps(m, node[:k], symbols[i - 1, :k])
+                t, todo = m.out[node], np.arange(k)
+                while len(todo):
+                    x = t[todo]
+                    todo = todo[table[led[i - m.width[x], todo] + byte[x]] & bit[x] == 0]
+                    t[todo] = m.shorter[t[todo]]
+                last[i, :k], led[i, :k] = t, row[t]
+            steps, left, todo = [], size.copy(), np.arange(n)
+            while len(todo):
+                t = last[left[todo], todo]
+                steps.append((todo, t))
+                left[todo] -= m.width[t]
+                todo = todo[left[todo] > 0]
+            count = np.zeros(n, np.int64)
+            for todo, _ in steps:
+                count[todo] += 1
+            ends = np.cumsum(count)
+            flat = np.empty(int(ends[-1]), "<u4")
+            for back, (todo, t) in enumerate(steps):
+                flat[ends[todo] - 1 - back] = t
+            packed, begin = flat.tobytes(), 0
+            for i, end in zip(own.tolist(), (4 * ends).tolist(), strict=True):
+                got[i] = packed[begin:end]
+                begin = end
+        return got
+
+    @staticmethod
+    def _steps(m: Matcher, node, symbol):
+        """The nodes that the symbols lead to, over failure links where there is no arc."""
+        import numpy as np
+
+        out, todo = np.zeros(len(node), np.int64), np.arange(len(node))
+        while len(todo):
+            key = node << SYMBOL | symbol
+            at = np.searchsorted(m.keys, key)
+            at[at == len(m.keys)] = 0
+            hit = m.keys[at] == key
+            out[todo[hit]] = m.nodes[at[hit]]
+            more = ~hit & (node > 0)
+            todo, node, symbol = todo[more], m.fail[node[more]].astype(np.int64), symbol[more]
+        return out
+
     def _fail(self, key: int) -> int:
         """The node that failure links lead to."""
         arcs, at, symbol = self.arcs, key >> SYMBOL, key & (1 << SYMBOL) - 1
@@ -230,8 +299,10 @@ class Coder:
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a run of normalized words without white space between them."""
-        memo, words = self.memo, [chunk] if chunk.isalpha() or chunk[0] == "\n" else self.words.findall(chunk)
-        if words == [chunk]:
+        memo, words = self.memo, self._words(chunk)
+        if chunk[0] == SPECIAL:
+            got = struct.pack("<I", self.special[chunk[1:]])
+        elif words == [chunk]:
             ids = self.encode_word(chunk.removeprefix("\n"))
             got = struct.pack(f"<{len(ids)}I", *ids)
         else:
@@ -242,6 +313,14 @@ class Coder:
             memo[chunk] = got
         return got
 
+    def _words(self, chunk: str) -> list[str]:
+        """The words of a run of normalized words."""
+        if chunk.isalpha() or chunk[0] in "\n\r":
+            return [chunk]
+        if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
+            return [chunk[:-1], chunk[-1]]
+        return self.words.findall(chunk)
+
     def _split(self, text: str) -> list[str]:
         """Normalized text cut at white space (which no word holds), or, marked by a line feed each,
         the words as the library cuts them."""
@@ -258,13 +337,46 @@ class Coder:
 
     def encode(self, text: str | None) -> bytes:
         """All ids of a text as little-endian unsigned 32-bit integers."""
-        text, get, miss, out, pos = text or "", self.memo.get, self._chunk, [], 0
-        for m in self.splitter.finditer(text) if "<|" in text else ():
-            out += [get(c) or miss(c) for c in self._split(text[pos : m.start()])]
-            out.append(struct.pack("<I", self.special[m[0]]))
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """All ids of each text. The words that the memo lacks are encoded together."""
+        parts = [self._parts(text or "") for text in texts]
+        if len(parts) > 1:
+            self._learn(set().union(*parts))
+        get, miss = self.memo.get, self._chunk
+        return [b"".join([get(c) or miss(c) for c in chunks]) for chunks in parts]
+
+    def _parts(self, text: str) -> list[str]:
+        """What a text is made of: runs of normalized words, and special tokens behind their mark."""
+        if "<|" not in text:
+            return self._split(text)
+        out, pos = [], 0
+        for m in self.splitter.finditer(text):
+            out += [*self._split(text[pos : m.start()]), SPECIAL + m[0]]
             pos = m.end()
-        out += [get(c) or miss(c) for c in self._split(text[pos:] if pos else text)]
-        return b"".join(out)
+        return out + self._split(text[pos:])
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Take the words of these runs into the memo."""
+        memo = self.memo
+        new = [c for c in chunks if c not in memo]
+        if len(memo) + len(new) > WORDS:
+            memo.clear()
+            new = [*chunks]
+        words, several = set(), []
+        for c in new:
+            if len(c) > WORD or c[0] == SPECIAL:
+                continue
+            if c.isalpha() or c[0] == "\n":
+                words.add(c)
+            else:
+                several.append((c, own := self._words(c)))
+                words.update(own)
+        words = [w for w in words if w not in memo]
+        memo.update(zip(words, self.encode_words([w.removeprefix("\n") for w in words]), strict=True))
+        for c, own in several:
+            memo[c] = b"".join([memo[w] for w in own])
 
     def decode(self, ids: bytes) -> str:
         """The text that the library's decoder gives: the labels of the arcs, joined by spaces."""
@@ -281,8 +393,24 @@ def codec(path: str) -> Codec:
     return _codecs[path]
 
 
-def map_texts(docs: DataFrame, path: str, ddl: str, each: Callable[[Coder, object, str], list[tuple]]) -> DataFrame:
-    """Rows that `each` gives for (coder, doc_id, text), in batches on the executors. The automaton is
+def _together(batches):
+    """doc_ids and texts (null: empty), so many at a time that they have TOGETHER characters."""
+    ids, texts, size = [], [], 0
+    for b in batches:
+        for i, text in zip(b["doc_id"].to_pylist(), b["text"], strict=True):
+            text = text.as_py() or ""  # one at a time: a batch may hold very long ones
+            if texts and size + len(text) > TOGETHER:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+            ids.append(i)
+            texts.append(text)
+            size += len(text)
+    if texts:
+        yield ids, texts
+
+
+def map_texts(docs: DataFrame, path: str, ddl: str, each: Callable[[Coder, object, bytes], list[tuple]]) -> DataFrame:
+    """Rows that `each` gives for (coder, doc_id, ids of the text), in batches on the executors. The automaton is
     sent there once; a coder and its memo end with their task."""
     schema, held = common.arrow_schema(ddl), docs.sparkSession.sparkContext.broadcast(codec(path))
 
@@ -290,10 +418,9 @@ def map_texts(docs: DataFrame, path: str, ddl: str, each: Callable[[Coder, objec
         coder = held.value.open()
         out: list[tuple] = []
         size = 0
-        for b in batches:
-            for i, text in zip(b["doc_id"].to_pylist(), b["text"], strict=True):
-                text = text.as_py() or ""  # one at a time: a batch may hold very long ones
-                out += each(coder, i, text)
+        for ids, texts in _together(batches):
+            for i, text, got in zip(ids, texts, coder.encode_all(texts), strict=True):
+                out += each(coder, i, got)
                 size += len(text)
                 if len(out) >= 5000 or size > FLUSH:
                     yield common.batch(out, schema)
@@ -309,8 +436,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     A null or empty text has no ids and an empty decoded text; texts of any length are encoded whole;
     rows with equal or null doc_id stay apart; other columns are left aside; an empty table gives no
     rows."""
-    def each(coder, i, text):
-        ids = coder.encode(text)
+    def each(coder, i, ids):
         return [(i, ids, coder.decode(ids))]
 
     return map_texts(docs, path, "doc_id long, ids binary, decoded string", each)
@@ -319,8 +445,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document (see encode_documents),
     digested where the ids are made so that neither ids nor decoded text leave the worker."""
-    def each(coder, i, text):
-        ids = coder.encode(text)
+    def each(coder, i, ids):
         said = coder.decode(ids).encode("utf-8")
         return [(i, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(said).hexdigest())]
 
@@ -333,8 +458,8 @@ def document_pieces(docs: DataFrame, path: str, limit: int, buckets: int) -> Dat
     Returns doc_id, piece, start, length, ids_crc32 and bucket (0 to buckets-1, dealt in turn)."""
     turn = [0]
 
-    def each(coder, i, text):
-        ids = coder.encode(text) + b"\0\0\0\0"
+    def each(coder, i, ids):
+        ids += b"\0\0\0\0"
         out = []
         for k, at in enumerate(range(0, len(ids), 4 * limit)):
             part = ids[at : at + 4 * limit]
