@@ -68,3 +68,35 @@ def test_windows_do_not_depend_on_where_a_task_hands_on(monkeypatch, flush, voca
             ws = [*piece.encode().split(), None, None]
             want.update((lang, *ws[i : i + 3]) for i in range(len(ws) - 2))
     assert got == want
+
+
+@pytest.mark.parametrize("least", [1, 2, 10, 15, 16, 40, 300])
+def test_packed_hashes_are_counted_exactly(least):
+    """Hashes with counts around every bound, handed on in several flushes, against plain counting."""
+    import zlib
+
+    import numpy as np
+
+    rng = np.random.default_rng(least)
+    few = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    few[20:] = few[:20] ^ np.uint64(1 << 30)  # the same bit of the bitmap, another hash
+    flushes = [rng.choice(few, n) for n in (0, 1, 15 * 40, 40 * least, 7)] + [rng.integers(0, 1 << 63, 3000, dtype=np.uint64)]
+    blobs = defaultdict(list)
+    for keys in flushes:
+        for parts, packed in collocations._packed(keys, least):
+            for part, blob in zip(parts.to_pylist(), packed.to_pylist(), strict=True):
+                blobs[part].append(blob)
+    got = np.zeros(collocations.SLOTS // 8, np.uint8)
+    for part, own in blobs.items():
+        if bits := collocations._marked(own, least):
+            got[part * 4096 : (part + 1) * 4096] = np.frombuffer(zlib.decompress(bits), np.uint8)
+    count = Counter(int(k) & (1 << 40) - 1 for keys in flushes for k in keys)
+    want = np.array(sorted({k & collocations.SLOTS - 1 for k, n in count.items() if n >= least}))
+    assert np.array_equal(np.flatnonzero(np.unpackbits(got, bitorder="little")), want)
+
+
+def test_cuts_meet_their_parts_in_stored_steps(spark):
+    """One plan that joined both sides held 62 exchanges; each side is a plan of its own."""
+    df = spark.createDataFrame([("new york is big. " * 12, "en")], "text string, lang string")
+    plan = collocations.collocations(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") < 10

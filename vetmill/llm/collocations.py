@@ -6,7 +6,8 @@ successively shorter prefixes, so no phrase of one or two words is ever exploded
 pads is told from a null that sums by the grouping id.
 
 Windows are thinned before they are counted. A first pass counts words and word pairs by a hash of 40
-bits; hashes that occur `least` times set a bit in a bitmap of SLOTS bits, which goes to the executors. A
+bits; hashes that occur `least` times set a bit in a bitmap of SLOTS bits, which goes to the executors. A task
+hands on its hashes packed by their part of the bitmap, and each part is counted by itself (4,096 parts). A
 second pass does so for the triples of such pairs. In the third a window leaves out its tail from the first
 pair or triple whose bit is not set, and its first word if that one's is not. Hashes and bits that several
 phrases share only keep more windows than needed: whatever
@@ -28,6 +29,8 @@ from vetmill.llm import common
 
 #: Bits of the bitmap: 16 MB whatever the data; different hashes that are counted.
 SLOTS, KEYS = 1 << 27, 1 << 40
+#: Of a hash, the bits that name a place in a part of the bitmap, and those that come with it there; bits of a count beside them.
+PLACE, OWN, COUNT = 15, 28, 4
 #: Words, and different words, that a task holds before it hands on its counts (the second has to fit 20 bits); bytes of a slice.
 FLUSH, VOCAB, SLICE = 1 << 20, (1 << 20) - 2, 1 << 20
 #: A-Z in lower case; what ends a piece becomes a full stop.
@@ -145,47 +148,81 @@ def _thinned(h, w1, w2, w3, bits):
     return w2, w3, _pair(first ^ np.uint64(0x94D049BB133111EB), h[w3])
 
 
+def _packed(keys, least: int):
+    """Parts of the bitmap with the hashes that fall there, packed with how often they come (as 32-bit numbers; a
+    count that passes COUNT bits comes in several, one over `least` is cut to it)."""
+    import numpy as np
+    import pyarrow as pa
+
+    slot, place = keys & np.uint64(SLOTS - 1), np.uint64(PLACE)
+    codes = (slot >> place << np.uint64(OWN)) | ((keys & np.uint64(KEYS - 1)) // np.uint64(SLOTS) << place) | (slot & np.uint64((1 << PLACE) - 1))
+    codes, n = np.unique(codes.view(np.int64), return_counts=True)
+    n = np.minimum(n, least)
+    while len(codes):
+        packed = ((codes & (1 << OWN) - 1) << COUNT | np.minimum(n, (1 << COUNT) - 1)).astype(np.uint32)
+        ends = np.searchsorted(codes, np.arange((SLOTS >> PLACE) + 1) << OWN)
+        parts = np.flatnonzero(np.diff(ends))
+        offsets = (4 * np.append(ends[parts], ends[-1])).astype(np.int32)
+        yield pa.array(parts.astype(np.int32)), pa.Array.from_buffers(pa.binary(), len(parts), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
+        n = n - (1 << COUNT) + 1
+        codes, n = codes[n > 0], n[n > 0]
+
+
+def _marked(blobs: list[bytes], least: int) -> bytes | None:
+    """A part of the bitmap: the bits of the packed hashes that come `least` times, compressed; None without any."""
+    import zlib
+
+    import numpy as np
+
+    packed = np.sort(np.frombuffer(b"".join(blobs), np.uint32))
+    keys = packed >> COUNT
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    n = np.add.reduceat((packed & (1 << COUNT) - 1).astype(np.int64), first)
+    bits = np.zeros(1 << PLACE, np.uint8)
+    bits[keys[first[n >= least]] & (1 << PLACE) - 1] = 1
+    return zlib.compress(np.packbits(bits, bitorder="little").tobytes(), 1) if bits.any() else None
+
+
 def _frequent(texts: DataFrame, least: int, bits=None):
     """The bitmap of the words and pairs that occur `least` times; given that one, it and the triples of such pairs."""
+    import zlib
+
     import numpy as np
 
-    ddl = "key long, n long"
+    ddl = "part int, keys binary"
     schema = common.arrow_schema(ddl)
     held = texts.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
         import pyarrow as pa
 
-        def send(keys, n):
-            for k in range(0, len(keys), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[k : k + 100_000].view(np.int64)), pa.array(n[k : k + 100_000])], schema=schema)
-
         def emit(lang, words, a, starts):
             h = _hashes(lang, words)
             w1, w2, w3 = _leads(a, starts)
             if held.value is None:
-                n = np.bincount(w1, minlength=1)
-                here = np.flatnonzero(n)
-                yield from send(h[here] & np.uint64(KEYS - 1), n[here])
                 both = w2 > 0
-                keys = _pair(h[w1[both]], h[w2[both]])
+                keys = np.concatenate([h[w1], _pair(h[w1[both]], h[w2[both]])])
             else:
                 _, w3, keys = _thinned(h, w1, w2, w3, held.value)
                 keys = keys[w3 > 0]
-            yield from send(*np.unique(keys & np.uint64(KEYS - 1), return_counts=True))
+            for columns in _packed(keys, least):
+                yield pa.RecordBatch.from_arrays([*columns], schema=schema)
 
         yield from _batches(batches, emit)
 
-    slot = F.pmod("key", F.lit(SLOTS)) + 1
-    often = texts.mapInArrow(run, ddl).groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    maps = often.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    def mark(rows):
+        import pyarrow as pa
+
+        got = _marked(rows["keys"].to_pylist(), least)
+        return pa.table({"part": pa.array([rows["part"][0].as_py()] if got else [], pa.int32()), "bits": pa.array([got] if got else [], pa.binary())})
+
     out = np.zeros(SLOTS // 8, np.uint8) if bits is None else bits.copy()
     with _released(texts.sparkSession):
-        found = maps.toArrow()  # 4 KB a row, SLOTS bits in all
-    for r in found.to_pylist():
-        own = np.frombuffer(r["bits"], np.uint8)
-        out[(r["bucket"] - 1) * len(own) : r["bucket"] * len(own)] |= own
-    held.unpersist()
+        found = texts.mapInArrow(run, ddl).groupBy("part").applyInArrow(mark, "part int, bits binary").toArrow()  # SLOTS bits in all, compressed
+    size = 1 << PLACE >> 3
+    for part, own in zip(found["part"].to_pylist(), found["bits"], strict=True):
+        out[part * size : (part + 1) * size] |= np.frombuffer(zlib.decompress(own.as_py()), np.uint8)
+    held.destroy()
     return out
 
 
@@ -233,9 +270,9 @@ def phrase_counts(docs: DataFrame, least: int = 10) -> DataFrame:
 
 
 def _parts(cuts: DataFrame, side: str, parts: DataFrame, name: str) -> DataFrame:
-    """cuts with the count of their left or right part; a part of very many cuts goes to them by broadcast."""
-    counts = cuts.groupBy(side).agg(F.count("*").alias("n")).join(parts.withColumnsRenamed({"key": side, "f": name}), side)
-    return common.hot_join(cuts, counts, side, least=HOT_PARTS).drop("n")
+    """cuts (a stored table) with the count of their left or right part; a part of very many cuts goes to them by broadcast."""
+    counts = common.table(cuts.groupBy(side).agg(F.count("*").alias("n")).join(parts.withColumnsRenamed({"key": side, "f": name}), side), name)
+    return common.table(common.hot_join(cuts, counts, side, least=HOT_PARTS).drop("n"), f"with_{name}")
 
 
 def collocations(docs: DataFrame, least: int = 10, share: int = 50, top: int = 2000) -> DataFrame:
