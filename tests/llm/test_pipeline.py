@@ -90,3 +90,27 @@ def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 101), (103, 101), (200, 200)]
     got = {r.id: r.component_id for r in components(spark.createDataFrame(chain, "src long, dst long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 103: 100}
+
+
+def test_edges_that_are_stars_take_no_round(spark, monkeypatch):
+    """A round over them, and one more to see that nothing changes, took four stored tables."""
+    from vetmill.llm import common
+
+    names, stored = [], common.table
+    monkeypatch.setattr(common, "table", lambda df, name: names.append(name) or stored(df, name))
+    for edges, rounds in (([(5, 1), (1, 7), (7, 1), (3, 3), (9, 8)], 0), ([(2, 1), (3, 2)], 1), ([(3, 1), (3, 2)], 1), ([], 0)):
+        names.clear()
+        got = {r.id: r.component_id for r in common.components(spark.createDataFrame(edges, "src long, dst long")).collect()}
+        assert got == ({5: 1, 1: 1, 7: 1, 9: 8, 8: 8} if len(edges) == 5 else {1: 1, 2: 1, 3: 1} if edges else {})
+        assert names == ["edges", *["large_star", "small_star"] * rounds]
+
+
+def test_a_pair_is_given_once(spark):
+    """An id and a hub with several rows of data each, in two chunks."""
+    from vetmill.llm import minhash
+
+    pairs = spark.createDataFrame([(1, 9, 0), (2, 9, 0), (3, 9, 1), (2, 8, 0)], "id long, hub long, chunk long")
+    data = spark.createDataFrame([(1, b"x"), (1, b"x"), (1, b"y"), (2, b"z"), (2, b"x"), (3, b"q"), (9, b"x"), (9, b"y"), (8, b"z")], "id long, data binary")
+    got = minhash._by_hub(pairs, data, lambda x, y: x == y)
+    assert sorted(map(tuple, got.collect())) == [(1, 9, 0), (2, 8, 0), (2, 9, 0)]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1  # that of the hubs

@@ -97,13 +97,20 @@ def batch(rows: list[tuple], schema):
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+def _stars(pairs: DataFrame) -> bool:
+    """Whether every u of the distinct pairs (u, v), u > v, has one v and is no v itself."""
+    ends = pairs.select(F.explode(F.array(F.struct(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("centre")),
+                                          F.struct(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("centre")))).alias("e")).select("e.*")
+    return ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("centre").alias("centre")).where("up > 1 or up = 1 and centre = 1").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Smallest id reachable for each id that has an edge: large-star / small-star rounds.
 
     edges: columns src, dst (long, in any direction, repeats allowed). Returns id, component_id.
     Each round only joins ids with neighbours' minima, so its cost follows the number of edges;
-    the rounds end when no edge changes (counted and summed on the executors, two numbers reach
-    the driver). A star's centre is met through an aggregated minimum, never as a collected group,
+    the rounds end when all edges form stars around their least ids, which edges that come as such
+    stars do without any round (one row at most reaches the driver). A star's centre is met through an aggregated minimum, never as a collected group,
     and its edges stay where they are (hot_join).
     """
     def lowest(pairs: DataFrame, low) -> DataFrame:
@@ -112,8 +119,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     pairs = table(edges.where("src <> dst").select(
         F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(), "edges")
-    before = None
-    while True:
+    while not _stars(pairs):
         # large star: every larger neighbour of u hangs itself to the smallest in u's neighbourhood
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = lowest(both, F.least(F.min("v"), F.first("u"))).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -123,10 +129,6 @@ def components(edges: DataFrame) -> DataFrame:
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
         pairs = table(small.where("u <> v").distinct(), "small_star")
-        now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(now) == before:
-            break
-        before = tuple(now)
     member = pairs.select(F.col("u").alias("id"), F.col("v").alias("component_id"))
     roots = pairs.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct()
     return member.unionByName(roots)

@@ -108,7 +108,8 @@ def _by_hub(pairs: DataFrame, data: DataFrame, alike) -> DataFrame:
     """Pairs (id, hub, chunk) for which alike(own data, hub's data) holds. pairs and data (id, data: binary)
     are stored tables; an id may have several rows of data: one match is enough.
 
-    In each chunk of a hub's pairs the hub's data come once, ahead of those of its pairs."""
+    In each chunk of a hub's pairs the hub's data come once, ahead of those of its pairs; rows of one id come
+    together there, so a pair is given once."""
     ddl = "id long, hub long, chunk long"
     schema = common.arrow_schema(ddl)
     own = pairs.join(data, "id").select("hub", "chunk", F.lit(1).alias("side"), "id", "data")
@@ -117,20 +118,21 @@ def _by_hub(pairs: DataFrame, data: DataFrame, alike) -> DataFrame:
     rows = own.unionByName(hubs).repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", "side", "id")
 
     def run(batches):
-        at, held = None, []
+        at, held, given = None, [], None
         for b in batches:
             out = []
             columns = (b[c].to_pylist() for c in ("hub", "chunk", "side", "id"))
             for hub, chunk, side, i, x in zip(*columns, b["data"], strict=True):
                 if at != (hub, chunk):
-                    at, held = (hub, chunk), []
+                    at, held, given = (hub, chunk), [], None
                 if not side:
                     held.append(x.as_py())
-                elif any(alike(x.as_py(), y) for y in held):
+                elif i != given and any(alike(x.as_py(), y) for y in held):
                     out.append((i, hub, chunk))
+                    given = i
             yield common.batch(out, schema)
 
-    return rows.mapInArrow(run, ddl).distinct()
+    return rows.mapInArrow(run, ddl)
 
 
 def _alike(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -263,7 +265,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     several = sigs.where("doc_id is not null").groupBy("doc_id").agg(
         F.min("set_id").alias("a"), F.max("set_id").alias("b"), F.count("*").alias("n"), F.count("set_id").alias("k")).where("a <> b or k < n").select("doc_id")
     ties = sets.join(several, "doc_id").join(reps.select("set_id", "rep"), "set_id").where("doc_id <> rep").select(F.col("doc_id").alias("src"), F.col("rep").alias("dst"))
-    label = common.table(common.components(links.unionByName(more).unionByName(ties)), "components")
+    known = first.select(F.col("id").alias("src"), F.col("component_id").alias("dst"))  # the links' components, as stars
+    label = common.table(common.components(known.unionByName(more).unionByName(ties)), "components")
 
     named = reps.select("set_id", "n", F.col("rep").alias("id")).join(label, "id", "left")
     named = named.select("set_id", "n", F.coalesce("component_id", "id").alias("component_id"))
