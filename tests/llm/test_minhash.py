@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from vetmill.llm import minhash
+from vetmill.llm import common, minhash
 
 LOW = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -64,3 +64,53 @@ def test_estimate_follows_similarity():
     true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
     n = 1024
     assert abs((minhash.signature(a, n) == minhash.signature(b, n)).mean() - true) < 0.07
+
+
+def tables(monkeypatch, spark, docs):
+    """The result of run, and the stored tables by name."""
+    kept, store = {}, common.table
+    monkeypatch.setattr(common, "table", lambda df, name: kept.setdefault(name, store(df, name)))
+    return run(spark, docs), kept
+
+
+def variant(rng, words, n, new):
+    w = words[:]
+    for k in rng.sample(range(len(w)), n):
+        w[k] = f"{new}x{k}"
+    return " ".join(w)
+
+
+def test_buckets_of_two_are_compared_once(spark, monkeypatch):
+    rng = random.Random(7)
+    docs = []
+    for i in range(40):  # pairs that share a bucket and are no links
+        words = [f"p{i}w{k}" for k in range(80)]
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, variant(rng, words, 4, i))]
+    found, kept = tables(monkeypatch, spark, docs)
+    assert found == brute(docs)
+    assert kept["buckets"].where("n = 2").count() > 20 and kept["open"].count() == 0
+
+
+def test_pairs_of_many_small_buckets_are_dealt_over_chunks(spark, monkeypatch):
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(80)]
+    docs = [(0, " ".join(words))] + [(i, variant(rng, words, 4, i)) for i in range(1, 601)]
+    found, kept = tables(monkeypatch, spark, docs)
+    assert found == brute(docs)
+    pairs = kept["pairs"].where("hub = 0")
+    assert pairs.count() > 300 and max(r["count"] for r in pairs.groupBy("chunk").count().collect()) < 150
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_join(spark, how):
+    left = spark.range(3000).selectExpr("if(id < 2000, 7, if(id < 2900, null, id)) as k", "id as x").repartition(3)
+    right = left.where("k is not null and k < 2950").groupBy("k").agg({"x": "max", "*": "count"}).toDF("k", "m", "n").withColumnRenamed("count(1)", "n")
+    right = right.selectExpr("k", "least(m, n) as low", "greatest(m, n) as n")
+    joined = common.hot_join(left, right, "k", how)
+    same = left.join(right, "k", how)
+    assert joined.columns == same.columns
+    assert sorted(map(tuple, joined.collect()), key=repr) == sorted(map(tuple, same.collect()), key=repr)
+    joined.write.format("noop").mode("overwrite").save()
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("TakeOrderedAndProject") == 1

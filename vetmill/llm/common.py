@@ -77,8 +77,11 @@ def hot_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", le
     The HOT_KEYS most frequent keys, of those with `least` rows, go to left's rows by broadcast, so that
     only keys with less than 1 / HOT_KEYS of all rows are shuffled: no key fills a task."""
     hot = right.where(F.col("n") >= least).orderBy(F.desc("n"), key).limit(HOT_KEYS)
-    cold = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(right, key, how)
-    return left.join(F.broadcast(hot), key).unionByName(cold)
+    # both sides take the same columns of it, so that it is computed and sent once
+    hot = F.broadcast(hot.select(key, F.struct(*[c for c in right.columns if c != key]).alias("_hot")))
+    dealt = left.join(hot, key, "left")
+    cold = dealt.where("_hot is null").select(*left.columns).join(right, key, how)
+    return left.join(hot, key).select(*left.columns, "_hot.*").unionByName(cold)
 
 
 def arrow_schema(ddl: str):

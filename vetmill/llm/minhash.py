@@ -9,7 +9,8 @@ band share a bucket. A bucket's members are compared with its hub, the member th
 buckets, not with each other; what that leaves in several components is then compared exactly:
 every member outside the bucket's largest component with every member, block by block, where a
 pair is emitted once (in the first band that it shares), and only if longer sketches agree often
-enough to be a link: a true link fails that with a probability of about 1e-6. Every link that counts
+enough to be a link: a true link fails that with a probability of about 1e-6. The two members of a
+bucket of two have met as hub and pair, so such buckets are left out there. Every link that counts
 is confirmed on the full shingle sets of both texts; a hub meets its pairs in chunks, and reaches each
 chunk once. So no bucket size has a cap, no group is collected, and no task gets more than a block.
 """
@@ -28,9 +29,9 @@ BANDS, ROWS = 32, 5
 #: Of the BANDS * ROWS coordinates' low bytes, and of the WIDE ones in the exact comparison, so many
 #: agree at least before a pair is verified (4.6 and 5 standard deviations below a link's mean).
 AGREE, WIDE, AGREE_WIDE = 95, 1024, 700
-#: Members of a block in the comparison of large buckets; members of a bucket for each chunk that its
-#: hub's pairs are dealt into.
-BLOCK, CHUNK = 256, 64
+#: Members of a block in the comparison of large buckets; members of all of a hub's buckets, a pair counted
+#: in each, for each chunk that its pairs are dealt into: no chunk has more pairs than that on average.
+BLOCK, CHUNK = 256, 256
 
 
 def shingles(text: str | None):
@@ -193,10 +194,10 @@ def _wide(docs: DataFrame, need: DataFrame) -> DataFrame:
 
 def _rest(members: DataFrame, reps: DataFrame, label: DataFrame, docs: DataFrame) -> DataFrame:
     """Pairs (id, hub, chunk) of different components in one bucket whose sketches are alike; a hub here is
-    a member outside the largest component, a chunk holds its pairs with one block."""
+    a member outside the largest component, a chunk holds its pairs with one block. members: key, rep and n, the bucket's size."""
     import pandas as pd
 
-    members = members.join(label.select(F.col("id").alias("rep"), "component_id"), "rep", "left").select(
+    members = members.where("n > 2").drop("n").join(label.select(F.col("id").alias("rep"), "component_id"), "rep", "left").select(
         "key", "rep", F.coalesce("component_id", "rep").alias("part"))
     parts = members.groupBy("key", "part").agg(F.count("*").alias("n"))
     open_ = parts.groupBy("key").agg(F.count("*").alias("k"), F.sum("n").alias("c"), F.max(F.struct("n", "part")).alias("most")).where("k > 1")
@@ -252,15 +253,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = common.table(common.hot_join(shared, many, "key").select("key", "rep", "n"), "buckets")
     weight = members.groupBy("rep").agg(F.sum("n").alias("w"))
     hubs = common.table(members.join(weight, "rep").groupBy("key").agg(
-        F.max(F.struct(F.col("w"), (-F.col("rep")).alias("rep")))["rep"].alias("hub"), F.count("*").alias("n")).select("key", (-F.col("hub")).alias("hub"), "n"), "hubs")
+        F.max(F.struct(F.col("w"), (-F.col("rep")).alias("rep"))).alias("hub"), F.count("*").alias("n")).select("key", (-F.col("hub.rep")).alias("hub"), "hub.w", "n"), "hubs")
     pairs = common.hot_join(members.drop("n"), hubs, "key").where("rep <> hub").groupBy(
-        F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b")).agg(F.max("hub").alias("hub"), F.max("n").alias("n"))
-    pairs = pairs.select(F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("id"), "hub", "n")
-    pairs = pairs.withColumn("chunk", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / CHUNK))).drop("n")
+        F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b")).agg(F.max("hub").alias("hub"), F.max("w").alias("w"))
+    pairs = pairs.select(F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("id"), "hub", "w")
+    pairs = pairs.withColumn("chunk", F.pmod(F.xxhash64("id"), F.ceil(F.col("w") / CHUNK))).drop("w")
 
     links = common.table(_verified(_alike(common.table(pairs, "pairs"), reps), docs), "links")
     first = common.table(common.components(links), "parts")
-    more = common.table(_verified(_rest(members.drop("n"), reps, first, docs), docs), "more")
+    more = common.table(_verified(_rest(members, reps, first, docs), docs), "more")
     # a doc_id with several texts ties their sets together, and has one component
     several = sigs.where("doc_id is not null").groupBy("doc_id").agg(
         F.min("set_id").alias("a"), F.max("set_id").alias("b"), F.count("*").alias("n"), F.count("set_id").alias("k")).where("a <> b or k < n").select("doc_id")
