@@ -101,6 +101,64 @@ def test_pairs_of_many_small_buckets_are_dealt_over_chunks(spark, monkeypatch):
     assert pairs.count() > 300 and max(r["count"] for r in pairs.groupBy("chunk").count().collect()) < 150
 
 
+def test_only_pairs_with_like_bits_meet_their_hub(spark, monkeypatch):
+    """Pairs that are alike to about 0.3 and share a bucket went through a join with sketches and a pass of Python before."""
+    rng = random.Random(9)
+    docs = []
+    for i in range(300):
+        words = [f"p{i}w{k}" for k in range(120)]
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:56]) + " " + " ".join(f"q{i}w{k}" for k in range(64)))]
+    for i in range(700, 760):  # links, near the least similarity of one
+        words = [f"p{i}w{k}" for k in range(120)]
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, variant(rng, words, 3, i))]
+    found, kept = tables(monkeypatch, spark, docs)
+    assert found == brute(docs)
+    assert kept["buckets"].select("rep").where("rep < 600").distinct().count() > 20 and kept["pairs"].where("hub < 600").count() <= 2
+    assert kept["pairs"].where("hub > 600").count() == 60
+
+
+def test_bits_agree_by_similarity(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    rows = []
+    for both in (750, 857, 500):  # of 1,000 in each set: 0.6, 0.75 and a third
+        x = np.unique(rng.integers(0, 2**63, 2000 - both).astype(np.uint64))
+        rng.shuffle(x)
+        rows.append((minhash._bits(minhash.signature(x[:1000])), minhash._bits(minhash.signature(x[-1000:]))))
+    same = lambda a, b: 160 - sum(((x ^ y) % 2**64).bit_count() for x, y in zip(a, b, strict=True))
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>").select("a", "b", minhash._alike("a", "b").alias("alike"))
+    for r, similarity in zip(df.collect(), (0.6, 0.75, 1 / 3), strict=True):
+        assert abs(same(r.a, r.b) / 160 - (1 + similarity) / 2) < 0.1 and r.alike == (same(r.a, r.b) >= minhash.AGREE_BITS)
+
+
+def test_a_search_stores_few_tables(spark, monkeypatch):
+    """Sketches, sets and components were stored once more before, and pairs of hubs and links twice."""
+    rng, names, store = random.Random(10), [], common.table
+    monkeypatch.setattr(common, "table", lambda df, name: names.append(name) or store(df, name))
+    words = [f"w{k}" for k in range(80)]
+    docs = [(i, variant(rng, words, rng.randint(0, 5), i)) for i in range(60)]
+    docs += [(7, docs[9][1]), (7, docs[20][1] + " more"), (3, docs[30][1]), (3, "other words"), (3, "other words")]  # ids with several texts
+    assert run(spark, docs) == brute(docs)
+    assert [x for x in names if not x.endswith("_star")] == [
+        "signatures", "reps", "counts", "buckets", "hubs", "pairs", "links", "open", "members", "rest", "to_verify", "more", "edges"]
+
+
+def test_sets_are_made_once(spark):
+    """Both joins of the verification take them from one exchange."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{k}" for k in range(i % 2, 60))) for i in range(40)], "doc_id long, text string")
+    pairs = common.table(spark.createDataFrame([(i, 0, 0) for i in range(2, 40)], "id long, hub long, chunk long"), "pairs")
+    for broadcast in ("-1", "10m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+        try:
+            links = minhash._verified(pairs, docs)
+            assert sorted(map(tuple, links.collect())) == [(i, 0) for i in range(2, 40)]
+            plan = links._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert plan.count("MapInArrow") == 2, plan  # the sets and the comparison
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_hot_join(spark, how):
     left = spark.range(3000).selectExpr("if(id < 2000, 7, if(id < 2900, null, id)) as k", "id as x").repartition(3)

@@ -114,3 +114,32 @@ def test_a_pair_is_given_once(spark):
     got = minhash._by_hub(pairs, data, lambda x, y: x == y)
     assert sorted(map(tuple, got.collect())) == [(1, 9, 0), (2, 8, 0), (2, 9, 0)]
     assert got._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1  # that of the hubs
+
+
+def test_hot_ids_of_a_round_are_computed_once(spark, monkeypatch):
+    """A star of many edges around an id that is not its least; before, each plan found its hot ids twice."""
+    from vetmill.llm import common
+
+    plans, stored = [], common.table
+
+    def table(df, name):
+        if name.endswith("_star"):
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("TakeOrderedAndProject"))
+        return stored(df, name)
+
+    monkeypatch.setattr(common, "table", table)
+    edges = [(1500, i) for i in range(3000)] + [(i, i + 3000) for i in range(0, 300, 3)]
+    got = common.components(spark.createDataFrame(edges, "src long, dst long")).collect()
+    assert {r.id: r.component_id for r in got} == {i: 0 for e in edges for i in e} and len(got) == 3100
+    assert plans and max(plans) == 1
+
+
+def test_hub_and_pairs_take_their_data_from_one_join(spark):
+    from vetmill.llm import minhash
+
+    pairs = spark.createDataFrame([(1, 9, 0), (2, 9, 1)], "id long, hub long, chunk long")
+    data = spark.createDataFrame([(1, b"x"), (2, b"x"), (9, b"x")], "id long, data binary")
+    got = minhash._by_hub(pairs, data, lambda x, y: x == y)
+    assert sorted(map(tuple, got.collect())) == [(1, 9, 0), (2, 9, 1)]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1

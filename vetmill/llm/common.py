@@ -107,31 +107,42 @@ def _stars(pairs: DataFrame) -> bool:
     return ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("centre").alias("centre")).where("up > 1 or up = 1 and centre = 1").isEmpty()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """Smallest id reachable for each id that has an edge: large-star / small-star rounds.
-
-    edges: columns src, dst (long, in any direction, repeats allowed). Returns id, component_id.
-    Each round only joins ids with neighbours' minima, so its cost follows the number of edges;
-    the rounds end when all edges form stars around their least ids, which edges that come as such
-    stars do without any round (one row at most reaches the driver). A star's centre is met through an aggregated minimum, never as a collected group,
-    and its edges stay where they are (hot_join).
+def stars(pairs: DataFrame) -> DataFrame:
+    """Pairs (u, v), u > v, that form stars around the least id v of each component: large-star / small-star rounds.
+
+    pairs: a stored table of distinct pairs (u, v), u > v, that come back as they are if they form such stars.
+    Each round only joins ids with neighbours' minima, so its cost follows the number of edges; the rounds end
+    when all edges form stars around their least ids, which edges that come as such stars do without any round
+    (one row at most reaches the driver). A star's centre is met through an aggregated minimum, never as a
+    collected group, and its edges stay where they are (lowest).
     """
     def lowest(pairs: DataFrame, low) -> DataFrame:
-        """u, v with m, the least id of u's neighbourhood."""
-        return hot_join(pairs, pairs.groupBy("u").agg(low.alias("m"), F.count("*").alias("n")), "u")
+        """u, v with m, the least id of u's neighbourhood: as hot_join has it, but both sides take the same two
+        columns, never null, of the hot ids, so that these are computed and sent once in each plan."""
+        least = pairs.groupBy("u").agg(low.alias("m"), F.count("*").alias("n"))
+        hot = least.where(F.col("n") >= HOT_ROWS).orderBy(F.desc("n"), "u").limit(HOT_KEYS).select("u", "m")
+        dealt = pairs.join(F.broadcast(hot.where("u is not null and m is not null")), "u", "left")
+        cold = dealt.where("m is null").select("u", "v").join(least.select("u", "m"), "u")
+        return dealt.where("m is not null").unionByName(cold)
 
-    pairs = table(edges.where("src <> dst").select(
-        F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(), "edges")
     while not _stars(pairs):
-        # large star: every larger neighbour of u hangs itself to the smallest in u's neighbourhood
+        # large star: every larger neighbour of u hangs itself to the smallest in u's neighbourhood; a pair that
+        # comes of several u repeats until the small star, and there are no more rows than pairs
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = lowest(both, F.least(F.min("v"), F.first("u"))).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = table(large.where("u <> v").distinct(), "large_star")
-        # small star: u and its smaller neighbours hang to the smallest of them
-        small = lowest(large, F.min("v")).select(F.explode(F.array(
-            F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
-            F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
-        pairs = table(small.where("u <> v").distinct(), "small_star")
+        large = table(large.where("u <> v"), "large_star")
+        # small star: u and its smaller neighbours hang to the smallest of them; u by its own pair with it
+        small = lowest(large, F.min("v")).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        pairs = table(small.distinct(), "small_star")
+    return pairs
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """Smallest id reachable for each id that has an edge (stars).
+
+    edges: columns src, dst (long, in any direction, repeats allowed). Returns id, component_id."""
+    pairs = stars(table(edges.where("src <> dst").select(
+        F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(), "edges"))
     member = pairs.select(F.col("u").alias("id"), F.col("v").alias("component_id"))
     roots = pairs.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct()
     return member.unionByName(roots)
