@@ -35,3 +35,15 @@ def test_no_rows(spark):
     reminders, queries = made(spark, random.Random(7))
     assert intervals.filter_reminders_binned(reminders.limit(0), queries, 5).count() == 0
     assert intervals.filter_reminders_binned(reminders, queries.limit(0), 5).count() == 0
+
+
+def test_equal_rows_travel_once_and_come_back(spark, monkeypatch):
+    """Many equal reminders, and many queries of which few visit a day: reminders are not copied for queries of other days."""
+    monkeypatch.setattr(intervals, "RUN", 7)
+    day = lambda i: f"2024-{i % 12 + 1:02}-{i % 28 + 1:02}"
+    reminders = spark.createDataFrame([(i % 300, "1", day(i % 300), None, None) for i in range(6000)], REMINDERS)
+    queries = spark.createDataFrame([(i, 1, None, day(i), day(i)) for i in range(400)], QUERIES)
+    rows, _ = intervals.cells(reminders, queries, 20)
+    assert rows.count() <= 1200 and rows.dropDuplicates(["n"]).count() == 300
+    want = sorted(map(repr, audit.filter_reminders_bulk(reminders, queries).collect()))
+    assert sorted(map(repr, intervals.filter_reminders_binned(reminders, queries, 20).collect())) == want and len(want) > 20000
