@@ -9,8 +9,9 @@ run again after a failure is written once.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -23,11 +24,17 @@ def first_of_each_key(records: DataFrame, keep: int | None = None) -> DataFrame:
     """Of the records of an idempotency key, in this batch and all before, the first: within a batch the least by
     content hash. Columns stay. keep: milliseconds after which an unseen key may come again; None: never.
 
-    Records go through Python as JSON texts, in the order of (key, hash) within a key's group; only the first is kept
-    in memory, so a key may repeat any number of times."""
+    Without `keep`, records stay in the JVM: a batch is dealt by key, each part is sorted by (key, hash), and of each key the
+    first that the state does not know goes through; the state holds keys alone. Spark's check of streaming plans knows
+    no sort before a deduplication, so whoever starts such a stream does it under `_sorted_streams`.
+
+    With `keep`, records go through Python as JSON texts, a group for each key, for only there has a key a timer; only the
+    first is kept in memory, so a key may repeat any number of times."""
+    if keep is None:
+        ordered = records.repartition("idempotency_key").sortWithinPartitions("idempotency_key", "payload.source_hash")
+        return ordered.dropDuplicates(["idempotency_key"])
     names = records.columns
     packed = records.select("idempotency_key", F.col("payload.source_hash").alias("source_hash"), F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("record"))
-    timeout = GroupStateTimeout.NoTimeout if keep is None else GroupStateTimeout.ProcessingTimeTimeout
 
     def one(key, frames, state):
         if state.hasTimedOut:
@@ -42,17 +49,28 @@ def first_of_each_key(records: DataFrame, keep: int | None = None) -> DataFrame:
         known = state.exists
         if not known and best is not None:
             state.update((best[0],))
-        if keep is not None:
-            state.setTimeoutDuration(keep)
+        state.setTimeoutDuration(keep)
         if not known and best is not None:
             import pandas as pd
 
             yield pd.DataFrame({"record": [best[1]]})
 
-    new = packed.groupBy("idempotency_key").applyInPandasWithState(one, "record string", "source_hash string", "append", timeout)
+    new = packed.groupBy("idempotency_key").applyInPandasWithState(one, "record string", "source_hash string", "append", GroupStateTimeout.ProcessingTimeTimeout)
     return new.select(F.from_json("record", records.schema).alias("r")).select("r.*")
 
 
+@contextmanager
+def _sorted_streams(spark: SparkSession):
+    """A stream that is started meanwhile may sort within its batches; it takes its settings along when it starts."""
+    name = "spark.sql.streaming.unsupportedOperationCheck"
+    was = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
+
+
 def sync_keyed(stream: DataFrame, normalize: Callable[[DataFrame], DataFrame], feed: str, sink: str, checkpoint: str, watermark_in: str | None = None,
                keep: int | None = None) -> StreamingQuery:
     """Export what a stream of landed rows brings and stop: one record for each idempotency key, whole batches only.
@@ -65,4 +83,5 @@ def sync_keyed(stream: DataFrame, normalize: Callable[[DataFrame], DataFrame], f
         stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         commits.append(batch, sink, f"{stream_id}-{number:012d}", feed)
 
-    return records.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    with _sorted_streams(stream.sparkSession):
+        return records.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
