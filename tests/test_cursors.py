@@ -1,6 +1,7 @@
 import random
 
 from vetmill.operators.normalize import normalize_appointments
+from vetmill.plans import queries
 from vetmill.sources import cursors, feeds
 
 DDL = "page_no string, cursor string, next_cursor string, data array<struct<id:int>>"
@@ -41,3 +42,13 @@ def test_cursors_and_text_ids_of_landed_pages(spark, tmp_path):
     assert got == [("a-1", "7", "12"), ("5", None, "8"), ("6", "9", None)] and lost.count() == 0
     # a bare list stands for a first page: two of them, or one beside another first page, are a fork
     assert {r.reason for r in cursors.order_pages(pages, "appointments")[1].collect()} == {"fork", "gap"}
+
+
+def test_more_rows_land_in_more_pages(spark, tmp_path, monkeypatch):
+    """Pages stay small as the tables grow, and each is parsed once: no filter asks for the size of its lists first."""
+    monkeypatch.setattr(queries, "_LANDED", 50)
+    rows = queries.QUERIES["feeds_landed"](spark, "/root/testdata/sf0.001")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and ("from_json" in line or "size(" in line)]
+    files = [f for f in rows.inputFiles() if "/reminders-" in f]
+    assert len(files) > 60 and all(f.endswith(".gz") for f in files)

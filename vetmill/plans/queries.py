@@ -805,6 +805,10 @@ def pages_rejected(spark, d):
     return cursors.order_pages(pages, "accounts")[1]
 
 
+#: Items of a landed page, or so: a page is read as a whole, so that more rows must make more pages, not larger ones.
+_LANDED = 50_000
+
+
 @query("feeds_landed", f"""SELECT 'appointments' AS feed, id, patient AS patient_id, kind, day AS at FROM (SELECT CASE WHEN id % 2 = 0 THEN 'a-' || id ELSE '' || id END AS id, CASE WHEN patient % 3 = 0 THEN 'p-' || patient ELSE '' || patient END AS patient,
   CASE WHEN type IS NULL THEN NULL ELSE '' || type END AS kind, day FROM {I.sql(I.APPOINTMENTS)} a) a
   UNION ALL SELECT 'patients', id, NULL, name, NULL FROM {I.sql(I.PATIENTS)} p UNION ALL SELECT 'reminders', NULL, pid, NULL, due FROM {REM} r""")
@@ -821,9 +825,9 @@ def feeds_landed(spark, d):
     out = []
     for feed, items in (("appointments", a.select(item.alias("item"))), ("patients", p.select(whole.alias("item"))), ("reminders", r.select(F.to_json(F.struct(*r.columns)).alias("item")))):
         path = folder(spark, feed)
-        page = F.pmod(F.xxhash64("item"), F.lit(20)).alias("page")
+        page = F.pmod(F.xxhash64("item"), F.lit(max(20, -(-items.count() // _LANDED)))).alias("page")
         items.select(page, "item").groupBy("page").agg(F.collect_list("item").alias("items")).select(
-            "page", F.concat(F.lit('{"data":['), F.array_join("items", ","), F.lit("]}")).alias("value")).write.partitionBy("page").text(path)
+            "page", F.concat(F.lit('{"data":['), F.array_join("items", ","), F.lit("]}")).alias("value")).write.partitionBy("page").text(path, compression="gzip")
         out.append(feeds.flatten_pages(feeds.read_pages(spark, path, feed), feed))
     none = F.lit(None).cast("string")
     n = normalize.normalize_appointments(out[0])

@@ -52,7 +52,9 @@ def flatten_pages(pages: DataFrame, feed: str) -> DataFrame:
     lists = [F.col(k) for k in dict.fromkeys([feed, "data", "items", "results"]) if k in pages.columns]
     if not lists:
         raise ValueError(f"pages have none of the columns {feed}, data, items, results")
-    return pages.select("page_no", F.posexplode(F.coalesce(*lists)).alias("pos", "item")).select("page_no", "pos", "item.*")
+    # outer, as the planner else filters pages by the size of their lists first, for which it parses each page again
+    items = pages.select("page_no", F.posexplode_outer(F.coalesce(*lists)).alias("pos", "item")).where("pos is not null")
+    return items.select("page_no", "pos", "item.*")
 
 
 def hydrate(listed: DataFrame, detail: DataFrame, id_col: str = "id") -> DataFrame:
