@@ -47,3 +47,26 @@ def test_a_file_that_is_no_workbook_fails(spark, tmp_path):
     (tmp_path / "x.xlsx").write_text("text")
     with pytest.raises(Exception, match="not a zip file"):
         workbooks.read_workbooks(spark, str(tmp_path)).collect()
+
+
+def test_many_small_workbooks_share_batches(spark, tmp_path, monkeypatch):
+    """Workbooks and rows are handed on by the hundred, not one by one; a long sheet reads the same as a stream."""
+    from io import BytesIO
+
+    import pyarrow as pa
+
+    def made(i):
+        out = BytesIO()
+        book(out, {"a": f'<row r="2"><c r="A2"><v>{i}</v></c></row>', "b": ONE})
+        return out.getvalue()
+
+    batch = pa.RecordBatch.from_arrays([pa.array([f"f{i}" for i in range(300)]), pa.array([made(i) for i in range(300)], pa.binary())], names=["file", "content"])
+    packed = list(workbooks._take_apart(iter([batch])))
+    assert [b.num_rows for b in packed] == [256, 256, 88]
+    rows = list(workbooks._rows(iter(packed)))
+    assert [b.num_rows for b in rows] == [300 + 300 * 5]
+    assert [r for r in rows[0].to_pylist() if r["sheet"] == "a"] == [{"file": f"f{i}", "sheet": "a", "row_number": 2, **dict.fromkeys(rows[0].schema.names[3:]), "client": str(i)} for i in range(300)]
+    monkeypatch.setattr(workbooks, "WHOLE", 10)
+    monkeypatch.setattr(workbooks, "MOST", 1)
+    packed = list(workbooks._take_apart(iter([batch])))
+    assert len(packed) == 600 and list(workbooks._rows(iter(packed)))[0].equals(rows[0])

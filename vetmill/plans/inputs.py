@@ -149,45 +149,58 @@ def blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows(spark, sf_dir, BLOBS).select("feed_pos", raw.alias("raw"))
 
 
+_SHEET_CELLS = ("client", "client_name", "phone_no", "patient_name", "species", "breed", "code", "item_due", "due_date")
+
+
 def workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sheet's rows as xlsx workbooks (file, content): one for 5,000 row numbers of a sheet, every fourth due date a day."""
     r = rows(spark, sf_dir, SHEET).withColumns({"file": F.format_string("%s-%d", "file", F.floor(F.col("row_number") / 5000)), "row_number": F.col("row_number").cast("bigint")})
     serial = F.when(F.col("row_number") % 4 == 1, 45292 + F.col("row_number") % 300)
-    return r.withColumn("serial", serial).groupBy("file", "sheet").applyInPandas(_workbook, "file string, content binary")
+    r = r.select("file", "sheet", "row_number", *_SHEET_CELLS, serial.alias("serial"))
+    return r.repartition("file", "sheet").sortWithinPartitions("file", "sheet", "row_number").mapInArrow(_workbooks, "file string, content binary")
+
+
+def _workbooks(batches):
+    """Rows in the order of file and sheet to workbooks, some hundreds at a time: most have a few rows only."""
+    from itertools import batched, groupby
 
+    import pyarrow as pa
 
-def _workbook(key, frame):
+    rows = (x for b in batches for x in zip(*[c.to_pylist() for c in b.columns], strict=True))
+    made = ((file, _workbook(sheet, some)) for (file, sheet), some in groupby(rows, key=lambda x: x[:2]))
+    for some in batched(made, 200):
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in some], pa.string()), pa.array([x[1] for x in some], pa.binary())], names=["file", "content"])
+
+
+def _workbook(sheet, rows) -> bytes:
     """One sheet as a workbook: shared texts in the first columns, inline ones in the others."""
     import zipfile
     from io import BytesIO
     from xml.sax.saxutils import escape
 
-    import pandas as pd
-
-    names = ["client", "client_name", "phone_no", "patient_name", "species", "breed", "code", "item_due", "due_date"]
     shared: dict[str, int] = {}
     lines = ['<row r="1"><c r="A1" t="inlineStr"><is><t>Client</t></is></c></row>']
     text = lambda v: f'<t xml:space="preserve">{escape(v)}</t>'
-    for x in frame.sort_values("row_number").to_dict("records"):
-        n, cells = int(x["row_number"]), []
-        for i, c in enumerate(names):
-            at = f'r="{chr(65 + i)}{n}"'
-            if c == "due_date" and not pd.isna(x["serial"]):
-                cells.append(f'<c {at} s="1"><v>{int(x["serial"])}.5</v></c>')
-            elif x[c] is None:
+    for _, _, n, *values, serial in rows:
+        cells = []
+        for i, (letter, v) in enumerate(zip("ABCDEFGHI", values, strict=True)):
+            if i == 8 and serial is not None:
+                cells.append(f'<c r="{letter}{n}" s="1"><v>{serial}.5</v></c>')
+            elif v is None:
                 continue
             elif i < 5:
-                cells.append(f'<c {at} t="s"><v>{shared.setdefault(x[c], len(shared))}</v></c>')
+                cells.append(f'<c r="{letter}{n}" t="s"><v>{shared.setdefault(v, len(shared))}</v></c>')
             else:
-                cells.append(f'<c {at} t="inlineStr"><is>{text(x[c])}</is></c>')
+                cells.append(f'<c r="{letter}{n}" t="inlineStr"><is>{text(v)}</is></c>')
         lines.append(f'<row r="{n}">{"".join(cells)}<c r="K{n}"><v>7</v></c></row>')
     main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
     rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
     out = BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        z.writestr("xl/workbook.xml", f'<workbook {main} xmlns:r="{rel}"><sheets><sheet name="{escape(key[1])}" sheetId="1" r:id="rId1"/></sheets></workbook>')
-        z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Type="{rel}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>')
-        z.writestr("xl/styles.xml", f'<styleSheet {main}><cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>')
-        z.writestr("xl/sharedStrings.xml", f'<sst {main}>{"".join(f"<si>{text(v)}</si>" for v in shared)}</sst>')
-        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet {main}><sheetData>{"".join(lines)}</sheetData></worksheet>')
-    return pd.DataFrame({"file": [key[0]], "content": [out.getvalue()]})
+    with zipfile.ZipFile(out, "w") as z:
+        put = lambda name, xml: z.writestr(zipfile.ZipInfo(name), xml, zipfile.ZIP_DEFLATED)
+        put("xl/workbook.xml", f'<workbook {main} xmlns:r="{rel}"><sheets><sheet name="{escape(sheet)}" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        put("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Type="{rel}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>')
+        put("xl/styles.xml", f'<styleSheet {main}><cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>')
+        put("xl/sharedStrings.xml", f'<sst {main}>{"".join(f"<si>{text(v)}</si>" for v in shared)}</sst>')
+        put("xl/worksheets/sheet1.xml", f'<worksheet {main}><sheetData>{"".join(lines)}</sheetData></worksheet>')
+    return out.getvalue()
